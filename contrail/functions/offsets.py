@@ -25,7 +25,8 @@ def utc_offset_hours(text: Column | str) -> Column:
     minutes_text = F.regexp_extract(t, UTC_OFFSET_PATTERN, 4)
     minutes = F.when(minutes_text == "", F.lit(0.0)).otherwise(minutes_text.try_cast("double"))
     return (F.when(t.isin(*UTC_ZERO_TEXTS), F.lit(0.0))
-            .when(t.rlike(UTC_OFFSET_PATTERN), sign * (hours + minutes / F.lit(60.0))))
+            .when(t.rlike(UTC_OFFSET_PATTERN),
+                  sign * (hours + minutes / F.lit(60.0)) + F.lit(0.0)))  # -00:00 → 0.0
 
 
 def utc_offset_hours_reference(text: Column | str) -> Column:

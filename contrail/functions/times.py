@@ -12,16 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from contrail.functions.arith import floor_div
-
 # The exact text shapes the landed pages use for times.
 LOCAL_TIME_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}$"
 UTC_TIME_PATTERN = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}Z$"
 LOCAL_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
 UTC_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm'Z'"
 
-_EPOCH_TEXT = "1970-01-01 00:00:00"
-_MICROS_PER_SECOND = 1_000_000
 
 
 def _col(c: Column | str) -> Column:
@@ -55,9 +51,14 @@ def format_utc_time(ts: Column | str) -> Column:
 
 
 def epoch_seconds(ts: Column | str) -> Column:
-    """Whole seconds since 1970-01-01 of an NTZ value, fraction floored (like ``unix_timestamp``)."""
-    micros = F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_TEXT).cast("timestamp_ntz"), _col(ts))
-    return floor_div(micros, F.lit(_MICROS_PER_SECOND))
+    """Whole seconds since 1970-01-01 of an NTZ value, fraction dropped (like ``unix_timestamp``).
+
+    Built from the calendar fields of the NTZ value, all integer and free of
+    the session zone (``timestamp_diff`` would cast NTZ to a zoned TIMESTAMP).
+    """
+    t = _col(ts)
+    return (F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600
+            + F.minute(t) * 60 + F.second(t))
 
 
 def delay_seconds(actual: Column | str, scheduled: Column | str) -> Column:
@@ -65,17 +66,21 @@ def delay_seconds(actual: Column | str, scheduled: Column | str) -> Column:
     return epoch_seconds(actual) - epoch_seconds(scheduled)
 
 
+def _block(day: Column, hour: Column) -> Column:
+    return F.concat(day.cast("string"), F.lit("T"),
+                    F.lpad((hour - hour % 4).cast("string"), 2, "0"), F.lit(":00"))
+
+
 def time_block_4h(ts: Column | str) -> Column:
     """Start of the 4-hour block holding ``ts`` as ``yyyy-MM-ddTHH:00`` (HH in 00,04,...,20)."""
     t = _col(ts)
-    block_hour = F.hour(t) - F.hour(t) % 4
-    return F.concat(F.to_date(t).cast("string"), F.lit("T"),
-                    F.lpad(block_hour.cast("string"), 2, "0"), F.lit(":00"))
+    return _block(F.to_date(t), F.hour(t))
 
 
 def previous_day_block_4h(ts: Column | str) -> Column:
     """The same 4-hour block one day earlier (the block a run fetches)."""
-    return time_block_4h(F.timestamp_add("DAY", F.lit(-1), _col(ts)))
+    t = _col(ts)
+    return _block(F.date_sub(F.to_date(t), 1), F.hour(t))
 
 
 def block_date(block: Column | str) -> Column:

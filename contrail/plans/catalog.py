@@ -66,3 +66,22 @@ QUERIES: dict[str, Query] = {
     "dense_grid": q_dense_grid,
     "hourly_stats": q_hourly_stats,
 }
+
+
+# ---------------------------------------------------------------- silver
+def _silver(name: str) -> Query:
+    from contrail.operators.silver import silver_entity
+
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return silver_entity(si.entity_bronze(spark, sf_dir, name), name)
+    q.__name__ = f"q_silver_{name}"
+    return q
+
+
+QUERIES.update({
+    "silver_locations": _silver("airports"),
+    "silver_cities": _silver("cities"),
+    "silver_countries": _silver("countries"),
+    "silver_airlines": _silver("airlines"),
+    "silver_aircraft": _silver("aircraft_summaries"),
+})

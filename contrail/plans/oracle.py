@@ -90,3 +90,42 @@ FROM facts f WHERE EXISTS (SELECT 1 FROM work w WHERE w.date = f.date AND w.hour
 SELECT d.airport_code, d.longitude, d.latitude, w.date, w.hour FROM dim d CROSS JOIN work w""",
     "hourly_stats": f"WITH {_WORK}, {_GOLD_FROM_WORK}",
 }
+
+
+def _offset_expected(k: str, n: str) -> str:
+    h = f"CAST({n} % 13 AS DOUBLE)"
+    m = f"CAST(({k} % 4) * 15 AS DOUBLE)"
+    sg = f"(CASE WHEN {n} % 2 = 1 THEN -1.0 ELSE 1.0 END)::DOUBLE"
+    return f"""(CASE {k} % 8
+  WHEN 0 THEN {sg} * ({h} + {m} / 60.0::DOUBLE) + 0.0::DOUBLE
+  WHEN 1 THEN {sg} * ({h} + {m} / 60.0::DOUBLE) + 0.0::DOUBLE
+  WHEN 2 THEN {sg} * ({h} + {m} / 60.0::DOUBLE) + 0.0::DOUBLE
+  WHEN 3 THEN {sg} * ({h} + 0.0::DOUBLE) + 0.0::DOUBLE
+  WHEN 4 THEN {h} + 0.0::DOUBLE
+  WHEN 5 THEN 0.0::DOUBLE
+  WHEN 6 THEN NULL
+  ELSE {h} + {m} / 60.0::DOUBLE + 0.0::DOUBLE END)"""
+
+
+ORACLE.update({
+    "silver_locations": f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS airport_code, CAST(s_nationkey AS DOUBLE) AS longitude,
+       s_acctbal AS latitude, 'C' || CAST(s_nationkey AS VARCHAR) AS city_code,
+       CAST(s_nationkey AS VARCHAR) AS country_code, 'Airport' AS location_type,
+       s_name AS name, {_offset_expected("s_suppkey", "s_nationkey")} AS utc_offset,
+       'Zone/' || CAST(s_nationkey AS VARCHAR) AS time_zone_id
+FROM supplier WHERE s_suppkey % 10 <> 0""",
+    "silver_cities": f"""
+SELECT 'C' || CAST(c_custkey AS VARCHAR) AS city_code, CAST(c_nationkey AS VARCHAR) AS country_code,
+       c_name AS name, {_offset_expected("c_custkey", "c_nationkey")} AS utc_offset,
+       c_mktsegment AS time_zone_id
+FROM customer""",
+    "silver_countries": """
+SELECT CAST(o_orderkey AS VARCHAR) AS country_code, o_orderpriority AS name FROM orders""",
+    "silver_airlines": """
+SELECT CAST(c_custkey AS VARCHAR) AS airline_id, c_mktsegment AS airline_id_icao, c_name AS name
+FROM customer""",
+    "silver_aircraft": """
+SELECT CAST(p_partkey AS VARCHAR) AS aircraft_code, p_name AS name, p_brand AS airline_equip_code
+FROM part""",
+})

@@ -58,3 +58,155 @@ def first_hour_done_set(facts: DataFrame) -> DataFrame:
     """A done set holding the earliest (date, hour) of the facts (exercises the anti-join)."""
     first = facts.agg(F.min(F.struct("date", "hour")).alias("m"))
     return first.select(F.col("m.date").alias("date"), F.col("m.hour").alias("hour"))
+
+
+# ------------------------------------------------------------ entity pages
+OLD_SNAPSHOT_DATE = "2024-01-01"   # an earlier landing whose values must be ignored
+REFERENCE_PAGE_SIZE = 100
+
+
+def offset_text(key: F.Column, nation: F.Column) -> F.Column:
+    """UTC offset text in eight shapes chosen by ``key % 8``.
+
+    H = nation % 13, M = (key % 4) * 15, sign '-' for odd nations:
+    0 ``±HH:MM``, 1 ``±H:MM`` (no zero pad), 2 ``±HHMM``, 3 ``±HH``, 4 ``H``,
+    5 ``Z``, 6 empty, 7 ``HH:MM`` unsigned.
+    """
+    h = (nation % 13).cast("int")
+    m = ((key % 4) * 15).cast("int")
+    hh = F.lpad(h.cast("string"), 2, "0")
+    mm = F.lpad(m.cast("string"), 2, "0")
+    sign = F.when(nation % 2 == 1, F.lit("-")).otherwise(F.lit("+"))
+    f = key % 8
+    return (F.when(f == 0, F.concat(sign, hh, F.lit(":"), mm))
+            .when(f == 1, F.concat(sign, h.cast("string"), F.lit(":"), mm))
+            .when(f == 2, F.concat(sign, hh, mm))
+            .when(f == 3, F.concat(sign, hh))
+            .when(f == 4, h.cast("string"))
+            .when(f == 5, F.lit("Z"))
+            .when(f == 6, F.lit(""))
+            .otherwise(F.concat(hh, F.lit(":"), mm)))
+
+
+def _names_object(name: F.Column) -> F.Column:
+    from contrail.sources.pages import json_string
+    return F.concat(F.lit('{"@LanguageCode":"EN","$":'), json_string(name), F.lit("}"))
+
+
+def airport_item_json(sup: DataFrame, old: bool = False) -> DataFrame:
+    """Airport items from ``supplier`` (id, item JSON).
+
+    code = s_suppkey; latitude = s_acctbal (quoted text when key % 4 = 1);
+    longitude = s_nationkey; city = 'C' || s_nationkey; country = s_nationkey;
+    type 'RailwayStation' when key % 10 = 0 else 'Airport'; name = s_name,
+    sent as a [DE lower-case, EN] list when key % 3 = 0; offset text by
+    :func:`offset_text`; zone 'Zone/' || s_nationkey. The old snapshot
+    prefixes names with 'old '.
+    """
+    from contrail.sources.pages import json_string
+    k, n = F.col("s_suppkey"), F.col("s_nationkey")
+    name = F.concat(F.lit("old "), F.col("s_name")) if old else F.col("s_name")
+    names = F.when(k % 3 == 0, F.concat(
+        F.lit('[{"@LanguageCode":"DE","$":'), json_string(F.lower(name)),
+        F.lit('},{"@LanguageCode":"EN","$":'), json_string(name), F.lit("}]"))
+    ).otherwise(_names_object(name))
+    lat = F.when(k % 4 == 1, json_string(F.col("s_acctbal").cast("string"))).otherwise(
+        json_string(F.col("s_acctbal")))
+    loc_type = F.when(k % 10 == 0, F.lit("RailwayStation")).otherwise(F.lit("Airport"))
+    item = F.concat(
+        F.lit('{"AirportCode":'), json_string(k.cast("string")),
+        F.lit(',"Position":{"Coordinate":{"Latitude":'), lat,
+        F.lit(',"Longitude":'), json_string(n.cast("double")),
+        F.lit('}},"CityCode":'), json_string(F.concat(F.lit("C"), n.cast("string"))),
+        F.lit(',"CountryCode":'), json_string(n.cast("string")),
+        F.lit(',"LocationType":'), json_string(loc_type),
+        F.lit(',"Names":{"Name":'), names,
+        F.lit('},"UtcOffset":'), json_string(offset_text(k, n)),
+        F.lit(',"TimeZoneId":'), json_string(F.concat(F.lit("Zone/"), n.cast("string"))),
+        F.lit("}"))
+    return sup.select(k.cast("long").alias("id"), item.alias("item_json"))
+
+
+def city_item_json(cust: DataFrame, old: bool = False) -> DataFrame:
+    """Cities from ``customer``: code 'C' || custkey, country nationkey, name, offset, zone = segment."""
+    k, n = F.col("c_custkey"), F.col("c_nationkey")
+    name = F.concat(F.lit("old "), F.col("c_name")) if old else F.col("c_name")
+    item = F.to_json(F.struct(
+        F.concat(F.lit("C"), k.cast("string")).alias("CityCode"),
+        n.cast("string").alias("CountryCode"),
+        F.struct(F.struct(F.lit("EN").alias("@LanguageCode"), name.alias("$")).alias("Name"))
+        .alias("Names"),
+        offset_text(k, n).alias("UtcOffset"),
+        F.col("c_mktsegment").alias("TimeZoneId")))
+    return cust.select(k.cast("long").alias("id"), item.alias("item_json"))
+
+
+def country_item_json(orders: DataFrame, old: bool = False) -> DataFrame:
+    """Countries from ``orders``: code = orderkey, name = order priority."""
+    k = F.col("o_orderkey")
+    name = F.concat(F.lit("old "), F.col("o_orderpriority")) if old else F.col("o_orderpriority")
+    item = F.to_json(F.struct(
+        k.cast("string").alias("CountryCode"),
+        F.struct(F.struct(F.lit("EN").alias("@LanguageCode"), name.alias("$")).alias("Name"))
+        .alias("Names")))
+    return orders.select(k.cast("long").alias("id"), item.alias("item_json"))
+
+
+def airline_item_json(cust: DataFrame, old: bool = False) -> DataFrame:
+    """Airlines from ``customer``: id = custkey, ICAO = segment, name."""
+    k = F.col("c_custkey")
+    name = F.concat(F.lit("old "), F.col("c_name")) if old else F.col("c_name")
+    item = F.to_json(F.struct(
+        k.cast("string").alias("AirlineID"), F.col("c_mktsegment").alias("AirlineID_ICAO"),
+        F.struct(F.struct(F.lit("EN").alias("@LanguageCode"), name.alias("$")).alias("Name"))
+        .alias("Names")))
+    return cust.select(k.cast("long").alias("id"), item.alias("item_json"))
+
+
+def aircraft_item_json(part: DataFrame, old: bool = False) -> DataFrame:
+    """Aircraft from ``part``: code = partkey, name, equipment code = brand."""
+    k = F.col("p_partkey")
+    name = F.concat(F.lit("old "), F.col("p_name")) if old else F.col("p_name")
+    item = F.to_json(F.struct(
+        k.cast("string").alias("AircraftCode"),
+        F.struct(F.struct(F.lit("EN").alias("@LanguageCode"), name.alias("$")).alias("Name"))
+        .alias("Names"),
+        F.col("p_brand").alias("AirlineEquipCode")))
+    return part.select(k.cast("long").alias("id"), item.alias("item_json"))
+
+
+def reference_pages(items: DataFrame, entity, page_size: int = REFERENCE_PAGE_SIZE,
+                    overlap: bool = True) -> DataFrame:
+    """Pages of ``page_size`` items by ``id div page_size``; ``offset`` = page * size.
+
+    With ``overlap`` an item whose id is a multiple of the page size is also
+    repeated as the last item of the previous page (a pagination overlap, so
+    the snapshot holds duplicates). TotalCount = number of items.
+    """
+    from contrail.sources.pages import pack_pages
+    base = items.select("id", "item_json", (F.col("id") / page_size).cast("long").alias("page"))
+    if overlap:
+        dup = items.where((F.col("id") % page_size == 0) & (F.col("id") >= page_size)).select(
+            "id", "item_json", ((F.col("id") / page_size).cast("long") - 1).alias("page"))
+        base = base.unionByName(dup)
+    total = items.agg(F.count(F.lit(1))).scalar()
+    pages = pack_pages(base, entity, ["page"], F.col("id"), F.col("item_json"), total)
+    return pages.select((F.col("page") * page_size).alias("offset"), "raw_data", "n_items")
+
+
+def entity_bronze(spark: SparkSession, sf_dir: str, entity_name: str) -> DataFrame:
+    """Bronze rows of one reference entity: an old and the latest snapshot."""
+    from contrail.sources.pages import land_pages
+    from contrail import schemas as S
+    table, builder, entity = {
+        "airports": ("supplier", airport_item_json, S.AIRPORTS),
+        "cities": ("customer", city_item_json, S.CITIES),
+        "countries": ("orders", country_item_json, S.COUNTRIES),
+        "airlines": ("customer", airline_item_json, S.AIRLINES),
+        "aircraft_summaries": ("part", aircraft_item_json, S.AIRCRAFT),
+    }[entity_name]
+    src = read_table(spark, sf_dir, table)
+    old = land_pages(reference_pages(builder(src, old=True), entity, overlap=False),
+                     OLD_SNAPSHOT_DATE)
+    new = land_pages(reference_pages(builder(src), entity), RUN_DATE)
+    return old.unionByName(new)
