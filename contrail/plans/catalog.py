@@ -85,3 +85,152 @@ QUERIES.update({
     "silver_airlines": _silver("airlines"),
     "silver_aircraft": _silver("aircraft_summaries"),
 })
+
+
+# ---------------------------------------------------------------- pages and parsing
+def q_silver_movements(spark, sf_dir):
+    from contrail.operators.silver import silver_movements
+    return silver_movements(si.flight_bronze(spark, sf_dir))
+
+
+def q_flatten_nested(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.operators.parse import parse_pages
+    from contrail.schemas import FLIGHTS
+    i = F.col("item")
+    return parse_pages(si.flight_bronze(spark, sf_dir), FLIGHTS, keep=[]).select(
+        i["Departure"]["AirportCode"].alias("departure_airport_code"),
+        i["Departure"]["Terminal"]["Name"].alias("departure_terminal_name"),
+        i["Departure"]["Terminal"]["Gate"].alias("departure_terminal_gate"),
+        i["Departure"]["TimeStatus"]["Code"].alias("departure_time_status_code"),
+        i["Arrival"]["AirportCode"].alias("arrival_airport_code"),
+        i["MarketingCarrier"]["FlightNumber"].alias("marketing_carrier_flight_number"),
+        i["Equipment"]["AircraftCode"].alias("equipment_aircraft_code"),
+        i["FlightStatus"]["Code"].alias("flight_status_code"))
+
+
+def _order_pages(spark, sf_dir):
+    from contrail.schemas import COUNTRIES
+    from contrail.plans.standins import country_item_json, reference_pages
+    return reference_pages(country_item_json(si.read_table(spark, sf_dir, "orders")),
+                           COUNTRIES, overlap=False)
+
+
+def q_parse_pages(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.operators.parse import name_of, parse_pages
+    from contrail.schemas import COUNTRIES
+    items = parse_pages(_order_pages(spark, sf_dir), COUNTRIES, keep=["offset"])
+    return items.select(F.col("offset").cast("int").alias("offset"), "pos",
+                        F.col("item.CountryCode").alias("country_code"),
+                        name_of(F.col("item.Names.Name")).alias("name"))
+
+
+def q_land_pages(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.operators.parse import page_items, total_count
+    from contrail.schemas import COUNTRIES
+    from contrail.sources.pages import land_pages
+    bronze = land_pages(_order_pages(spark, sf_dir), si.RUN_DATE)
+    return bronze.select("ingestion_date", "data_date", "offset",
+                         F.size(page_items("raw_data", COUNTRIES)).alias("items"),
+                         total_count("raw_data", COUNTRIES).alias("total"))
+
+
+def q_land_flight_pages(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.functions.times import time_block_4h
+    from contrail.operators.parse import page_items
+    from contrail.schemas import FLIGHTS
+    from contrail.sources.pages import land_flight_pages, pack_pages
+    ev = si.read_table(spark, sf_dir, "events").select(
+        "event_id", (F.col("event_id") % 30).cast("string").alias("airport_code"),
+        time_block_4h("ts").alias("block"),
+        (F.col("event_id") / 1500).cast("long").alias("chunk"))
+    item = F.to_json(F.struct(F.struct(F.col("airport_code").alias("AirportCode"))
+                              .alias("Departure")))
+    pages = pack_pages(ev, FLIGHTS, ["airport_code", "block", "chunk"], F.col("event_id"), item)
+    bronze = land_flight_pages(pages.withColumn("offset", F.col("chunk") * 50), si.RUN_DATE)
+    return bronze.select("ingestion_date", "data_date", "data_time_block", "airport_code",
+                         "offset", F.size(page_items("raw_data", FLIGHTS)).alias("items"))
+
+
+def q_one_or_many(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.operators.parse import name_of, parse_pages
+    from contrail.schemas import AIRLINES
+    from contrail.sources.pages import pack_pages
+    cust = si.read_table(spark, sf_dir, "customer")
+    items = si.airline_item_json(cust).join(
+        cust.select(F.col("c_custkey").cast("long").alias("id"), "c_mktsegment", "c_nationkey"),
+        "id")
+    items = items.withColumn("page", (F.col("id") / 100).cast("long"))
+    keys = ["c_mktsegment", "c_nationkey", "page"]
+    pages = pack_pages(items, AIRLINES, keys, F.col("id"), F.col("item_json"))
+    parsed = parse_pages(pages, AIRLINES, keep=keys + ["n_items"])
+    return parsed.select(*keys, "pos", "n_items",
+                         F.col("item.AirlineID").alias("airline_id"),
+                         name_of(F.col("item.Names.Name")).alias("name"))
+
+
+def q_parse_times(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.functions.times import (
+        format_local_time, format_utc_time, parse_local_time, parse_utc_time)
+    ev = si.read_table(spark, sf_dir, "events")
+    local_text = F.when(F.col("event_type") == "error", F.lit("garbage")).otherwise(
+        format_local_time("ts"))
+    utc_text = F.when(F.col("event_type") == "view",
+                      F.concat(format_local_time("ts"), F.lit(":00Z"))).otherwise(
+        format_utc_time("ts"))
+    return ev.select("event_id", parse_local_time(local_text).alias("local_time"),
+                     parse_utc_time(utc_text).alias("utc_time"))
+
+
+def q_utc_offset_hours(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.functions.offsets import utc_offset_hours
+    cust = si.read_table(spark, sf_dir, "customer")
+    text = si.offset_text(F.col("c_custkey"), F.col("c_nationkey"))
+    return cust.select("c_custkey", utc_offset_hours(text).alias("utc_offset"))
+
+
+def q_time_block_4h(spark, sf_dir):
+    from contrail.functions.times import block_date, previous_day_block_4h, time_block_4h
+    ev = si.read_table(spark, sf_dir, "events")
+    return ev.select("event_id", time_block_4h("ts").alias("block"),
+                     previous_day_block_4h("ts").alias("previous_block"),
+                     block_date(time_block_4h("ts")).alias("block_date"))
+
+
+def q_latest_snapshot(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.operators.parse import name_of, parse_pages
+    from contrail.operators.snapshot import latest_snapshot
+    from contrail.schemas import AIRLINES
+    items = parse_pages(latest_snapshot(si.event_bronze(spark, sf_dir)), AIRLINES,
+                        keep=["ingestion_date", "offset"])
+    return items.select("ingestion_date", "offset", "pos",
+                        F.col("item.AirlineID").alias("airline_id"),
+                        F.col("item.AirlineID_ICAO").alias("airline_id_icao"),
+                        name_of(F.col("item.Names.Name")).alias("name"))
+
+
+def q_dedupe_latest(spark, sf_dir):
+    from contrail.operators.silver import silver_entity
+    return silver_entity(si.event_bronze(spark, sf_dir), "airlines")
+
+
+QUERIES.update({
+    "silver_movements": q_silver_movements,
+    "flatten_nested": q_flatten_nested,
+    "parse_pages": q_parse_pages,
+    "land_pages": q_land_pages,
+    "land_flight_pages": q_land_flight_pages,
+    "one_or_many": q_one_or_many,
+    "parse_times": q_parse_times,
+    "utc_offset_hours": q_utc_offset_hours,
+    "time_block_4h": q_time_block_4h,
+    "latest_snapshot": q_latest_snapshot,
+    "dedupe_latest": q_dedupe_latest,
+})

@@ -129,3 +129,104 @@ FROM customer""",
 SELECT CAST(p_partkey AS VARCHAR) AS aircraft_code, p_name AS name, p_brand AS airline_equip_code
 FROM part""",
 })
+
+
+_MOVEMENTS = """
+SELECT CAST(l_suppkey AS VARCHAR) AS departure_airport_code,
+       date_trunc('minute', o_orderdate) AS departure_scheduled_time_local,
+       date_trunc('minute', o_orderdate) AS departure_scheduled_time_utc,
+       CASE WHEN l_returnflag = 'R' THEN NULL ELSE date_trunc('minute', l_shipdate) END
+         AS departure_actual_time_local,
+       CASE WHEN l_returnflag = 'R' THEN NULL ELSE date_trunc('minute', l_shipdate) END
+         AS departure_actual_time_utc,
+       l_linestatus AS departure_time_status_code,
+       l_returnflag AS departure_time_status_definition,
+       'T' || CAST(l_linenumber AS VARCHAR) AS departure_terminal_name,
+       CAST(l_partkey % 100 AS VARCHAR) AS departure_terminal_gate,
+       CAST(o_custkey AS VARCHAR) AS arrival_airport_code,
+       date_trunc('minute', l_shipdate) AS arrival_scheduled_time_local,
+       NULL::TIMESTAMP AS arrival_scheduled_time_utc,
+       NULL::TIMESTAMP AS arrival_actual_time_local,
+       NULL::TIMESTAMP AS arrival_actual_time_utc,
+       NULL::VARCHAR AS arrival_time_status_code,
+       NULL::VARCHAR AS arrival_time_status_definition,
+       NULL::VARCHAR AS arrival_terminal_name,
+       NULL::VARCHAR AS arrival_terminal_gate,
+       'MC' AS marketing_carrier_airline_id,
+       CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)
+         AS marketing_carrier_flight_number,
+       o_orderpriority AS operating_carrier_airline_id,
+       CAST(l_linenumber AS VARCHAR) AS operating_carrier_flight_number,
+       CAST(l_partkey AS VARCHAR) AS equipment_aircraft_code,
+       NULL::VARCHAR AS equipment_aircraft_registration,
+       o_orderstatus AS flight_status_code,
+       NULL::VARCHAR AS flight_status_definition,
+       'Passenger' AS service_type
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""
+
+_EVENT_ITEMS = """
+ev_items AS (
+  SELECT CAST(ts AS DATE) AS ingestion_date, CAST((event_id // 100) * 100 AS INTEGER) AS offset,
+         CAST(row_number() OVER (PARTITION BY CAST(ts AS DATE), event_id // 100
+                                 ORDER BY event_id) - 1 AS INTEGER) AS pos,
+         CAST(user_id AS VARCHAR) AS airline_id, event_type AS airline_id_icao,
+         CAST(event_id AS VARCHAR) AS name, event_id
+  FROM events
+),
+latest AS (SELECT * FROM ev_items WHERE ingestion_date = (SELECT max(ingestion_date) FROM ev_items))"""
+
+ORACLE.update({
+    "silver_movements": _MOVEMENTS,
+    "flatten_nested": f"""
+SELECT departure_airport_code, departure_terminal_name, departure_terminal_gate,
+       departure_time_status_code, arrival_airport_code, marketing_carrier_flight_number,
+       equipment_aircraft_code, flight_status_code
+FROM ({_MOVEMENTS})""",
+    "parse_pages": """
+SELECT CAST((o_orderkey // 100) * 100 AS INTEGER) AS offset,
+       CAST(row_number() OVER (PARTITION BY o_orderkey // 100 ORDER BY o_orderkey) - 1 AS INTEGER)
+         AS pos,
+       CAST(o_orderkey AS VARCHAR) AS country_code, o_orderpriority AS name
+FROM orders""",
+    "land_pages": f"""
+SELECT {RUN_DATE} AS ingestion_date, {RUN_DATE} AS data_date,
+       CAST((o_orderkey // 100) * 100 AS INTEGER) AS offset,
+       CAST(count(*) AS INTEGER) AS items, (SELECT count(*) FROM orders) AS total
+FROM orders GROUP BY o_orderkey // 100""",
+    "land_flight_pages": f"""
+SELECT {RUN_DATE} AS ingestion_date, CAST(ts AS DATE) AS data_date,
+       lpad(CAST(hour(ts) - hour(ts) % 4 AS VARCHAR), 2, '0') AS data_time_block,
+       CAST(event_id % 30 AS VARCHAR) AS airport_code,
+       CAST((event_id // 1500) * 50 AS INTEGER) AS offset, CAST(count(*) AS INTEGER) AS items
+FROM events
+GROUP BY CAST(ts AS DATE), hour(ts) - hour(ts) % 4, event_id % 30, event_id // 1500""",
+    "one_or_many": """
+SELECT c_mktsegment, c_nationkey, c_custkey // 100 AS page,
+       CAST(row_number() OVER w - 1 AS INTEGER) AS pos,
+       CAST(count(*) OVER w2 AS INTEGER) AS n_items,
+       CAST(c_custkey AS VARCHAR) AS airline_id, c_name AS name
+FROM customer
+WINDOW w AS (PARTITION BY c_mktsegment, c_nationkey, c_custkey // 100 ORDER BY c_custkey),
+       w2 AS (PARTITION BY c_mktsegment, c_nationkey, c_custkey // 100)""",
+    "parse_times": """
+SELECT event_id,
+       CASE WHEN event_type = 'error' THEN NULL ELSE date_trunc('minute', ts) END AS local_time,
+       CASE WHEN event_type = 'view' THEN NULL ELSE date_trunc('minute', ts) END AS utc_time
+FROM events""",
+    "utc_offset_hours": f"""
+SELECT c_custkey, {_offset_expected("c_custkey", "c_nationkey")} AS utc_offset FROM customer""",
+    "time_block_4h": """
+SELECT event_id,
+       strftime(ts, '%Y-%m-%d') || 'T' || lpad(CAST(hour(ts) - hour(ts) % 4 AS VARCHAR), 2, '0')
+         || ':00' AS block,
+       strftime(CAST(ts AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') || 'T'
+         || lpad(CAST(hour(ts) - hour(ts) % 4 AS VARCHAR), 2, '0') || ':00' AS previous_block,
+       CAST(ts AS DATE) AS block_date
+FROM events""",
+    "latest_snapshot": f"""WITH {_EVENT_ITEMS}
+SELECT ingestion_date, "offset", pos, airline_id, airline_id_icao, name FROM latest""",
+    "dedupe_latest": f"""WITH {_EVENT_ITEMS}
+SELECT airline_id, airline_id_icao, name FROM (
+  SELECT *, row_number() OVER (PARTITION BY airline_id ORDER BY "offset", pos) AS rn FROM latest)
+WHERE rn = 1""",
+})

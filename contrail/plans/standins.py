@@ -210,3 +210,96 @@ def entity_bronze(spark: SparkSession, sf_dir: str, entity_name: str) -> DataFra
                      OLD_SNAPSHOT_DATE)
     new = land_pages(reference_pages(builder(src), entity), RUN_DATE)
     return old.unionByName(new)
+
+
+# ------------------------------------------------------------ flight pages
+def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departure pages from ``lineitem`` joined to ``orders``: one page per order.
+
+    Item per line: departure airport = l_suppkey; scheduled = o_orderdate;
+    actual = l_shipdate, sent as 'n/a' when l_returnflag = 'R'; time status
+    (l_linestatus, l_returnflag); terminal ('T' || l_linenumber,
+    l_partkey % 100); arrival airport = o_custkey, scheduled = l_shipdate;
+    marketing carrier ('MC', l_orderkey || '-' || l_linenumber); operating
+    carrier (o_orderpriority, l_linenumber); aircraft = l_partkey; status =
+    o_orderstatus; service 'Passenger'. Page metadata: airport = o_custkey,
+    block = 4-hour block of o_orderdate, offset 0.
+    """
+    from contrail.functions.times import format_local_time, format_utc_time, time_block_4h
+    from contrail.schemas import FLIGHTS
+    from contrail.sources.pages import pack_pages
+    li = read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
+        "l_linestatus", "l_shipdate")
+    od = read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    j = li.join(od, li.l_orderkey == od.o_orderkey)
+    returned = F.col("l_returnflag") == "R"
+
+    def t(c):
+        return F.struct(c.alias("DateTime"))
+    item = F.to_json(F.struct(
+        F.struct(
+            F.col("l_suppkey").cast("string").alias("AirportCode"),
+            t(format_local_time("o_orderdate")).alias("ScheduledTimeLocal"),
+            t(format_utc_time("o_orderdate")).alias("ScheduledTimeUTC"),
+            t(F.when(returned, F.lit("n/a")).otherwise(format_local_time("l_shipdate")))
+            .alias("ActualTimeLocal"),
+            t(F.when(returned, F.lit("n/a")).otherwise(format_utc_time("l_shipdate")))
+            .alias("ActualTimeUTC"),
+            F.struct(F.col("l_linestatus").alias("Code"),
+                     F.col("l_returnflag").alias("Definition")).alias("TimeStatus"),
+            F.struct(F.concat(F.lit("T"), F.col("l_linenumber").cast("string")).alias("Name"),
+                     (F.col("l_partkey") % 100).cast("string").alias("Gate")).alias("Terminal"),
+        ).alias("Departure"),
+        F.struct(
+            F.col("o_custkey").cast("string").alias("AirportCode"),
+            t(format_local_time("l_shipdate")).alias("ScheduledTimeLocal"),
+        ).alias("Arrival"),
+        F.struct(F.lit("MC").alias("AirlineID"),
+                 F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
+                          F.col("l_linenumber").cast("string")).alias("FlightNumber"))
+        .alias("MarketingCarrier"),
+        F.struct(F.col("o_orderpriority").alias("AirlineID"),
+                 F.col("l_linenumber").cast("string").alias("FlightNumber"))
+        .alias("OperatingCarrier"),
+        F.struct(F.col("l_partkey").cast("string").alias("AircraftCode")).alias("Equipment"),
+        F.struct(F.col("o_orderstatus").alias("Code")).alias("FlightStatus"),
+        F.lit("Passenger").alias("ServiceType"),
+    ))
+    staged = j.select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("airport_code"),
+        time_block_4h("o_orderdate").alias("block"), F.col("l_linenumber"),
+        item.alias("item_json"))
+    pages = pack_pages(staged, FLIGHTS, ["o_orderkey", "airport_code", "block"],
+                       F.col("l_linenumber"), F.col("item_json"))
+    return pages.withColumn("offset", F.lit(0))
+
+
+def flight_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from contrail.sources.pages import land_flight_pages
+    return land_flight_pages(flight_pages(spark, sf_dir), RUN_DATE)
+
+
+# ------------------------------------------------------------ event pages
+def event_item_json() -> F.Column:
+    """An event as an airline-shaped item: id = user_id, ICAO = event_type, name = event_id."""
+    return F.to_json(F.struct(
+        F.col("user_id").cast("string").alias("AirlineID"),
+        F.col("event_type").alias("AirlineID_ICAO"),
+        F.struct(F.struct(F.lit("EN").alias("@LanguageCode"),
+                          F.col("event_id").cast("string").alias("$")).alias("Name"))
+        .alias("Names")))
+
+
+def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as pages: ingestion date = date of ts, page = event_id div 100."""
+    from contrail.schemas import AIRLINES
+    from contrail.sources.pages import pack_pages
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", F.to_date("ts").alias("ingestion_date"),
+        (F.col("event_id") / 100).cast("long").alias("page"))
+    pages = pack_pages(ev, AIRLINES, ["ingestion_date", "page"], F.col("event_id"),
+                       event_item_json())
+    return pages.select("raw_data", "ingestion_date", F.col("ingestion_date").alias("data_date"),
+                        (F.col("page") * 100).cast("int").alias("offset"))

@@ -46,14 +46,15 @@ def envelope(entity: Entity, list_json: Column, total: Column) -> Column:
 
 
 def pack_pages(items: DataFrame, entity: Entity, page_cols: list[str], pos: Column,
-               item_json: Column, total: Column) -> DataFrame:
+               item_json: Column, total: Column | None = None) -> DataFrame:
     """Group item JSON texts into pages ordered by ``pos``.
 
     ``page_cols`` identify a page and must bound its size (the page size);
     a page holding one item is written as a bare object, as the source does.
     ``total`` is the ``Meta.TotalCount`` value (a column of the page keys or
-    a scalar subquery).
+    a scalar subquery); by default the number of items in the page.
     """
+    total = total if total is not None else F.lit(None).cast("long")
     staged = items.select(*page_cols, pos.alias("_pos"), item_json.alias("_item"),
                           total.alias("_total"))
     grouped = staged.groupBy(*page_cols).agg(
@@ -62,7 +63,8 @@ def pack_pages(items: DataFrame, entity: Entity, page_cols: list[str], pos: Colu
     texts = F.transform("_items", lambda x: x["_item"])
     list_json = F.when(F.size("_items") == 1, F.element_at(texts, 1)).otherwise(
         F.concat(F.lit("["), F.array_join(texts, ","), F.lit("]")))
-    return grouped.select(*page_cols, envelope(entity, list_json, F.col("_total")).alias("raw_data"),
+    n_total = F.coalesce(F.col("_total"), F.size("_items").cast("long"))
+    return grouped.select(*page_cols, envelope(entity, list_json, n_total).alias("raw_data"),
                           F.size("_items").alias("n_items"))
 
 
