@@ -234,3 +234,94 @@ QUERIES.update({
     "latest_snapshot": q_latest_snapshot,
     "dedupe_latest": q_dedupe_latest,
 })
+
+
+# ---------------------------------------------------------------- audits
+def q_classify_pages(spark, sf_dir):
+    from contrail.operators.audit import classify_pages
+    from contrail.schemas import AIRLINES
+    return classify_pages(si.event_responses(spark, sf_dir), AIRLINES).drop("raw_data")
+
+
+def q_page_gaps(spark, sf_dir):
+    from contrail.operators.audit import page_gaps
+    from contrail.schemas import FLIGHTS
+    return page_gaps(si.gapped_flight_pages(spark, sf_dir), FLIGHTS,
+                     ["airport_code", "ingestion_date"], si.GAP_STEP)
+
+
+def q_page_audit(spark, sf_dir):
+    from contrail.operators.audit import page_audit
+    from contrail.schemas import FLIGHTS
+    return page_audit(si.gapped_flight_pages(spark, sf_dir), FLIGHTS,
+                      ["airport_code", "ingestion_date"])
+
+
+def q_request_plan(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.functions.times import time_block_4h
+    from contrail.operators.audit import request_plan
+    from contrail.operators.silver import silver_entity
+    codes = silver_entity(si.entity_bronze(spark, sf_dir, "airports"), "airports")
+    day = F.date_sub(F.lit(si.RUN_DATE).cast("date"), 1)
+    blocks = spark.range(6).select(F.concat(day.cast("string"), F.lit("T"),
+                                            F.lpad((F.col("id") * 4).cast("string"), 2, "0"),
+                                            F.lit(":00")).alias("block"))
+    ev = si.read_table(spark, sf_dir, "events")
+    landed = ev.select((F.col("event_id") % si.LOCATION_MODULUS).cast("string")
+                       .alias("airport_code"), time_block_4h("ts").alias("block"))
+    return request_plan(codes, blocks, landed, 6)
+
+
+def q_latest_entity_codes(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.operators.audit import first_seen_codes
+    from contrail.operators.parse import parse_pages
+    from contrail.operators.snapshot import latest_snapshot
+    from contrail.schemas import AIRLINES
+    from contrail.session import work_path
+    from contrail.sources.pages import read_page_files, write_page_files
+    root = work_path(spark, "page_files")
+    pages = si.event_bronze(spark, sf_dir).select(
+        F.lit("Airlines").alias("entity"), F.col("ingestion_date").alias("date"),
+        "offset", "raw_data")
+    write_page_files(pages, root, ["entity", "date"])
+    landed = read_page_files(spark, root).where(F.col("entity") == "Airlines")
+    items = parse_pages(latest_snapshot(landed, "date"), AIRLINES, keep=["offset"])
+    return first_seen_codes(items, F.col("item.AirlineID"),
+                            {"first_offset": F.col("offset"), "first_pos": F.col("pos")})
+
+
+def q_page_files_roundtrip(spark, sf_dir):
+    from pyspark.sql import functions as F
+    from contrail.operators.parse import name_of, parse_pages
+    from contrail.schemas import AIRPORTS, CITIES
+    from contrail.session import work_path
+    from contrail.sources.pages import read_page_files, write_page_files
+    root = work_path(spark, "page_files")
+    sup = si.read_table(spark, sf_dir, "supplier")
+    cust = si.read_table(spark, sf_dir, "customer")
+    pages = (si.reference_pages(si.airport_item_json(sup), AIRPORTS, overlap=False)
+             .withColumn("entity", F.lit("Airports"))
+             .unionByName(si.reference_pages(si.city_item_json(cust), CITIES, overlap=False)
+                          .withColumn("entity", F.lit("Cities")))
+             .withColumn("date", F.lit(si.RUN_DATE)))
+    write_page_files(pages, root, ["entity", "date"])
+    back = read_page_files(spark, root)
+    a = parse_pages(back.where(F.col("entity") == "Airports"), AIRPORTS, keep=["entity", "date"])
+    c = parse_pages(back.where(F.col("entity") == "Cities"), CITIES, keep=["entity", "date"])
+    cols = ["entity", F.col("date").cast("date").alias("date")]
+    return (a.select(*cols, F.col("item.AirportCode").alias("code"),
+                     name_of(F.col("item.Names.Name")).alias("name"))
+            .unionByName(c.select(*cols, F.col("item.CityCode").alias("code"),
+                                  name_of(F.col("item.Names.Name")).alias("name"))))
+
+
+QUERIES.update({
+    "classify_pages": q_classify_pages,
+    "page_gaps": q_page_gaps,
+    "page_audit": q_page_audit,
+    "request_plan": q_request_plan,
+    "latest_entity_codes": q_latest_entity_codes,
+    "page_files_roundtrip": q_page_files_roundtrip,
+})

@@ -230,3 +230,52 @@ SELECT airline_id, airline_id_icao, name FROM (
   SELECT *, row_number() OVER (PARTITION BY airline_id ORDER BY "offset", pos) AS rn FROM latest)
 WHERE rn = 1""",
 })
+
+
+_GAPPED = f"""
+ev AS (SELECT CAST(event_id % 30 AS VARCHAR) AS airport_code, event_id // 30 AS p FROM events),
+totals AS (SELECT airport_code, count(*) AS total FROM ev GROUP BY airport_code),
+pages AS (SELECT airport_code, p // 50 AS page, count(*) AS n FROM ev GROUP BY airport_code, p // 50),
+landed AS (SELECT * FROM pages WHERE page % 7 <> 6)"""
+
+ORACLE.update({
+    "classify_pages": """
+SELECT event_id,
+       CASE event_type WHEN 'view' THEN 'ok' WHEN 'click' THEN 'rate_limited'
+         WHEN 'signup' THEN (CASE WHEN user_id % 2 = 0 THEN 'not_found' ELSE 'processing_error' END)
+         WHEN 'purchase' THEN 'error' ELSE 'malformed' END AS status,
+       CASE event_type WHEN 'click' THEN 'Account Over Queries Per Second Limit'
+         WHEN 'signup' THEN 'BusinessError' WHEN 'purchase' THEN 'invalid_token' END AS detail
+FROM events""",
+    "page_gaps": f"""WITH {_GAPPED},
+expected AS (SELECT airport_code, unnest(generate_series(0, total - 1, 50)) AS o FROM totals)
+SELECT e.airport_code, {RUN_DATE} AS ingestion_date, CAST(e.o AS BIGINT) AS "offset"
+FROM expected e
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.airport_code = e.airport_code AND l.page * 50 = e.o)""",
+    "page_audit": f"""WITH {_GAPPED}
+SELECT l.airport_code, {RUN_DATE} AS ingestion_date, count(*) AS pages,
+       CAST(sum(l.n) AS BIGINT) AS fetched, max(t.total) AS announced,
+       greatest(max(t.total) - CAST(sum(l.n) AS BIGINT), 0) AS missing,
+       CAST(sum(l.n) AS BIGINT) >= max(t.total) AS complete
+FROM landed l JOIN totals t USING (airport_code) GROUP BY l.airport_code""",
+    "request_plan": f"""
+WITH codes AS (SELECT DISTINCT CAST(s_suppkey AS VARCHAR) AS airport_code FROM supplier
+               WHERE s_suppkey % 10 <> 0),
+blocks AS (SELECT strftime({RUN_DATE} - INTERVAL 1 DAY, '%Y-%m-%d') || 'T'
+                  || lpad(CAST(h * 4 AS VARCHAR), 2, '0') || ':00' AS block
+           FROM range(6) t(h)),
+landed AS (SELECT DISTINCT CAST(event_id % 30 AS VARCHAR) AS airport_code,
+                  strftime(ts, '%Y-%m-%d') || 'T' || lpad(CAST(hour(ts) - hour(ts) % 4 AS VARCHAR), 2, '0')
+                  || ':00' AS block FROM events)
+SELECT c.airport_code, b.block FROM codes c CROSS JOIN blocks b
+WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.airport_code = c.airport_code AND l.block = b.block)""",
+    "latest_entity_codes": f"""WITH {_EVENT_ITEMS}
+SELECT airline_id AS code, CAST("offset" AS BIGINT) AS first_offset, pos AS first_pos FROM (
+  SELECT *, row_number() OVER (PARTITION BY airline_id ORDER BY "offset", pos) AS rn FROM latest)
+WHERE rn = 1""",
+    "page_files_roundtrip": f"""
+SELECT 'Airports' AS entity, {RUN_DATE} AS date, CAST(s_suppkey AS VARCHAR) AS code, s_name AS name
+FROM supplier
+UNION ALL
+SELECT 'Cities', {RUN_DATE}, 'C' || CAST(c_custkey AS VARCHAR), c_name FROM customer""",
+})

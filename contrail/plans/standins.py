@@ -303,3 +303,53 @@ def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
                        event_item_json())
     return pages.select("raw_data", "ingestion_date", F.col("ingestion_date").alias("data_date"),
                         (F.col("page") * 100).cast("int").alias("offset"))
+
+
+# ------------------------------------------------------------ responses and gaps
+def event_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One response body per event, its shape chosen by ``event_type``.
+
+    view → a page with the event as one airline item; click → throttled
+    ``Error``; signup → ``ProcessingErrors`` with a "semantically incorrect"
+    description when ``user_id`` is even, else a plain business error;
+    purchase → lower-case ``error``; error → truncated JSON.
+    """
+    from contrail.schemas import AIRLINES
+    from contrail.sources.pages import envelope
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    t = F.col("event_type")
+    perr = F.concat(
+        F.lit('{"ProcessingErrors":{"ProcessingError":{"Type":"BusinessError","Description":"'),
+        F.when(F.col("user_id") % 2 == 0, F.lit("Request was semantically incorrect"))
+        .otherwise(F.lit("No flights found")), F.lit('"}}}'))
+    body = (F.when(t == "view", envelope(AIRLINES, event_item_json(), F.lit(1)))
+            .when(t == "click", F.lit('{"Error":"Account Over Queries Per Second Limit"}'))
+            .when(t == "signup", perr)
+            .when(t == "purchase", F.lit('{"error":"invalid_token"}'))
+            .otherwise(F.lit('{"AirlineResource":{"Airlines":')))
+    return ev.select("event_id", body.alias("raw_data"))
+
+
+GAP_STEP = 50
+
+
+def gapped_flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Departure pages of 50 from events with every seventh page of an airport missing.
+
+    airport = event_id % 30, position = event_id div 30, page = position div
+    50, offset = page * 50, TotalCount = events of the airport; pages with
+    page % 7 = 6 are not landed.
+    """
+    from contrail.schemas import FLIGHTS
+    from contrail.sources.pages import pack_pages
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", (F.col("event_id") % LOCATION_MODULUS).cast("string").alias("airport_code"),
+        (F.col("event_id") / LOCATION_MODULUS).cast("long").alias("p"))
+    totals = ev.groupBy("airport_code").agg(F.count(F.lit(1)).alias("total"))
+    ev = ev.join(totals, "airport_code").withColumn("page", (F.col("p") / GAP_STEP).cast("long"))
+    item = F.to_json(F.struct(F.struct(F.col("airport_code").alias("AirportCode"))
+                              .alias("Departure")))
+    pages = pack_pages(ev, FLIGHTS, ["airport_code", "page"], F.col("p"), item, F.col("total"))
+    return pages.where(F.col("page") % 7 != 6).select(
+        "airport_code", F.lit(RUN_DATE).cast("date").alias("ingestion_date"),
+        (F.col("page") * GAP_STEP).cast("int").alias("offset"), "raw_data")
