@@ -325,3 +325,53 @@ QUERIES.update({
     "latest_entity_codes": q_latest_entity_codes,
     "page_files_roundtrip": q_page_files_roundtrip,
 })
+
+
+# ---------------------------------------------------------------- incremental gold through tables
+FIRST_RUN_DATE = "2024-01-16"
+
+
+def q_gold_append_then_refresh(spark, sf_dir):
+    """Two runs into one table: as of the 16th with the flights known by then, then the 31st."""
+    from pyspark.sql import functions as F
+    from contrail.plans.jobs import goldenize
+    from contrail.session import work_path
+    path = work_path(spark, "gold")
+    flights = si.event_departures(spark, sf_dir)
+    dim = si.nation_locations(spark, sf_dir)
+    known_then = flights.where(F.col("departure_scheduled_time_utc")
+                               < F.lit(FIRST_RUN_DATE).cast("timestamp_ntz"))
+    goldenize(spark, known_then, dim, path, FIRST_RUN_DATE)
+    goldenize(spark, flights, dim, path, si.RUN_DATE)
+    return spark.read.parquet(path).select(*gold.GOLD_COLUMNS)
+
+
+def q_purge_null_hour(spark, sf_dir):
+    """A table holding hourly rows plus legacy per-day rows (hour NULL), purged."""
+    from pyspark.sql import functions as F
+    from contrail import schemas as S
+    from contrail.plans.sinks import append_table, purge_null_hour
+    from contrail.session import work_path
+    path = work_path(spark, "gold")
+    facts = _facts(spark, sf_dir)
+    work = cut_lineage(facts.select("date", "hour").distinct())
+    dim = si.nation_locations(spark, sf_dir)
+    append_table(gold.hourly_stats(facts, dim, work, dim.count(), work.count()), path,
+                 S.GOLD_AIRPORT_HOURS, ["date"])
+    daily = facts.groupBy("airport_code", "date").agg(F.count(F.lit(1)).alias("n"))
+    legacy = daily.unionByName(daily.select("airport_code", F.date_sub("date", 1).alias("date"),
+                                            "n")).distinct()
+    append_table(legacy.select(
+        "airport_code", F.lit(None).cast("double").alias("longitude"),
+        F.lit(None).cast("double").alias("latitude"), F.col("n").cast("int").alias("total_departures"),
+        F.lit(None).cast("double").alias("average_departure_delay_minutes"),
+        F.lit(0).alias("delayed_flights"), F.lit(0.0).alias("delayed_flights_percentage"),
+        "date", F.lit(None).cast("int").alias("hour")), path, S.GOLD_AIRPORT_HOURS, ["date"])
+    purge_null_hour(spark, path, S.GOLD_AIRPORT_HOURS)
+    return spark.read.parquet(path).select(*gold.GOLD_COLUMNS)
+
+
+QUERIES.update({
+    "gold_append_then_refresh": q_gold_append_then_refresh,
+    "purge_null_hour": q_purge_null_hour,
+})

@@ -279,3 +279,17 @@ FROM supplier
 UNION ALL
 SELECT 'Cities', {RUN_DATE}, 'C' || CAST(c_custkey AS VARCHAR), c_name FROM customer""",
 })
+
+
+_FULL_GOLD = f"""WITH {_FLIGHTS},
+work AS (SELECT DISTINCT date, hour FROM facts WHERE date < {RUN_DATE}),
+dim AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS airport_code, CAST(n_regionkey AS DOUBLE) AS longitude,
+         CAST(n_nationkey AS DOUBLE) AS latitude
+  FROM nation
+), {_GOLD_FROM_WORK}"""
+
+ORACLE.update({
+    "gold_append_then_refresh": _FULL_GOLD,
+    "purge_null_hour": _FULL_GOLD,
+})
