@@ -21,12 +21,18 @@ def deep_get(raw: Column | str, *keys: str, default: Column | None = None) -> Co
     return got if default is None else F.coalesce(got, default)
 
 
-def as_array_text(text: Column | str) -> Column:
-    """One-or-many: wrap a single JSON object in ``[...]`` so it parses as a one-item list."""
-    t = _col(text)
-    return F.when(F.ltrim(t).startswith("{"), F.concat(F.lit("["), t, F.lit("]"))).otherwise(t)
+def parse_list(text: Column | str, item_type: DataType) -> Column:
+    """Parse a list-or-single-object JSON text into ``array<item_type>`` (NULL if malformed).
 
+    ``from_json`` with an array schema already reads a root object as a
+    one-item array, so no text rewriting (and no second scan) is needed.
+    """
+    return F.from_json(_col(text), ArrayType(item_type))
 
-def parse_list(text: Column | str, item_type: DataType) -> Column:
-    """Parse a list-or-single-object JSON text into ``array<item_type>`` (NULL if malformed)."""
-    return F.from_json(as_array_text(text), ArrayType(item_type))
+
+def top_level(raw: Column | str) -> Column:
+    """``map<string,string>`` of a JSON object's top-level members (values as raw JSON text).
+
+    One parse of the document; NULL when it is not a JSON object.
+    """
+    return F.from_json(_col(raw), "map<string,string>")

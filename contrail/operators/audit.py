@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from contrail.functions.jsonpath import deep_get
+from contrail.functions.jsonpath import top_level
 from contrail.operators.joins import replicated_product
 from contrail.operators.parse import page_items, total_count
 from contrail.schemas import Entity
@@ -27,7 +27,7 @@ OFFSETS_PER_CHUNK = 4096
 def classify_pages(pages: DataFrame, entity: Entity, raw: str = "raw_data") -> DataFrame:
     """Add ``status`` and ``detail`` to each page.
 
-    status: ``malformed`` (not JSON), ``processing_error`` (``ProcessingErrors``
+    status: ``malformed`` (not a JSON object), ``processing_error`` (``ProcessingErrors``
     present; detail = its type), ``not_found`` (processing error whose
     description says the request was semantically incorrect),
     ``rate_limited`` (``Error`` names a throttling condition), ``error``
@@ -35,17 +35,21 @@ def classify_pages(pages: DataFrame, entity: Entity, raw: str = "raw_data") -> D
     ``empty`` (valid JSON without the list).
     """
     r = F.col(raw)
-    perr = deep_get(r, "ProcessingErrors")
-    perr_type = deep_get(r, "ProcessingErrors", "ProcessingError", "Type")
-    perr_desc = deep_get(r, "ProcessingErrors", "ProcessingError", "Description")
-    upper_err = deep_get(r, "Error")
-    lower_err = deep_get(r, "error")
+    top = top_level(r)  # the only full parse of the page
+
+    def member(key: str) -> Column:
+        return F.try_element_at(top, F.lit(key))
+    perr = member("ProcessingErrors")
+    perr_type = F.get_json_object(perr, "$.ProcessingError.Type")
+    perr_desc = F.get_json_object(perr, "$.ProcessingError.Description")
+    upper_err = member("Error")
+    lower_err = member("error")
     throttled = F.lit(False)
     for text in RATE_LIMIT_TEXTS:
         throttled = throttled | F.coalesce(upper_err.contains(text), F.lit(False))
-    listed = deep_get(r, entity.resource, entity.container, entity.list_key)
+    listed = F.get_json_object(member(entity.resource), f"$.{entity.container}.{entity.list_key}")
     status = (
-        F.when(r.isNull() | F.try_parse_json(r).isNull(), F.lit("malformed"))
+        F.when(top.isNull(), F.lit("malformed"))
         .when(perr.isNotNull() & F.coalesce(perr_desc.contains(NOT_FOUND_TEXT), F.lit(False)),
               F.lit("not_found"))
         .when(perr.isNotNull(), F.lit("processing_error"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from contrail.functions.jsonpath import as_array_text, deep_get, parse_list
+from contrail.functions.jsonpath import deep_get, parse_list
 from contrail.schemas import NAME_ENTRY, Entity
 
 # The preferred language of names given in several languages.
@@ -40,7 +40,7 @@ def name_of(text: Column) -> Column:
     Object ``{"@LanguageCode": .., "$": ..}`` → its ``$``; list of such →
     the English entry, else the first; plain text → itself.
     """
-    entries = F.from_json(as_array_text(text), ArrayType(NAME_ENTRY))
+    entries = F.from_json(text, ArrayType(NAME_ENTRY))
     preferred = F.filter(entries, lambda e: F.upper(e["@LanguageCode"]) == PREFERRED_LANGUAGE)
     structured = F.ltrim(text).startswith("{") | F.ltrim(text).startswith("[")
     return F.when(structured, F.coalesce(F.try_element_at(preferred, F.lit(1))["$"],

@@ -375,3 +375,38 @@ QUERIES.update({
     "gold_append_then_refresh": q_gold_append_then_refresh,
     "purge_null_hour": q_purge_null_hour,
 })
+
+
+# ---------------------------------------------------------------- end to end through tables
+def q_medallion_airport_hours(spark, sf_dir):
+    """Pages → bronze → silver → gold through real tables.
+
+    Airports pages from ``supplier`` (old and latest snapshot, overlapping
+    pages), departure pages from ``lineitem`` ⋈ ``orders``; one gold run.
+    """
+    from pyspark.sql import functions as F
+    from contrail import schemas as S
+    from contrail.plans import jobs
+    from contrail.session import work_path
+    root = work_path(spark, "lake")
+    jobs.create_tables(spark, root)
+    sup = si.read_table(spark, sf_dir, "supplier")
+    old = si.reference_pages(si.airport_item_json(sup, old=True), S.AIRPORTS, overlap=False)
+    new = si.reference_pages(si.airport_item_json(sup), S.AIRPORTS)
+    jobs.land_reference(spark, old.withColumn("container", F.lit("Airports")), root,
+                        si.OLD_SNAPSHOT_DATE)
+    jobs.land_reference(spark, new.withColumn("container", F.lit("Airports")), root, si.RUN_DATE)
+    jobs.land_departures(si.flight_pages(spark, sf_dir), root, si.RUN_DATE)
+
+    def t(layer, name):
+        return jobs.table_path(root, layer, name)
+    jobs.silverize_entity(spark.read.parquet(t("bronze", "airports")), "airports",
+                          t("silver", "airports"))
+    jobs.silverize_movements(spark.read.parquet(t("bronze", "flights")), t("silver", "flights"))
+    jobs.goldenize(spark, spark.read.parquet(t("silver", "flights")),
+                   spark.read.parquet(t("silver", "airports")),
+                   t("gold", "airports_daily_stats"), si.RUN_DATE)
+    return spark.read.parquet(t("gold", "airports_daily_stats")).select(*gold.GOLD_COLUMNS)
+
+
+QUERIES["medallion_airport_hours"] = q_medallion_airport_hours

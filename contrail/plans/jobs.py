@@ -81,7 +81,10 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
         return GoldRun("nothing_to_do", purged_partitions=purged)
 
     dim = cut_lineage(airports.select("airport_code", "longitude", "latitude"))
-    rows = cut_lineage(G.hourly_stats(facts, dim, work, dim.count(), older + recent, exact))
+    # Materialised once, clustered by date: both writes read it, and each date
+    # partition is written by one task (no tasks x dates small files).
+    rows = cut_lineage(G.hourly_stats(facts, dim, work, dim.count(), older + recent, exact)
+                       .repartition("date"))
     boundary = F.lit(refresh_start.isoformat()).cast("date")
     if older:
         append_table(rows.where(F.col("date") < boundary), gold_path, S.GOLD_AIRPORT_HOURS,
@@ -90,3 +93,77 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
         replace_partitions(rows.where(F.col("date") >= boundary), gold_path, ["date"],
                            S.GOLD_AIRPORT_HOURS)
     return GoldRun("written", older, recent, purged)
+
+
+# ---------------------------------------------------------------- tables and landing
+BRONZE_TABLES = {**{e.name: S.BRONZE_REFERENCE for e in S.REFERENCE_ENTITIES.values()},
+                 S.FLIGHTS.name: S.BRONZE_FLIGHTS}
+SILVER_TABLES = {**_SILVER_LAYOUTS, "flights": S.SILVER_FLIGHTS}
+
+
+def table_path(root: str, layer: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{layer}/{name}"
+
+
+def create_tables(spark: SparkSession, root: str, register_as: str | None = None) -> list[str]:
+    """Create every bronze, silver and gold table under ``root`` if missing (idempotent).
+
+    Bronze is partitioned by ``ingestion_date`` and gold by ``date``. With
+    ``register_as`` (a database name) each table is also registered in the
+    session catalog with ``CREATE TABLE IF NOT EXISTS ... LOCATION``.
+    """
+    from contrail.sources.tables import create_table_sql
+    made = []
+    specs = ([("bronze", n, s, ["ingestion_date"]) for n, s in BRONZE_TABLES.items()]
+             + [("silver", n, s, None) for n, s in SILVER_TABLES.items()]
+             + [("gold", "airports_daily_stats", S.GOLD_AIRPORT_HOURS, ["date"])])
+    if register_as:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {register_as}")
+    for layer, name, layout, parts in specs:
+        path = table_path(root, layer, name)
+        if not _exists(spark, path):
+            overwrite_table(spark.createDataFrame([], layout), path, layout, parts)
+        if register_as:
+            spark.sql(create_table_sql(f"{register_as}.{layer}_{name}", layout, parts, path))
+        made.append(path)
+    return made
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def land_reference(spark: SparkSession, pages: DataFrame, root: str,
+                   run_date: dt.date | str) -> list[str]:
+    """Append reference pages ``(container, offset, raw_data)`` to their bronze tables.
+
+    One pass per entity over ``pages`` (cache it if it is expensive); an
+    unknown container raises ``ValueError`` before anything is written.
+    """
+    from contrail.sources.pages import land_pages
+    containers = [r[0] for r in pages.select("container").distinct().collect()]  # a handful
+    for c in containers:
+        S.entity_for_container(c)
+    written = []
+    for c in containers:
+        e = S.entity_for_container(c)
+        rows = land_pages(pages.where(F.col("container") == c), run_date)
+        append_table(rows, table_path(root, "bronze", e.name), S.BRONZE_REFERENCE,
+                     ["ingestion_date"])
+        written.append(e.name)
+    return sorted(written)
+
+
+def land_departures(pages: DataFrame, root: str, run_date: dt.date | str) -> None:
+    """Append departure pages ``(airport_code, block, offset, raw_data)`` to bronze flights."""
+    from contrail.sources.pages import land_flight_pages
+    append_table(land_flight_pages(pages, run_date), table_path(root, "bronze", "flights"),
+                 S.BRONZE_FLIGHTS, ["ingestion_date"])
+
+
+def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
+    """A table created by :func:`create_tables`, read with its declared layout."""
+    layout = (BRONZE_TABLES if layer == "bronze" else SILVER_TABLES).get(name, S.GOLD_AIRPORT_HOURS)
+    return read_or_empty(spark, table_path(root, layer, name), layout)

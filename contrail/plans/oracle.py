@@ -293,3 +293,24 @@ ORACLE.update({
     "gold_append_then_refresh": _FULL_GOLD,
     "purge_null_hour": _FULL_GOLD,
 })
+
+
+ORACLE["medallion_airport_hours"] = f"""
+WITH flights AS (
+  SELECT CAST(l_suppkey AS VARCHAR) AS airport_code,
+         date_trunc('minute', o_orderdate) AS sched,
+         CASE WHEN l_returnflag = 'R' THEN NULL ELSE date_trunc('minute', l_shipdate) END AS actual
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+),
+facts AS (
+  SELECT airport_code, CAST(coalesce(actual, sched) AS DATE) AS date,
+         CAST(hour(coalesce(actual, sched)) AS INTEGER) AS hour,
+         epoch_us(actual) // 1000000 - epoch_us(sched) // 1000000 AS delay_seconds
+  FROM flights WHERE coalesce(actual, sched) IS NOT NULL
+),
+work AS (SELECT DISTINCT date, hour FROM facts WHERE date < {RUN_DATE}),
+dim AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS airport_code, CAST(s_nationkey AS DOUBLE) AS longitude,
+         s_acctbal AS latitude
+  FROM supplier WHERE s_suppkey % 10 <> 0
+), {_GOLD_FROM_WORK}"""
