@@ -400,13 +400,14 @@ def q_medallion_airport_hours(spark, sf_dir):
 
     def t(layer, name):
         return jobs.table_path(root, layer, name)
-    jobs.silverize_entity(spark.read.parquet(t("bronze", "airports")), "airports",
+    jobs.silverize_entity(jobs.read_layer(spark, root, "bronze", "airports"), "airports",
                           t("silver", "airports"))
-    jobs.silverize_movements(spark.read.parquet(t("bronze", "flights")), t("silver", "flights"))
-    jobs.goldenize(spark, spark.read.parquet(t("silver", "flights")),
-                   spark.read.parquet(t("silver", "airports")),
+    jobs.silverize_movements(jobs.read_layer(spark, root, "bronze", "flights"),
+                             t("silver", "flights"))
+    jobs.goldenize(spark, jobs.read_layer(spark, root, "silver", "flights"),
+                   jobs.read_layer(spark, root, "silver", "airports"),
                    t("gold", "airports_daily_stats"), si.RUN_DATE)
-    return spark.read.parquet(t("gold", "airports_daily_stats")).select(*gold.GOLD_COLUMNS)
+    return jobs.read_layer(spark, root, "gold", "airports_daily_stats").select(*gold.GOLD_COLUMNS)
 
 
 QUERIES["medallion_airport_hours"] = q_medallion_airport_hours

@@ -82,9 +82,12 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
 
     dim = cut_lineage(airports.select("airport_code", "longitude", "latitude"))
     # Materialised once, clustered by date: both writes read it, and each date
-    # partition is written by one task (no tasks x dates small files).
+    # partition is written by one task (no tasks x dates small files). The
+    # explicit partition count keeps AQE from coalescing a small result into
+    # one task that would then write every date folder in sequence.
+    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = cut_lineage(G.hourly_stats(facts, dim, work, dim.count(), older + recent, exact)
-                       .repartition("date"))
+                       .repartition(n_parts, "date"))
     boundary = F.lit(refresh_start.isoformat()).cast("date")
     if older:
         append_table(rows.where(F.col("date") < boundary), gold_path, S.GOLD_AIRPORT_HOURS,
@@ -106,11 +109,14 @@ def table_path(root: str, layer: str, name: str) -> str:
 
 
 def create_tables(spark: SparkSession, root: str, register_as: str | None = None) -> list[str]:
-    """Create every bronze, silver and gold table under ``root`` if missing (idempotent).
-
-    Bronze is partitioned by ``ingestion_date`` and gold by ``date``. With
-    ``register_as`` (a database name) each table is also registered in the
-    session catalog with ``CREATE TABLE IF NOT EXISTS ... LOCATION``.
+    """Create every bronze, silver and gold table folder under ``root`` if missing (idempotent).
+
+    Creation is a metadata operation (no Spark job): tables are read with
+    their declared layout (:func:`read_layer`), so an empty folder is an
+    empty table. Bronze is partitioned by ``ingestion_date`` and gold by
+    ``date``. With ``register_as`` (a database name) each table is also
+    registered in the session catalog with ``CREATE TABLE IF NOT EXISTS ...
+    LOCATION``.
     """
     from contrail.sources.tables import create_table_sql
     made = []
@@ -121,18 +127,17 @@ def create_tables(spark: SparkSession, root: str, register_as: str | None = None
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {register_as}")
     for layer, name, layout, parts in specs:
         path = table_path(root, layer, name)
-        if not _exists(spark, path):
-            overwrite_table(spark.createDataFrame([], layout), path, layout, parts)
+        _mkdirs(spark, path)
         if register_as:
             spark.sql(create_table_sql(f"{register_as}.{layer}_{name}", layout, parts, path))
         made.append(path)
     return made
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _mkdirs(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
 
 
 def land_reference(spark: SparkSession, pages: DataFrame, root: str,
