@@ -125,9 +125,9 @@ def dense_grid(dimension: DataFrame, work: DataFrame, dimension_rows: int,
     dim = dimension.select("airport_code", "longitude", "latitude")
     hours = work.select(*HOUR_KEYS)
     if dimension_rows <= work_rows:
-        grid = replicated_product(hours, dim, dimension_rows)
+        grid = replicated_product(hours, dim, dimension_rows, big_rows=work_rows)
     else:
-        grid = replicated_product(dim, hours, work_rows)
+        grid = replicated_product(dim, hours, work_rows, big_rows=dimension_rows)
     return grid.select("airport_code", "longitude", "latitude", *HOUR_KEYS)
 
 

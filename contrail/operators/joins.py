@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 _BUCKET = "__bucket"
+# Output rows one task should produce when a product is generated.
+ROWS_PER_TASK = 4_000_000
 
 
 def maybe_broadcast(df: DataFrame, rows: int | None,
@@ -27,21 +29,31 @@ def maybe_broadcast(df: DataFrame, rows: int | None,
 
 def replicated_product(big: DataFrame, small: DataFrame, small_rows: int,
                        max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                       buckets: int | None = None) -> DataFrame:
+                       buckets: int | None = None, big_rows: int | None = None) -> DataFrame:
     """Every row of ``big`` paired with every row of ``small`` as an equi-join.
 
     Used for densification, whose output *is* the product of two bounded
     dimension sets (airports x processed hours). ``big`` is split into
     ``k`` hash buckets and ``small`` is replicated once per bucket, then the
     two are equi-joined on the bucket id. With ``k = 1`` and a broadcast of
-    ``small`` this is a broadcast hash join streaming ``big`` (no shuffle of
-    ``big``); when ``small`` is too large to broadcast, ``k`` buckets spread
-    the output over ``k`` tasks, each producing |big|/k x |small| rows.
+    ``small`` this is a broadcast hash join streaming ``big``; when
+    ``small`` is too large to broadcast, ``k`` buckets spread the output
+    over ``k`` tasks, each producing |big|/k x |small| rows.
+
+    When ``big_rows`` is known, the streamed side is first spread over
+    enough partitions for the output (``ROWS_PER_TASK`` rows each): both
+    inputs are small but the product is not, and a small input usually
+    sits in one partition.
     """
+    spark = big.sparkSession
+    parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if small_rows <= max_broadcast_rows:
         k = 1
     else:
-        k = buckets or int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        k = buckets or parallelism
+    if big_rows is not None and k == 1:
+        want = max(parallelism, -(-big_rows * small_rows // ROWS_PER_TASK))
+        big = big.repartition(max(1, min(big_rows, want)))
     keyed_big = big.withColumn(_BUCKET, F.pmod(F.xxhash64(*big.columns), F.lit(k)))
     keyed_small = small.withColumn(_BUCKET, F.explode(F.sequence(F.lit(0).cast("long"),
                                                                  F.lit(k - 1).cast("long"))))
