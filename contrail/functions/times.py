@@ -84,10 +84,11 @@ def previous_day_block_4h(ts: Column | str) -> Column:
 
 
 def block_date(block: Column | str) -> Column:
-    """Date part of a ``yyyy-MM-ddTHH:00`` block."""
-    return F.to_date(F.split(_col(block), "T").getItem(0))
+    """Date part of a ``yyyy-MM-ddTHH:00`` block (NULL when malformed)."""
+    return F.try_to_date(F.try_element_at(F.split(_col(block), "T"), F.lit(1)))
 
 
 def block_hour_text(block: Column | str) -> Column:
-    """Hour text (``"04"``) of a ``yyyy-MM-ddTHH:00`` block."""
-    return F.split(F.split(_col(block), "T").getItem(1), ":").getItem(0)
+    """Hour text (``"04"``) of a ``yyyy-MM-ddTHH:00`` block (NULL when malformed)."""
+    time_part = F.try_element_at(F.split(_col(block), "T"), F.lit(2))
+    return F.try_element_at(F.split(time_part, ":"), F.lit(1))

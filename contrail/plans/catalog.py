@@ -161,9 +161,7 @@ def q_one_or_many(spark, sf_dir):
     from contrail.schemas import AIRLINES
     from contrail.sources.pages import pack_pages
     cust = si.read_table(spark, sf_dir, "customer")
-    items = si.airline_item_json(cust).join(
-        cust.select(F.col("c_custkey").cast("long").alias("id"), "c_mktsegment", "c_nationkey"),
-        "id")
+    items = si.airline_item_json(cust, keep=("c_mktsegment", "c_nationkey"))
     items = items.withColumn("page", (F.col("id") / 100).cast("long"))
     keys = ["c_mktsegment", "c_nationkey", "page"]
     pages = pack_pages(items, AIRLINES, keys, F.col("id"), F.col("item_json"))

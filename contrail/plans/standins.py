@@ -152,15 +152,16 @@ def country_item_json(orders: DataFrame, old: bool = False) -> DataFrame:
     return orders.select(k.cast("long").alias("id"), item.alias("item_json"))
 
 
-def airline_item_json(cust: DataFrame, old: bool = False) -> DataFrame:
-    """Airlines from ``customer``: id = custkey, ICAO = segment, name."""
+def airline_item_json(cust: DataFrame, old: bool = False, keep: tuple[str, ...] = ()
+                      ) -> DataFrame:
+    """Airlines from ``customer``: id = custkey, ICAO = segment, name (plus ``keep`` columns)."""
     k = F.col("c_custkey")
     name = F.concat(F.lit("old "), F.col("c_name")) if old else F.col("c_name")
     item = F.to_json(F.struct(
         k.cast("string").alias("AirlineID"), F.col("c_mktsegment").alias("AirlineID_ICAO"),
         F.struct(F.struct(F.lit("EN").alias("@LanguageCode"), name.alias("$")).alias("Name"))
         .alias("Names")))
-    return cust.select(k.cast("long").alias("id"), item.alias("item_json"))
+    return cust.select(k.cast("long").alias("id"), item.alias("item_json"), *keep)
 
 
 def aircraft_item_json(part: DataFrame, old: bool = False) -> DataFrame:
@@ -345,8 +346,11 @@ def gapped_flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select(
         "event_id", (F.col("event_id") % LOCATION_MODULUS).cast("string").alias("airport_code"),
         (F.col("event_id") / LOCATION_MODULUS).cast("long").alias("p"))
+    # One row per location: at most LOCATION_MODULUS rows, so broadcasting is bounded
+    # and a location holding a third of the events is not shuffled into one task.
     totals = ev.groupBy("airport_code").agg(F.count(F.lit(1)).alias("total"))
-    ev = ev.join(totals, "airport_code").withColumn("page", (F.col("p") / GAP_STEP).cast("long"))
+    ev = ev.join(F.broadcast(totals), "airport_code").withColumn(
+        "page", (F.col("p") / GAP_STEP).cast("long"))
     item = F.to_json(F.struct(F.struct(F.col("airport_code").alias("AirportCode"))
                               .alias("Departure")))
     pages = pack_pages(ev, FLIGHTS, ["airport_code", "page"], F.col("p"), item, F.col("total"))
