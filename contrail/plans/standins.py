@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 
 from contrail.sources.tables import read_table
 
+def landed(bronze: DataFrame) -> DataFrame:
+    """Materialise stand-in bronze rows once, like a stored landing table.
+
+    Without it the page building would run twice per query: once inside
+    the latest-snapshot subquery and once for the rows.
+    """
+    from contrail.session import cut_lineage
+    return cut_lineage(bronze)
+
+
 # Fixed parameters of the flagship stand-in.
 LOCATION_MODULUS = 30          # events spread over 30 location codes, nation keys 0..24
 RUN_DATE = "2024-01-31"        # run date: the last landed day is "yesterday"
@@ -210,7 +220,7 @@ def entity_bronze(spark: SparkSession, sf_dir: str, entity_name: str) -> DataFra
     old = land_pages(reference_pages(builder(src, old=True), entity, overlap=False),
                      OLD_SNAPSHOT_DATE)
     new = land_pages(reference_pages(builder(src), entity), RUN_DATE)
-    return old.unionByName(new)
+    return landed(old.unionByName(new))
 
 
 # ------------------------------------------------------------ flight pages
@@ -302,8 +312,9 @@ def event_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("event_id") / 100).cast("long").alias("page"))
     pages = pack_pages(ev, AIRLINES, ["ingestion_date", "page"], F.col("event_id"),
                        event_item_json())
-    return pages.select("raw_data", "ingestion_date", F.col("ingestion_date").alias("data_date"),
-                        (F.col("page") * 100).cast("int").alias("offset"))
+    return landed(pages.select(
+        "raw_data", "ingestion_date", F.col("ingestion_date").alias("data_date"),
+        (F.col("page") * 100).cast("int").alias("offset")))
 
 
 # ------------------------------------------------------------ responses and gaps
