@@ -41,9 +41,9 @@ def replicated_product(big: DataFrame, small: DataFrame, small_rows: int,
     over ``k`` tasks, each producing |big|/k x |small| rows.
 
     When ``big_rows`` is known, the streamed side is first spread over
-    enough partitions for the output (``ROWS_PER_TASK`` rows each): both
-    inputs are small but the product is not, and a small input usually
-    sits in one partition.
+    enough partitions for the output (``ROWS_PER_TASK`` rows each, an
+    explicit count that AQE keeps): both inputs are small but the product
+    is not, and a small input usually sits in one partition.
     """
     spark = big.sparkSession
     parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -52,8 +52,9 @@ def replicated_product(big: DataFrame, small: DataFrame, small_rows: int,
     else:
         k = buckets or parallelism
     if big_rows is not None and k == 1:
-        want = max(parallelism, -(-big_rows * small_rows // ROWS_PER_TASK))
-        big = big.repartition(max(1, min(big_rows, want)))
+        want = min(big_rows, -(-big_rows * small_rows // ROWS_PER_TASK))
+        if want > 1:
+            big = big.repartition(want)
     keyed_big = big.withColumn(_BUCKET, F.pmod(F.xxhash64(*big.columns), F.lit(k)))
     keyed_small = small.withColumn(_BUCKET, F.explode(F.sequence(F.lit(0).cast("long"),
                                                                  F.lit(k - 1).cast("long"))))

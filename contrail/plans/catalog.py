@@ -25,7 +25,7 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _work(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, int]:
     facts = _facts(spark, sf_dir)
     done = si.first_hour_done_set(facts)
-    work = cut_lineage(gold.work_set(facts, done, si.RUN_DATE, done_rows=1))
+    work = cut_lineage(gold.work_set(facts, done, si.RUN_DATE, done_rows=1), 1)
     return facts, work, work.count()
 
 
@@ -352,7 +352,7 @@ def q_purge_null_hour(spark, sf_dir):
     from contrail.session import work_path
     path = work_path(spark, "gold")
     facts = _facts(spark, sf_dir)
-    work = cut_lineage(facts.select("date", "hour").distinct())
+    work = cut_lineage(facts.select("date", "hour").distinct(), 1)
     dim = si.nation_locations(spark, sf_dir)
     append_table(gold.hourly_stats(facts, dim, work, dim.count(), work.count()), path,
                  S.GOLD_AIRPORT_HOURS, ["date"])

@@ -70,22 +70,25 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
         return GoldRun("no_flights")
 
     purged = purge_null_hour(spark, gold_path, S.GOLD_AIRPORT_HOURS)
-    done = cut_lineage(G.done_hours(read_or_empty(spark, gold_path, S.GOLD_AIRPORT_HOURS)))
+    # The done set, the work set and the dimension are bounded (24 x days;
+    # the reference list): one partition each.
+    done = cut_lineage(G.done_hours(read_or_empty(spark, gold_path, S.GOLD_AIRPORT_HOURS)), 1)
     done_rows = done.count()
     work = cut_lineage(G.work_set(facts, done, as_of_d, refresh_days,
-                                  done_rows if done_rows <= max_broadcast_rows else None))
+                                  done_rows if done_rows <= max_broadcast_rows else None), 1)
     counts = {r["refresh"]: r["n"] for r in work.groupBy("refresh").count()
               .withColumnRenamed("count", "n").collect()}
     older, recent = counts.get(False, 0), counts.get(True, 0)
     if older + recent == 0:
         return GoldRun("nothing_to_do", purged_partitions=purged)
 
-    dim = cut_lineage(airports.select("airport_code", "longitude", "latitude"))
+    dim = cut_lineage(airports.select("airport_code", "longitude", "latitude"), 1)
     # Materialised once, clustered by date: both writes read it, and each date
     # partition is written by one task (no tasks x dates small files). The
     # explicit partition count keeps AQE from coalescing a small result into
     # one task that would then write every date folder in sequence.
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_dates = work.select("date").distinct().count()
+    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_dates))
     rows = cut_lineage(G.hourly_stats(facts, dim, work, dim.count(), older + recent, exact)
                        .repartition(n_parts, "date"))
     boundary = F.lit(refresh_start.isoformat()).cast("date")

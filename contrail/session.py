@@ -65,7 +65,13 @@ def work_path(spark: SparkSession, *parts: str) -> str:
     return os.path.join(base, "contrail", *parts, uuid.uuid4().hex)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
+def cut_lineage(df: DataFrame, max_partitions: int | None = None) -> DataFrame:
+    """Materialise ``df`` in the shared checkpoint folder (survives executor loss).
+
+    ``max_partitions`` narrows a result with a known small bound (a work
+    set, a dimension) so it is not stored as hundreds of near-empty files.
+    """
     ensure_checkpoint_dir(df.sparkSession)
+    if max_partitions is not None:
+        df = df.coalesce(max_partitions)
     return df.checkpoint(eager=True)

@@ -52,3 +52,14 @@ def test_quarantine_and_audit(spark):
     assert ok.count() == 1 and sorted(r.status for r in bad.collect()) == ["error", "malformed"]
     a = page_audit(ok, S.COUNTRIES, ["g"]).first()
     assert (a.pages, a.fetched, a.announced, a.missing, a.complete) == (1, 2, 3, 1, False)
+
+
+def test_replicated_product_spreads_large_outputs(spark, monkeypatch):
+    from contrail.operators import joins
+    a = spark.range(37).select(F.col("id").alias("a")).coalesce(1)
+    b = spark.range(11).select(F.col("id").alias("b"))
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 10)
+    spread = joins.replicated_product(a, b, 11, big_rows=37)
+    assert spread.rdd.getNumPartitions() == 37 and spread.count() == 407
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 4_000_000)
+    assert joins.replicated_product(a, b, 11, big_rows=37).rdd.getNumPartitions() == 1
