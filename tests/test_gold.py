@@ -120,3 +120,12 @@ def test_empty_flights_skip(spark, tmp_table):
 def test_reference_rounding_mode_runs(spark, tmp_table, exact):
     goldenize(spark, flights(spark, BASE), dim(spark), tmp_table, "2024-01-05", exact=exact)
     assert table(spark, tmp_table)[("FRA", "2024-01-01", 10)]["average_departure_delay_minutes"] == 12.5
+
+
+def test_delay_of_exactly_fifteen_minutes_is_not_delayed(spark, tmp_table):
+    rows = [("FRA", "2024-01-01 10:00", 15), ("FRA", "2024-01-01 10:10", 16),
+            ("FRA", "2024-01-01 10:20", -5)]
+    goldenize(spark, flights(spark, rows), dim(spark), tmp_table, "2024-01-05")
+    r = table(spark, tmp_table)[("FRA", "2024-01-01", 10)]
+    assert (r["total_departures"], r["delayed_flights"], r["delayed_flights_percentage"],
+            r["average_departure_delay_minutes"]) == (3, 1, 33.33, 8.67)
