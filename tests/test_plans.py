@@ -37,3 +37,13 @@ def test_latest_snapshot_prunes_partitions(spark, tmp_path):
     p = plan(latest)
     assert "PartitionFilters: [isnotnull(ingestion_date" in p and "= Subquery subquery" in p, p
     assert len(os.listdir(path)) >= 5
+
+
+def test_work_set_anti_join_broadcasts_done_set(spark):
+    p = plan(QUERIES["work_set"](spark, SF))
+    # the work set is checkpointed; its lineage plan is in the checkpointed RDD, so re-plan
+    from contrail.operators import gold
+    from contrail.plans import standins as si
+    facts = gold.flight_facts(si.event_departures(spark, SF))
+    p = plan(gold.work_set(facts, si.first_hour_done_set(facts), si.RUN_DATE, done_rows=1))
+    assert "BroadcastHashJoin" in p and "LeftAnti" in p
