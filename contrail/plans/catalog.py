@@ -409,3 +409,18 @@ def q_medallion_airport_hours(spark, sf_dir):
 
 
 QUERIES["medallion_airport_hours"] = q_medallion_airport_hours
+
+
+def q_silver_entity(spark, sf_dir):
+    """The generic mapper in its four non-airport configurations, as (entity, key, name)."""
+    from pyspark.sql import functions as F
+    from contrail.operators.silver import SPECS, silver_entity
+    out = None
+    for name in ("cities", "countries", "airlines", "aircraft_summaries"):
+        rows = silver_entity(si.entity_bronze(spark, sf_dir, name), name).select(
+            F.lit(name).alias("entity"), F.col(SPECS[name].key).alias("key"), "name")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+QUERIES["silver_entity"] = q_silver_entity

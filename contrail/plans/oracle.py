@@ -314,3 +314,10 @@ dim AS (
          s_acctbal AS latitude
   FROM supplier WHERE s_suppkey % 10 <> 0
 ), {_GOLD_FROM_WORK}"""
+
+
+ORACLE["silver_entity"] = """
+SELECT 'cities' AS entity, 'C' || CAST(c_custkey AS VARCHAR) AS key, c_name AS name FROM customer
+UNION ALL SELECT 'countries', CAST(o_orderkey AS VARCHAR), o_orderpriority FROM orders
+UNION ALL SELECT 'airlines', CAST(c_custkey AS VARCHAR), c_name FROM customer
+UNION ALL SELECT 'aircraft_summaries', CAST(p_partkey AS VARCHAR), p_name FROM part"""
