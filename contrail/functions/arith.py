@@ -26,7 +26,8 @@ def mean_minutes_2dp(sum_seconds: Column, n: Column) -> Column:
     s = sum_seconds.cast("long")
     cnt = n.cast("long")
     magnitude = floor_div(F.abs(s) * 10 + cnt * 3, cnt * 6)
-    return F.when(cnt > 0, F.signum(s) * magnitude / F.lit(100.0))
+    # integer sign: a tiny negative mean rounds to 0.0, never to -0.0
+    return F.when(cnt > 0, F.signum(s).cast("long") * magnitude / F.lit(100.0))
 
 
 def percentage_2dp(part: Column, total: Column) -> Column:

@@ -93,3 +93,10 @@ def test_exact_mean_and_percentage_against_fractions(spark):
         assert r.p == want, (r.d, r.t, r.p)
     assert spark.createDataFrame([(0, 0)], "s long, n long").select(
         mean_minutes_2dp(F.col("s"), F.col("n"))).first()[0] is None
+
+
+def test_small_negative_mean_is_positive_zero(spark):
+    import math
+    v = spark.createDataFrame([(-1, 100)], "s long, n long").select(
+        mean_minutes_2dp(F.col("s"), F.col("n"))).first()[0]
+    assert v == 0.0 and math.copysign(1.0, v) == 1.0
