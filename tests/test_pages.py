@@ -73,7 +73,7 @@ def test_empty_bronze_gives_empty_silver(spark):
 def test_movements_dedupe_option(spark):
     leg = {"AirportCode": "FRA", "ScheduledTimeUTC": {"DateTime": "2024-01-01T10:00Z"},
            "ScheduledTimeLocal": {"DateTime": "2024-01-01T11:00"}}
-    f = {"Departure": leg, "MarketingCarrier": {"AirlineID": "LH", "FlightNumber": "1"}}
+    f = {"Departure": leg, "MarketingCarrier": {"AirlineID": "XY", "FlightNumber": "1"}}
     raw = json.dumps({"FlightStatusResource": {"Flights": {"Flight": f}}})
     df = spark.createDataFrame([(raw, "2024-01-02", 0), (raw, "2024-01-03", 0)],
                                "raw_data string, ingestion_date string, offset int") \

@@ -10,7 +10,7 @@ from contrail.streaming.incremental import land_page_stream, movements_stream
 def flight_page(airport, flights):
     items = [{"Departure": {"AirportCode": airport,
                             "ScheduledTimeUTC": {"DateTime": t}, "ScheduledTimeLocal": {"DateTime": t[:-1]}},
-              "MarketingCarrier": {"AirlineID": "LH", "FlightNumber": n}} for n, t in flights]
+              "MarketingCarrier": {"AirlineID": "XY", "FlightNumber": n}} for n, t in flights]
     return json.dumps({"FlightStatusResource": {"Flights": {"Flight": items},
                                                 "Meta": {"TotalCount": len(items)}}})
 
