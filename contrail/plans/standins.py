@@ -239,53 +239,61 @@ def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from contrail.functions.times import format_local_time, format_utc_time, time_block_4h
     from contrail.schemas import FLIGHTS
-    from contrail.sources.pages import pack_pages
+    from contrail.sources.pages import envelope
+    # Lines are grouped per order first (small structs, partial aggregation),
+    # then joined 1:1 to orders and serialised with one to_json per page.
     li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
         "l_linestatus", "l_shipdate")
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus",
+        "l_shipdate"))).alias("lines"))
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    j = li.join(od, li.l_orderkey == od.o_orderkey)
-    returned = F.col("l_returnflag") == "R"
+    j = lines.join(od, lines.l_orderkey == od.o_orderkey)
 
     def t(c):
         return F.struct(c.alias("DateTime"))
-    item = F.to_json(F.struct(
-        F.struct(
-            F.col("l_suppkey").cast("string").alias("AirportCode"),
-            t(format_local_time("o_orderdate")).alias("ScheduledTimeLocal"),
-            t(format_utc_time("o_orderdate")).alias("ScheduledTimeUTC"),
-            t(F.when(returned, F.lit("n/a")).otherwise(format_local_time("l_shipdate")))
-            .alias("ActualTimeLocal"),
-            t(F.when(returned, F.lit("n/a")).otherwise(format_utc_time("l_shipdate")))
-            .alias("ActualTimeUTC"),
-            F.struct(F.col("l_linestatus").alias("Code"),
-                     F.col("l_returnflag").alias("Definition")).alias("TimeStatus"),
-            F.struct(F.concat(F.lit("T"), F.col("l_linenumber").cast("string")).alias("Name"),
-                     (F.col("l_partkey") % 100).cast("string").alias("Gate")).alias("Terminal"),
-        ).alias("Departure"),
-        F.struct(
-            F.col("o_custkey").cast("string").alias("AirportCode"),
-            t(format_local_time("l_shipdate")).alias("ScheduledTimeLocal"),
-        ).alias("Arrival"),
-        F.struct(F.lit("MC").alias("AirlineID"),
-                 F.concat(F.col("l_orderkey").cast("string"), F.lit("-"),
-                          F.col("l_linenumber").cast("string")).alias("FlightNumber"))
-        .alias("MarketingCarrier"),
-        F.struct(F.col("o_orderpriority").alias("AirlineID"),
-                 F.col("l_linenumber").cast("string").alias("FlightNumber"))
-        .alias("OperatingCarrier"),
-        F.struct(F.col("l_partkey").cast("string").alias("AircraftCode")).alias("Equipment"),
-        F.struct(F.col("o_orderstatus").alias("Code")).alias("FlightStatus"),
-        F.lit("Passenger").alias("ServiceType"),
-    ))
-    staged = j.select(
+
+    def item(x):
+        returned = x["l_returnflag"] == "R"
+        return F.struct(
+            F.struct(
+                x["l_suppkey"].cast("string").alias("AirportCode"),
+                t(format_local_time(F.col("o_orderdate"))).alias("ScheduledTimeLocal"),
+                t(format_utc_time(F.col("o_orderdate"))).alias("ScheduledTimeUTC"),
+                t(F.when(returned, F.lit("n/a")).otherwise(format_local_time(x["l_shipdate"])))
+                .alias("ActualTimeLocal"),
+                t(F.when(returned, F.lit("n/a")).otherwise(format_utc_time(x["l_shipdate"])))
+                .alias("ActualTimeUTC"),
+                F.struct(x["l_linestatus"].alias("Code"),
+                         x["l_returnflag"].alias("Definition")).alias("TimeStatus"),
+                F.struct(F.concat(F.lit("T"), x["l_linenumber"].cast("string")).alias("Name"),
+                         (x["l_partkey"] % 100).cast("string").alias("Gate")).alias("Terminal"),
+            ).alias("Departure"),
+            F.struct(
+                F.col("o_custkey").cast("string").alias("AirportCode"),
+                t(format_local_time(x["l_shipdate"])).alias("ScheduledTimeLocal"),
+            ).alias("Arrival"),
+            F.struct(F.lit("MC").alias("AirlineID"),
+                     F.concat(F.col("o_orderkey").cast("string"), F.lit("-"),
+                              x["l_linenumber"].cast("string")).alias("FlightNumber"))
+            .alias("MarketingCarrier"),
+            F.struct(F.col("o_orderpriority").alias("AirlineID"),
+                     x["l_linenumber"].cast("string").alias("FlightNumber"))
+            .alias("OperatingCarrier"),
+            F.struct(x["l_partkey"].cast("string").alias("AircraftCode")).alias("Equipment"),
+            F.struct(F.col("o_orderstatus").alias("Code")).alias("FlightStatus"),
+            F.lit("Passenger").alias("ServiceType"),
+        )
+    items = F.transform("lines", item)
+    n = F.size("lines")
+    list_json = F.when(n == 1, F.to_json(F.element_at(items, 1))).otherwise(F.to_json(items))
+    return j.select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("airport_code"),
-        time_block_4h("o_orderdate").alias("block"), F.col("l_linenumber"),
-        item.alias("item_json"))
-    pages = pack_pages(staged, FLIGHTS, ["o_orderkey", "airport_code", "block"],
-                       F.col("l_linenumber"), F.col("item_json"))
-    return pages.withColumn("offset", F.lit(0))
+        time_block_4h("o_orderdate").alias("block"),
+        envelope(FLIGHTS, list_json, n.cast("long")).alias("raw_data"),
+        n.alias("n_items"), F.lit(0).alias("offset"))
 
 
 def flight_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
