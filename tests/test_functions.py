@@ -100,3 +100,15 @@ def test_small_negative_mean_is_positive_zero(spark):
     v = spark.createDataFrame([(-1, 100)], "s long, n long").select(
         mean_minutes_2dp(F.col("s"), F.col("n"))).first()[0]
     assert v == 0.0 and math.copysign(1.0, v) == 1.0
+
+
+def test_deep_get_and_top_level(spark):
+    from contrail.functions.jsonpath import deep_get, top_level
+    df = spark.createDataFrame([('{"a":{"b":{"c":"x"}},"d":[1,2]}',), ('{"a":{}}',), ("{bad",)],
+                               "raw string")
+    got = df.select(deep_get("raw", "a", "b", "c").alias("v"),
+                    deep_get("raw", "a", "b", "c", default=F.lit("dflt")).alias("w"),
+                    top_level("raw").alias("m")).collect()
+    assert [r.v for r in got] == ["x", None, None]
+    assert [r.w for r in got] == ["x", "dflt", "dflt"]
+    assert got[0].m == {"a": '{"b":{"c":"x"}}', "d": "[1,2]"} and got[2].m is None
