@@ -47,3 +47,12 @@ def test_work_set_anti_join_broadcasts_done_set(spark):
     facts = gold.flight_facts(si.event_departures(spark, SF))
     p = plan(gold.work_set(facts, si.first_hour_done_set(facts), si.RUN_DATE, done_rows=1))
     assert "BroadcastHashJoin" in p and "LeftAnti" in p
+
+
+def test_no_query_uses_cross_joins_or_python(spark):
+    banned = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
+              "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas")
+    for key, q in QUERIES.items():
+        p = plan(q(spark, SF))
+        hits = [b for b in banned if b in p]
+        assert not hits, (key, hits)
