@@ -21,10 +21,10 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.QUERIES) <= set(E.oracle_sql())
 
 
-@pytest.mark.parametrize("key", sorted(E.queries()))
+@pytest.mark.parametrize("key", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, con, key):
     df = E.queries()[key](spark, SF)
     rows = [tuple(r) for r in df.collect()]
