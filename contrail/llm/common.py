@@ -48,8 +48,8 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _powers(n: int) -> np.ndarray:
-    out = np.full(n, _STEP, dtype=np.uint64)
+def _powers(n: int, step: np.uint64 = _STEP) -> np.ndarray:
+    out = np.full(n, step, dtype=np.uint64)
     if n:
         out[0] = 1
     return np.multiply.accumulate(out)
@@ -107,22 +107,18 @@ def window_hashes(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np.
     """
     counts = np.diff(first)
     n = len(words)
-    acc = np.zeros(max(n, 1), np.uint64)[:n]
-    factor = np.uint64(1)
-    for j in range(width):
-        if n > j:
-            acc[:n - j] += words[j:] * factor
-        factor = factor * np.uint64(0xD6E8FEB86659FD93)
+    acc = np.zeros(n, np.uint64)
+    factors = _powers(width, np.uint64(0xD6E8FEB86659FD93))
+    for j in range(min(width, n)):
+        acc[:n - j] += words[j:] * factors[j]
     windows = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
     bounds = np.concatenate([[0], np.cumsum(windows)])
     total = int(bounds[-1])
     pos = np.arange(total) - np.repeat(bounds[:-1], windows) + np.repeat(first[:-1], windows)
     out = acc[pos]
     for k in np.flatnonzero((counts > 0) & (counts < width)):
-        h = np.uint64(counts[k])
-        for w in words[first[k]:first[k + 1]]:
-            h = (h ^ w) * np.uint64(0xD6E8FEB86659FD93) & np.uint64(2**64 - 1)
-        out[bounds[k]] = h
+        few = words[first[k]:first[k + 1]]
+        out[bounds[k]] = (few * factors[:len(few)]).sum(dtype=np.uint64) + np.uint64(len(few))
     return mix64(out), bounds
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import mixing, packing, pii, quality, secrets
+from contrail.llm import embedding_join, mixing, ngram_join, packing, pii, quality, secrets
 from contrail.llm.common import table
 from contrail.session import work_path
 
@@ -24,6 +24,14 @@ def op2_pack_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def op3_embedding_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.links(table(spark, sf_dir, "embeddings"))
+
+
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.links(table(spark, sf_dir, "documents"))
+
+
 def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return pii.pseudonymise(docs, counts=True)
@@ -41,7 +49,8 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mix_sources, op2_pack_sum_of_squares, op5_pii_pseudonyms, op9_quality_rules,
+    f.__name__: f for f in (op1_mix_sources, op2_pack_sum_of_squares, op3_embedding_near_dups,
+                            op4_ngram_jaccard_join, op5_pii_pseudonyms, op9_quality_rules,
                             op10_secret_ledger)}
 
 ORACLE: dict[str, str] = {}
