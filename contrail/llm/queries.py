@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import embedding_join, mixing, ngram_join, packing, pii, quality, secrets
+from contrail.llm import (
+    embedding_join,
+    language_model,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    secrets,
+    token_counts,
+)
 from contrail.llm.common import table
 from contrail.session import work_path
 
@@ -37,6 +47,16 @@ def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(docs, counts=True)
 
 
+def op6_kneser_ney_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.train_and_score(table(spark, sf_dir, "documents"))
+
+
+def op7_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -50,7 +70,8 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_pack_sum_of_squares, op3_embedding_near_dups,
-                            op4_ngram_jaccard_join, op5_pii_pseudonyms, op9_quality_rules,
+                            op4_ngram_jaccard_join, op5_pii_pseudonyms, op6_kneser_ney_scores,
+                            op7_trie_token_counts, op9_quality_rules,
                             op10_secret_ledger)}
 
 ORACLE: dict[str, str] = {}
