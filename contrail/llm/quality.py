@@ -2,8 +2,8 @@
 
 ``RULES`` names ratios of length, symbols, stop words and lines with their
 allowed range and the least number of words from which a rule applies.
-``quality_columns`` compiles measures and rules into expressions of a single
-Spark projection over the whole text: no user functions and no shuffle.
+``assessment`` compiles measures and rules into one expression over the whole
+text, for a single projection or filter: no user functions and no shuffle.
 
 Repeated 8-word windows are found inside the row: each window is hashed, and
 only texts in which a hash occurs twice sort their windows to see which words
@@ -90,22 +90,27 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
     return F.when(F.size(words) > width, _let(hashes, cover)).otherwise(F.lit(0))
 
 
-def _rule(rule: Rule) -> Column:
-    ratio_of = F.col(rule.numerator).cast("double")
-    base = F.col(rule.denominator)
+def _rule(rule: Rule, m: Column) -> Column:
+    over, base = m[rule.numerator].cast("double"), m[rule.denominator]
     ok = F.lit(True)
     if rule.low is not None:
-        ok = ok & (ratio_of >= F.lit(rule.low) * base)
+        ok = ok & (over >= F.lit(rule.low) * base)
     if rule.high is not None:
-        ok = ok & (ratio_of <= F.lit(rule.high) * base)
-    return (F.col("n_words") < rule.from_words) | ok
+        ok = ok & (over <= F.lit(rule.high) * base)
+    return (m["n_words"] < rule.from_words) | ok
 
 
-def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text",
-            keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Measures, base verdict, failed rules and ``kept`` per row, beside the columns ``keep``."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    # The words are bound once, as a lambda variable: every measure over them reads that array.
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_stop_words",
+            "n_same_neighbours", "n_upper")
+
+
+def assessment(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """One struct of the measures, base_failed, failed_rules and kept.
+
+    Words, lines and measures are each bound once, as lambda variables, so that
+    a filter on a field does not evaluate them again for every rule.
+    """
+    text = F.coalesce(text, F.lit(""))
     over_words = _let(_words(text), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"),
         repeated_words(w).cast("long").alias("n_repeat_words"),
@@ -114,22 +119,33 @@ def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "t
     over_lines = _let(F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0), lambda n: F.struct(
         F.size(n).cast("long").alias("n_lines"),
         (F.size(n) - F.size(F.array_distinct(n))).cast("long").alias("n_dup_lines")))
-    outer = [F.col(c) for c in keep]
-    m = docs.select(
-        *outer, over_words.alias("_w"), over_lines.alias("_l"),
-        F.length(F.regexp_replace(text, SPACE_RUN, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
-        (F.length(text) - F.length(F.regexp_replace(text, r"[A-ZÀ-ÖØ-Þ]+", ""))).cast("long").alias("n_upper"))
-    m = m.select(*keep, "word_chars", "n_symbols", "n_upper", "_w.*", "_l.*")
-    base_failed = (F.col("n_words") < 20) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 30)
-    failed = F.filter(F.array(*[F.when(~_rule(r), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
-    m = m.withColumns({"base_failed": base_failed, "failed_rules": failed})
-    return m.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0))
+
+    def without(pattern: str) -> Column:
+        return F.length(F.regexp_replace(text, pattern, "")).cast("long")
+
+    parts = F.struct(over_words.alias("w"), over_lines.alias("l"), without(SPACE_RUN).alias("word_chars"),
+                     (F.length(text) - without(r"[#*$%&|<>]+")).alias("n_symbols"),
+                     (F.length(text) - without(r"[A-ZÀ-ÖØ-Þ]+")).alias("n_upper"))
+    flat = _let(parts, lambda p: F.struct(*[
+        p["w"][k].alias(k) for k in ("n_words", "n_repeat_words", "n_stop_words", "n_same_neighbours")],
+        *[p["l"][k].alias(k) for k in ("n_lines", "n_dup_lines")],
+        *[p[k].alias(k) for k in ("word_chars", "n_symbols", "n_upper")]))
+
+    def verdict(m: Column) -> Column:
+        failed = F.filter(F.array(*[F.when(~_rule(r, m), F.lit(r.name)) for r in rules]), lambda x: x.isNotNull())
+        base_failed = (m["n_words"] < 20) | (m["n_repeat_words"] * 100 > m["n_words"] * 30)
+        return F.struct(*[m[k].alias(k) for k in MEASURES], base_failed.alias("base_failed"), failed.alias("failed_rules"),
+                        (~base_failed & (F.size(failed) == 0)).alias("kept"))
+
+    return _let(flat, verdict)
+
+
+def measure(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text",
+            keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Measures, base verdict, failed rules and ``kept`` per row, beside the columns ``keep``."""
+    return docs.select(*[F.col(c) for c in keep], assessment(F.col(text_col), rules).alias("_m")).select(*keep, "_m.*")
 
 
 def filtered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns only."""
-    columns = docs.columns
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row"), F.col(text_col).alias("_text"))
-    kept = measure(held, rules, "_text", keep=("_row",)).where("kept")
-    return kept.select(*[F.col("_row").getField(c).alias(c) for c in columns])
+    """The rows of ``docs`` that the rules keep."""
+    return docs.where(assessment(F.col(text_col), rules)["kept"])

@@ -15,6 +15,7 @@ from contrail.llm import (
     pii,
     quality,
     secrets,
+    substring_dedup,
     token_counts,
 )
 from contrail.llm.common import table
@@ -57,6 +58,10 @@ def op7_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS))
 
 
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
@@ -71,7 +76,7 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_pack_sum_of_squares, op3_embedding_near_dups,
                             op4_ngram_jaccard_join, op5_pii_pseudonyms, op6_kneser_ney_scores,
-                            op7_trie_token_counts, op9_quality_rules,
+                            op7_trie_token_counts, op8_repeated_passages, op9_quality_rules,
                             op10_secret_ledger)}
 
 ORACLE: dict[str, str] = {}
