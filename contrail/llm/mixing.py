@@ -91,13 +91,13 @@ def _position(rank: Column, share: Column, schedules: Sequence[Schedule]) -> Col
 
 def source_targets(sizes: DataFrame, schedules: Sequence[Schedule] = DEFAULT_SCHEDULES,
                    budget: float = 1.5, cap: float = 2.0) -> DataFrame:
-    """One row per source: source, source_rank, source_size, target.
+    """One row per source key: source, source_rank, source_size, target.
 
     The windows run over one row per source. Sorted by cap over weight, source
     ``i`` is capped exactly if the budget left by the sources before it would
     lift it to its cap; the first one that is not gives the common level.
     """
-    everywhere = Window.orderBy(F.col("source").asc_nulls_last())
+    everywhere = Window.orderBy("source")
     s = (sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
          .withColumn("source_rank", F.row_number().over(everywhere) - 1))
     s = s.withColumn("weight", _by_rank(F.col("source_rank"), [_integral(x) for x in schedules]))
@@ -121,21 +121,21 @@ def _placed(rows: DataFrame, lean: DataFrame, schedules, budget, cap, bucket_dig
     ``lean`` holds (source, size, order_key) of the same rows, so that the
     totals need no second scan of the texts.
     """
-    targets = source_targets(lean, schedules, budget, cap).withColumnRenamed("source", "target_source")
+    targets = source_targets(lean, schedules, budget, cap).withColumnRenamed("source", "_of")
     bucket = F.substring("order_key", 1, bucket_digits)
     in_source = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (lean.withColumn("bucket", bucket).groupBy("source", "bucket")
                .agg(F.sum("size").alias("bucket_size"))
                .withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(in_source), F.lit(0)))
                .drop("bucket_size"))
-    plan = (offsets.join(targets, F.col("source").eqNullSafe(F.col("target_source"))).drop("target_source")
+    plan = (offsets.join(targets, F.col("source") == F.col("_of")).drop("_of")
             .withColumnsRenamed({"source": "plan_source", "bucket": "plan_bucket"}))
     in_bucket = (Window.partitionBy("source", "bucket").orderBy("order_key", "size", "tie")
                  .rowsBetween(Window.unboundedPreceding, -1))
     placed = rows.withColumn("bucket", bucket).withColumn(
         "words_before", F.coalesce(F.sum("size").over(in_bucket), F.lit(0)))
-    out = placed.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))
-                      & (F.col("bucket") == F.col("plan_bucket")))
+    # The join's keys are the window's, so rows are shuffled once for both.
+    out = placed.join(plan, (F.col("source") == F.col("plan_source")) & (F.col("bucket") == F.col("plan_bucket")))
     return (out.withColumn("words_before", F.col("words_before") + F.col("bucket_start"))
             .withColumn("wanted", F.floor(F.col("target") + 0.5))
             .withColumn("passes", F.when(F.col("source_size") > 0, F.expr("wanted div source_size")).otherwise(F.lit(0)))
@@ -143,6 +143,11 @@ def _placed(rows: DataFrame, lean: DataFrame, schedules, budget, cap, bucket_dig
             .drop("plan_source", "plan_bucket", "bucket_start", "bucket"))
 
 
+def _source_key(source_col: str) -> Column:
+    """The source as a key that is never null and sorts by code point, the null source last."""
+    return F.coalesce(F.concat(F.lit("+"), F.col(source_col).cast("string")), F.lit("-")).alias("source")
+
+
 def _order_key(id_col: str) -> Column:
     return F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")))
 
@@ -155,7 +160,7 @@ def mix_plan(docs: DataFrame, schedules: Sequence[Schedule] = DEFAULT_SCHEDULES,
     Rows come range-sorted by position; documents that are not used come last.
     """
     sized = stage_table(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        F.col(id_col).alias("doc_id"), _source_key(source_col), word_count(F.col(text_col)).alias("size"),
         _order_key(id_col).alias("order_key"), F.xxhash64(text_col).alias("tie")), "mix")
     p = _placed(sized, sized.select("source", "size", "order_key"), schedules, budget, cap, bucket_digits)
     part = F.greatest(F.least(F.col("rest") - F.col("words_before"), F.col("size")), F.lit(0))
@@ -176,7 +181,7 @@ def mix_documents(docs: DataFrame, schedules: Sequence[Schedule] = DEFAULT_SCHED
     """
     columns = docs.columns
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-                       F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+                       _source_key(source_col), word_count(F.col(text_col)).alias("size"),
                        _order_key(id_col).alias("order_key"), F.xxhash64(text_col).alias("tie"))
     lean = stage_table(held.select("source", "size", "order_key"), "mix")
     p = _placed(held, lean, schedules, budget, cap, bucket_digits).where("size > 0")
