@@ -28,19 +28,3 @@ def utc_offset_hours(text: Column | str) -> Column:
             .when(t.rlike(UTC_OFFSET_PATTERN),
                   sign * (hours + minutes / F.lit(60.0)) + F.lit(0.0)))  # -00:00 → 0.0
 
-
-def utc_offset_hours_reference(text: Column | str) -> Column:
-    """Fixed-position form (characters 2-3 hours, 5-6 minutes), lenient casts.
-
-    Kept for users who need the older numbers: ``+0530`` gives 5.0 and
-    ``+2:30`` / ``+01`` give NULL here.
-    """
-    t = _col(text)
-    sign = (F.when(t.startswith("+"), F.lit(1)).when(t.startswith("-"), F.lit(-1))
-            .otherwise(F.lit(0)))
-    mm = F.substring(t, 5, 2)
-    return F.when(
-        t.isNotNull(),
-        sign * (F.substring(t, 2, 2).try_cast("double")
-                + F.when(mm.isNotNull(), mm.try_cast("double") / 60).otherwise(F.lit(0))),
-    )

@@ -95,24 +95,33 @@ def expected_offsets(totals: DataFrame, group: list[str], step: int) -> DataFram
 
 def page_gaps(pages: DataFrame, entity: Entity, group: list[str], step: int | None = None
               ) -> DataFrame:
-    """Offsets announced by ``TotalCount`` but not landed, per group (also the resume set)."""
+    """Offsets announced by ``TotalCount`` but not landed, per group (also the resume set).
+
+    A group whose pages announce no total has one row with a NULL offset:
+    how much of it is missing is unknown.
+    """
     step = step or entity.page_size
     landed = pages.select(*group, F.col("offset").cast("long").alias("offset"))
-    expected = expected_offsets(announced_totals(pages, entity, group), group, step)
-    return expected.join(landed, [*group, "offset"], "left_anti")
+    totals = announced_totals(pages, entity, group)
+    unknown = totals.where(F.col("total").isNull()).select(*group, F.lit(None).cast("long").alias("offset"))
+    expected = expected_offsets(totals, group, step)
+    return expected.join(landed, [*group, "offset"], "left_anti").unionByName(unknown)
 
 
 def page_audit(pages: DataFrame, entity: Entity, group: list[str]) -> DataFrame:
-    """Per group: pages landed, items fetched, items announced, items missing, complete flag."""
+    """Per group: pages landed, items fetched, items announced, items missing, complete flag.
+
+    Without an announced total, missing is NULL and the group is not complete.
+    """
     n_items = F.coalesce(F.size(page_items("raw_data", entity)), F.lit(0))
     per_group = pages.groupBy(*group).agg(
         F.count(F.lit(1)).alias("pages"),
         F.sum(n_items).cast("long").alias("fetched"),
         F.max(total_count("raw_data", entity)).alias("announced"))
-    missing = F.greatest(F.col("announced") - F.col("fetched"), F.lit(0))
+    missing = F.when(F.col("announced").isNotNull(), F.greatest(F.col("announced") - F.col("fetched"), F.lit(0)))
     return per_group.select(*group, "pages", "fetched", "announced",
                             missing.alias("missing"),
-                            (F.col("fetched") >= F.col("announced")).alias("complete"))
+                            F.coalesce(F.col("fetched") >= F.col("announced"), F.lit(False)).alias("complete"))
 
 
 def request_plan(codes: DataFrame, blocks: DataFrame, landed: DataFrame, blocks_rows: int,

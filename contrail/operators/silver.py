@@ -132,17 +132,44 @@ FLIGHT_KEY = ["marketing_carrier_airline_id", "marketing_carrier_flight_number",
               "departure_airport_code", "departure_scheduled_time_utc"]
 
 
+def movement_rows(bronze: DataFrame) -> DataFrame:
+    """Flat flight rows with their departure ``date`` and where they were landed.
+
+    ``date`` is the local day of the actual, else scheduled, departure: the
+    date that the hourly statistics use. Extra columns: ``date``,
+    ``ingestion_date``, ``data_date``, ``data_time_block``, ``page_airport``,
+    ``page_offset``, ``page_pos``; what ``bronze`` lacks of these is NULL.
+    """
+    keep = ["ingestion_date", "data_date", "data_time_block", "airport_code", "offset"]
+    landed = bronze.select("raw_data", *[c if c in bronze.columns else F.lit(None).alias(c) for c in keep])
+    items = parse_pages(landed, S.FLIGHTS, keep=keep)
+    rows = items.select(*movement_columns(F.col("item")), "ingestion_date", "data_date", "data_time_block",
+                        F.col("airport_code").alias("page_airport"), F.col("offset").alias("page_offset"),
+                        F.col("pos").alias("page_pos"))
+    local = F.coalesce("departure_actual_time_local", "departure_scheduled_time_local")
+    return rows.withColumn("date", F.to_date(local))
+
+
+def newest_per_flight(rows: DataFrame) -> DataFrame:
+    """One row per flight key (newest ingestion, then lowest offset and position, then all columns).
+
+    Rows with an incomplete key are kept, but a row landed at the same place
+    with the same content counts once.
+    """
+    return dedupe_first(rows.distinct(), FLIGHT_KEY, [
+        -F.unix_date("ingestion_date"), F.col("page_offset"), F.col("page_pos")])
+
+
 def silver_movements(bronze: DataFrame, dedupe: bool = False) -> DataFrame:
     """Flat flight rows from every landed departure page.
 
     ``dedupe=False`` keeps every parsed item (a page landed twice counts
     twice). ``dedupe=True`` keeps one row per flight key, the newest
-    ingestion winning, then the lowest (offset, position).
+    ingestion winning, then the lowest (offset, position), then a total
+    order; rows without a complete key are kept.
     """
-    items = parse_pages(bronze.select("raw_data", "ingestion_date", "offset"), S.FLIGHTS,
-                        keep=["ingestion_date", "offset"])
-    rows = items.select("ingestion_date", "offset", "pos", *movement_columns(F.col("item")))
     if dedupe:
-        rows = dedupe_first(rows, FLIGHT_KEY, [-F.unix_date("ingestion_date"), F.col("offset"),
-                                               F.col("pos")])
+        rows = newest_per_flight(movement_rows(bronze))
+    else:
+        rows = parse_pages(bronze.select("raw_data"), S.FLIGHTS, keep=[]).select(*movement_columns(F.col("item")))
     return rows.select(*[f.name for f in S.SILVER_FLIGHTS.fields])

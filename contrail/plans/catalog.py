@@ -424,3 +424,43 @@ def q_silver_entity(spark, sf_dir):
 
 
 QUERIES["silver_entity"] = q_silver_entity
+
+
+def q_silver_movements_incremental(spark, sf_dir):
+    """Flight keys after merging bronze in two runs that touch the same dates."""
+    from pyspark.sql import functions as F
+    from contrail.operators.silver import FLIGHT_KEY
+    from contrail.plans import jobs
+    from contrail.session import work_path
+    path = work_path(spark, "silver", "flights")
+    bronze = si.landed(si.flight_bronze(spark, sf_dir))
+    late = F.crc32(F.col("raw_data").cast("binary")) % 2 == 0
+    for part in (bronze.where(~late), bronze.where(late)):
+        jobs.silverize_new_movements(part, path)
+    return spark.read.schema(jobs.MOVEMENTS_BY_DATE).parquet(path).select(*FLIGHT_KEY)
+
+
+QUERIES["silver_movements_incremental"] = q_silver_movements_incremental
+
+
+def q_catalog_tables(spark, sf_dir):
+    """Countries landed twice, refreshed to silver, and read by table name throughout."""
+    from pyspark.sql import functions as F
+    from contrail import schemas as S
+    from contrail.plans import jobs
+    from contrail.session import work_path
+    database, root = "contrail_catalog", work_path(spark, "lake")
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    jobs.create_tables(spark, root, register_as=database)
+    orders = si.read_table(spark, sf_dir, "orders")
+    for run_date, old in ((si.OLD_SNAPSHOT_DATE, True), (si.RUN_DATE, False)):
+        pages = si.reference_pages(si.country_item_json(orders, old=old), S.COUNTRIES, overlap=not old)
+        jobs.land_reference(spark, pages.withColumn("container", F.lit("Countries")), root, run_date)
+        jobs.sync_catalog(spark, database)
+        jobs.silverize_entity(spark.table(f"{database}.bronze_countries"), "countries",
+                              jobs.table_path(root, "silver", "countries"))
+        jobs.sync_catalog(spark, database)
+    return spark.table(f"{database}.silver_countries")
+
+
+QUERIES["catalog_tables"] = q_catalog_tables

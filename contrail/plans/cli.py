@@ -25,10 +25,12 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="contrail")
     ap.add_argument("command", choices=["create", "silver-reference", "silver-flights", "gold"])
     ap.add_argument("--root", required=True)
-    ap.add_argument("--as-of", default=dt.date.today().isoformat())
+    ap.add_argument("--as-of", type=dt.date.fromisoformat, help="run date; required by gold")
     ap.add_argument("--refresh-days", type=int, default=1)
     ap.add_argument("--dedupe", action="store_true")
     a = ap.parse_args(argv)
+    if a.command == "gold" and a.as_of is None:
+        ap.error("gold needs --as-of")
     spark = SparkSession.builder.appName(f"contrail-{a.command}").getOrCreate()
 
     def path(layer: str, name: str) -> str:

@@ -13,13 +13,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 from contrail import schemas as S
 from contrail.operators import gold as G
 from contrail.operators.joins import DEFAULT_BROADCAST_ROWS
-from contrail.operators.silver import SPECS, silver_entity, silver_movements
+from contrail.operators.silver import (
+    FLIGHT_KEY, SPECS, movement_rows, newest_per_flight, silver_entity, silver_movements,
+)
 from contrail.plans.sinks import (
-    append_table, overwrite_table, purge_null_hour, replace_partitions,
+    append_table, drop_partitions, overwrite_table, purge_null_hour, replace_partitions,
 )
 from contrail.session import cut_lineage
 from contrail.sources.tables import read_or_empty
@@ -46,6 +49,55 @@ def silverize_movements(bronze: DataFrame, target_path: str, dedupe: bool = Fals
     return True
 
 
+def silverize_new_movements(bronze: DataFrame, target_path: str) -> int:
+    """Merge newly landed departure pages into a flight table partitioned by departure ``date``.
+
+    ``bronze`` holds the new rows only (for instance the new
+    ``ingestion_date`` partitions). Touched dates are those of the new rows
+    and those where the table holds one of their flights already; only these
+    partitions are read, deduplicated together with the new rows, and
+    replaced. However late a page arrives, none of its rows is lost, and
+    merging the same pages again changes nothing. Flights without a
+    departure time have a partition of their own. Returns the number of
+    touched dates.
+    """
+    spark = bronze.sparkSession
+    new = cut_lineage(movement_rows(bronze))
+    if new.isEmpty():
+        return 0
+    layout = MOVEMENTS_BY_DATE
+    table = read_or_empty(spark, target_path, layout)
+    keys = new.select(*FLIGHT_KEY).dropna().distinct()
+    met = table.select(*FLIGHT_KEY, "date").join(keys, FLIGHT_KEY, "left_semi").select("date")
+    dates = [r[0] for r in new.select("date").union(met).distinct().collect()]  # bounded: one per date
+    here = F.col("date").isin([d for d in dates if d is not None])
+    if None in dates:
+        here = here | F.col("date").isNull()
+    old = table.where(here)
+    merged = cut_lineage(newest_per_flight(old.unionByName(new.select(old.columns))))
+    left = {r[0] for r in merged.select("date").distinct().collect()}
+    # Clustered by date for few files; adaptive execution splits a large date again.
+    replace_partitions(merged.hint("rebalance", "date"), target_path, ["date"], layout)
+    drop_partitions(spark, target_path, "date", [str(d) for d in dates if d not in left and d is not None])
+    if None in dates and None not in left:
+        drop_partitions(spark, target_path, "date", ["__HIVE_DEFAULT_PARTITION__"])
+    return len(dates)
+
+
+#: The incremental flight table: silver columns, where each row was landed, and the partition date.
+MOVEMENTS_BY_DATE = StructType([
+    *S.SILVER_FLIGHTS.fields,
+    StructField("ingestion_date", DateType()), StructField("data_date", DateType()),
+    StructField("data_time_block", StringType()), StructField("page_airport", StringType()),
+    StructField("page_offset", IntegerType()), StructField("page_pos", IntegerType()),
+    StructField("date", DateType()),
+])
+
+
+#: Gold rows of one date that one task writes at most.
+ROWS_PER_DATE_TASK = 1_000_000
+
+
 @dataclass
 class GoldRun:
     status: str
@@ -88,9 +140,13 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
     # explicit partition count keeps AQE from coalescing a small result into
     # one task that would then write every date folder in sequence.
     n_dates = work.select("date").distinct().count()
-    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_dates))
-    rows = cut_lineage(G.hourly_stats(facts, dim, work, dim.count(), older + recent, exact)
-                       .repartition(n_parts, "date"))
+    # A date of many locations is split over tasks by a salt, so its rows per task are bounded.
+    n_locations = dim.count()
+    salts = -(-n_locations * 24 // ROWS_PER_DATE_TASK) or 1
+    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_dates), min(salts, n_dates * salts))
+    salt = F.pmod(F.xxhash64("airport_code"), F.lit(salts))
+    rows = cut_lineage(G.hourly_stats(facts, dim, work, n_locations, older + recent, exact)
+                       .repartition(n_parts, "date", salt))
     boundary = F.lit(refresh_start.isoformat()).cast("date")
     if older:
         append_table(rows.where(F.col("date") < boundary), gold_path, S.GOLD_AIRPORT_HOURS,
@@ -98,13 +154,19 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
     if recent:
         replace_partitions(rows.where(F.col("date") >= boundary), gold_path, ["date"],
                            S.GOLD_AIRPORT_HOURS)
-    return GoldRun("written", older, recent, purged)
+    # Hours really written; a refreshed day without replacement rows (an empty dimension) is cleared.
+    written = {r["date"]: r["n"] for r in rows.groupBy("date").agg(F.count_distinct("hour").alias("n")).collect()}
+    asked = [r[0] for r in work.where("refresh").select("date").distinct().collect()]
+    drop_partitions(spark, gold_path, "date", [str(d) for d in asked if d not in written])
+    refreshed = sum(n for d, n in written.items() if d >= refresh_start)
+    return GoldRun("written", sum(written.values()) - refreshed, refreshed, purged)
 
 
 # ---------------------------------------------------------------- tables and landing
 BRONZE_TABLES = {**{e.name: S.BRONZE_REFERENCE for e in S.REFERENCE_ENTITIES.values()},
                  S.FLIGHTS.name: S.BRONZE_FLIGHTS}
 SILVER_TABLES = {**_SILVER_LAYOUTS, "flights": S.SILVER_FLIGHTS}
+GOLD_TABLE = "airports_daily_stats"
 
 
 def table_path(root: str, layer: str, name: str) -> str:
@@ -125,7 +187,7 @@ def create_tables(spark: SparkSession, root: str, register_as: str | None = None
     made = []
     specs = ([("bronze", n, s, ["ingestion_date"]) for n, s in BRONZE_TABLES.items()]
              + [("silver", n, s, None) for n, s in SILVER_TABLES.items()]
-             + [("gold", "airports_daily_stats", S.GOLD_AIRPORT_HOURS, ["date"])])
+             + [("gold", GOLD_TABLE, S.GOLD_AIRPORT_HOURS, ["date"])])
     if register_as:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {register_as}")
     for layer, name, layout, parts in specs:
@@ -137,6 +199,20 @@ def create_tables(spark: SparkSession, root: str, register_as: str | None = None
     return made
 
 
+def sync_catalog(spark: SparkSession, database: str) -> None:
+    """Make the tables registered by :func:`create_tables` show what was written to their folders.
+
+    Partitions are matched to the folders (added and dropped), and cached
+    file listings are renewed. Run it after the jobs that wrote.
+    """
+    partitioned = {f"bronze_{n}" for n in BRONZE_TABLES} | {f"gold_{GOLD_TABLE}"}
+    for t in spark.catalog.listTables(database):
+        name = f"{database}.{t.name}"
+        if t.name in partitioned:
+            spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        spark.catalog.refreshTable(name)
+
+
 def _mkdirs(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -173,5 +249,9 @@ def land_departures(pages: DataFrame, root: str, run_date: dt.date | str) -> Non
 
 def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
     """A table created by :func:`create_tables`, read with its declared layout."""
-    layout = (BRONZE_TABLES if layer == "bronze" else SILVER_TABLES).get(name, S.GOLD_AIRPORT_HOURS)
+    layouts = {"bronze": BRONZE_TABLES, "silver": SILVER_TABLES, "gold": {GOLD_TABLE: S.GOLD_AIRPORT_HOURS}}
+    try:
+        layout = layouts[layer][name]
+    except KeyError:
+        raise ValueError(f"no table {name!r} in layer {layer!r}") from None
     return read_or_empty(spark, table_path(root, layer, name), layout)

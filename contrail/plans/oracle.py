@@ -321,3 +321,9 @@ SELECT 'cities' AS entity, 'C' || CAST(c_custkey AS VARCHAR) AS key, c_name AS n
 UNION ALL SELECT 'countries', CAST(o_orderkey AS VARCHAR), o_orderpriority FROM orders
 UNION ALL SELECT 'airlines', CAST(c_custkey AS VARCHAR), c_name FROM customer
 UNION ALL SELECT 'aircraft_summaries', CAST(p_partkey AS VARCHAR), p_name FROM part"""
+
+ORACLE["silver_movements_incremental"] = f"""
+SELECT DISTINCT marketing_carrier_airline_id, marketing_carrier_flight_number,
+       departure_airport_code, departure_scheduled_time_utc
+FROM ({_MOVEMENTS})"""
+ORACLE["catalog_tables"] = ORACLE["silver_countries"]

@@ -91,7 +91,7 @@ def entity_for_container(container: str) -> Entity:
     try:
         return REFERENCE_ENTITIES[container]
     except KeyError:
-        raise ValueError(f"Unsupported reference container key: {container}") from None
+        raise ValueError(f"no reference entity has the container {container!r}") from None
 
 
 # Table layouts (column order is the write order).

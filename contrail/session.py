@@ -60,8 +60,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A fresh folder below the shared checkpoint folder for staging tables."""
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     return os.path.join(base, "contrail", *parts, uuid.uuid4().hex)
 
 
@@ -73,5 +71,6 @@ def cut_lineage(df: DataFrame, max_partitions: int | None = None) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     if max_partitions is not None:
-        df = df.coalesce(max_partitions)
+        # An exchange, not coalesce(): what is above keeps its own parallelism.
+        df = df.repartition(max_partitions)
     return df.checkpoint(eager=True)

@@ -93,14 +93,6 @@ def land_flight_pages(pages: DataFrame, run_date: dt.date | str | Column) -> Dat
         F.col("offset").cast("int").alias("offset"))
 
 
-def route_reference_pages(pages: DataFrame, container_col: str = "container") -> DataFrame:
-    """Attach the bronze table name to each page by its container key; unknown → NULL table."""
-    from contrail.schemas import REFERENCE_ENTITIES
-    mapping = F.create_map(*[x for k, e in REFERENCE_ENTITIES.items()
-                             for x in (F.lit(k), F.lit(e.name))])
-    return pages.withColumn("table", mapping[F.col(container_col)])
-
-
 def write_page_files(pages: DataFrame, root: str, partition_cols: list[str]) -> None:
     """One JSON record per page (offset, raw_data) under ``root/<col>=<value>/...``."""
     pages.select(*partition_cols, F.col("offset").cast("long").alias("offset"),
@@ -134,5 +126,5 @@ def read_page_documents(spark: SparkSession, root: str) -> DataFrame:
 __all__ = [
     "BRONZE_FLIGHTS", "BRONZE_REFERENCE", "envelope", "json_string", "land_flight_pages",
     "land_pages", "pack_pages", "read_page_documents", "read_page_files",
-    "route_reference_pages", "write_page_files",
+    "write_page_files",
 ]

@@ -9,11 +9,13 @@ can run it every few hours like the batch job.
   JSON record per page under ``airport_code=/block=`` folders) → bronze
   departure rows, through the parquet file sink (exactly once: the sink's
   commit log records each batch).
-* :func:`movements_stream` — new bronze rows → flat departures, with
-  ``dropDuplicatesWithinWatermark`` on the flight key so a page landed
-  twice is counted once (state bounded by the watermark on scheduled time).
-* :func:`refresh_gold_each_batch` — ``foreachBatch`` that runs the gold job
-  over the whole silver table after each micro-batch.
+* :func:`movements_stream` — new bronze rows → the flight table partitioned
+  by departure date, through ``foreachBatch`` and the batch merge: only the
+  touched dates are rewritten, and no row is too late. A page landed twice, or
+  a micro-batch run twice, counts once.
+* :func:`refresh_gold_each_batch` — ``foreachBatch`` that merges each
+  micro-batch into silver and then runs the gold job, so gold never runs
+  before silver holds the rows.
 """
 
 from __future__ import annotations
@@ -21,13 +23,10 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from contrail import schemas as S
-from contrail.functions.times import epoch_seconds
-from contrail.operators.silver import FLIGHT_KEY, silver_movements
 from contrail.sources.pages import PAGE_FILE_SCHEMA, land_flight_pages
 
 PAGE_STREAM_SCHEMA = StructType([
@@ -52,32 +51,29 @@ def land_page_stream(spark: SparkSession, pages_dir: str, bronze_path: str, chec
             .outputMode("append").trigger(availableNow=True).start())
 
 
-def movements_stream(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str,
-                     watermark: str = "2 days") -> StreamingQuery:
-    """Parse newly landed bronze rows into departures, dropping re-landed duplicates."""
+def movements_stream(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str
+                     ) -> StreamingQuery:
+    """Merge newly landed bronze rows into the flight table, one row per flight."""
+    from contrail.plans.jobs import silverize_new_movements
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        silverize_new_movements(batch, silver_path)
+
     bronze = spark.readStream.schema(BRONZE_FLIGHTS_PARTITIONED).parquet(bronze_path)
-    rows = silver_movements(bronze)
-    # Watermarks need a TIMESTAMP: the instant of the UTC wall clock, zone free.
-    event_time = F.timestamp_seconds(epoch_seconds("departure_scheduled_time_utc"))
-    deduped = (rows.withColumn("_event_time", event_time)
-               .withWatermark("_event_time", watermark)
-               .dropDuplicatesWithinWatermark(FLIGHT_KEY)
-               .drop("_event_time"))
-    return (deduped.writeStream.format("parquet").option("path", silver_path)
-            .option("checkpointLocation", checkpoint).outputMode("append")
+    return (bronze.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def refresh_gold_each_batch(spark: SparkSession, bronze_path: str, silver_path: str,
                             airports: DataFrame, gold_path: str, checkpoint: str,
                             as_of: dt.date | str) -> StreamingQuery:
-    """After each batch of new bronze rows, run the gold job over the silver table."""
-    from contrail.plans.jobs import goldenize
+    """For each batch of new bronze rows: merge them into silver, then run the gold job."""
+    from contrail.plans.jobs import MOVEMENTS_BY_DATE, goldenize, silverize_new_movements
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        goldenize(spark, spark.read.parquet(silver_path), airports, gold_path, as_of)
+        if silverize_new_movements(batch, silver_path):
+            flights = spark.read.schema(MOVEMENTS_BY_DATE).parquet(silver_path)
+            goldenize(spark, flights, airports, gold_path, as_of)
 
     bronze = spark.readStream.schema(BRONZE_FLIGHTS_PARTITIONED).parquet(bronze_path)
     return (bronze.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

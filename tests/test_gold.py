@@ -129,3 +129,20 @@ def test_delay_of_exactly_fifteen_minutes_is_not_delayed(spark, tmp_table):
     r = table(spark, tmp_table)[("FRA", "2024-01-01", 10)]
     assert (r["total_departures"], r["delayed_flights"], r["delayed_flights_percentage"],
             r["average_departure_delay_minutes"]) == (3, 1, 33.33, 8.67)
+
+
+def test_refresh_without_replacement_rows_clears_the_day(spark, tmp_path):
+    from contrail.plans import jobs
+    from contrail import schemas as S
+    path = str(tmp_path / "gold")
+    flights = spark.sql("""SELECT 'FRA' AS departure_airport_code,
+        timestamp_ntz'2024-01-30 10:00:00' AS departure_actual_time_local,
+        timestamp_ntz'2024-01-30 10:00:00' AS departure_scheduled_time_local,
+        timestamp_ntz'2024-01-30 09:00:00' AS departure_actual_time_utc,
+        timestamp_ntz'2024-01-30 09:00:00' AS departure_scheduled_time_utc""")
+    dim = spark.createDataFrame([("FRA", 8.5, 50.0)], "airport_code string, longitude double, latitude double")
+    assert jobs.goldenize(spark, flights, dim, path, "2024-01-31").refreshed_hours == 1
+    read = lambda: spark.read.schema(S.GOLD_AIRPORT_HOURS).parquet(path).count()
+    assert read() == 1
+    run = jobs.goldenize(spark, flights, dim.limit(0), path, "2024-01-31")
+    assert (run.refreshed_hours, read()) == (0, 0)
