@@ -122,7 +122,7 @@ def window_hashes(words: np.ndarray, first: np.ndarray, width: int) -> tuple[np.
     return mix64(out), bounds
 
 
-def text_chunks(batch_column, limit: int = 2_000_000):
+def text_chunks(batch_column, limit: int = 1_000_000):
     """Cut a text column into runs of whole texts of about ``limit`` bytes each."""
     import pyarrow.compute as pc
 

@@ -48,7 +48,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def token_runs(column, limit: int = 2_000_000):
+def token_runs(column, limit: int = 1_000_000):
     """Runs of whole texts: (first text, last text, token hashes, bounds); each text closes with END."""
     for a, b in text_chunks(column, limit):
         data, offsets = text_bytes(column.slice(a, b - a))
