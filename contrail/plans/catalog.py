@@ -464,3 +464,18 @@ def q_catalog_tables(spark, sf_dir):
 
 
 QUERIES["catalog_tables"] = q_catalog_tables
+
+
+def q_quarantine_pages(spark, sf_dir):
+    """Responses that do not parse, stored by the silver job's quarantine and read back."""
+    from pyspark.sql import functions as F
+    from contrail.plans import jobs
+    from contrail.schemas import AIRLINES
+    from contrail.session import work_path
+    path = work_path(spark, "quarantine", "airlines")
+    pages = si.event_responses(spark, sf_dir).withColumn("ingestion_date", F.lit(si.RUN_DATE).cast("date"))
+    jobs.quarantine_pages(pages, AIRLINES.name, path)
+    return spark.read.parquet(path).select("event_id", "status", "detail")
+
+
+QUERIES["quarantine_pages"] = q_quarantine_pages

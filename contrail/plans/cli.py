@@ -42,11 +42,11 @@ def main(argv: list[str] | None = None) -> None:
     elif a.command == "silver-reference":
         for name in SPECS:
             done = jobs.silverize_entity(jobs.read_layer(spark, a.root, "bronze", name), name,
-                                         path("silver", name))
+                                         path("silver", name), path("quarantine", name))
             print(name, "written" if done else "skipped: no bronze rows")
     elif a.command == "silver-flights":
         done = jobs.silverize_movements(jobs.read_layer(spark, a.root, "bronze", "flights"),
-                                        path("silver", "flights"), dedupe=a.dedupe)
+                                        path("silver", "flights"), a.dedupe, path("quarantine", "flights"))
         print("flights", "written" if done else "skipped: no bronze rows")
     else:
         run = jobs.goldenize(spark, jobs.read_layer(spark, a.root, "silver", "flights"),

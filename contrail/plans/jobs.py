@@ -17,6 +17,7 @@ from pyspark.sql.types import DateType, IntegerType, StringType, StructField, St
 
 from contrail import schemas as S
 from contrail.operators import gold as G
+from contrail.operators.audit import split_quarantine
 from contrail.operators.joins import DEFAULT_BROADCAST_ROWS
 from contrail.operators.silver import (
     FLIGHT_KEY, SPECS, movement_rows, newest_per_flight, silver_entity, silver_movements,
@@ -33,18 +34,45 @@ _SILVER_LAYOUTS = {
 }
 
 
-def silverize_entity(bronze: DataFrame, entity: str, target_path: str) -> bool:
-    """Overwrite one reference table from the newest bronze snapshot; False when bronze is empty."""
+def quarantine_pages(bronze: DataFrame, entity: str, path: str) -> dict[str, int]:
+    """Store the landed pages that do not parse as ``entity``, with status and detail.
+
+    The table at ``path`` is partitioned by ``ingestion_date``; the dates of
+    ``bronze`` that have such pages are replaced, so a run can be repeated.
+    Returns the number of pages by status.
+    """
+    _, bad = split_quarantine(bronze, S.ALL_ENTITIES[entity])
+    bad = cut_lineage(bad)
+    counts = {r["status"]: r["count"] for r in bad.groupBy("status").count().collect()}  # a handful
+    if counts:
+        replace_partitions(bad.hint("rebalance", "ingestion_date"), path, ["ingestion_date"])
+    return counts
+
+
+def silverize_entity(bronze: DataFrame, entity: str, target_path: str,
+                     quarantine_path: str | None = None) -> bool:
+    """Overwrite one reference table from the newest bronze snapshot; False when bronze is empty.
+
+    With ``quarantine_path``, pages that do not parse are stored there.
+    """
     if bronze.isEmpty():
         return False
+    if quarantine_path:
+        quarantine_pages(bronze, entity, quarantine_path)
     overwrite_table(silver_entity(bronze, SPECS[entity]), target_path, _SILVER_LAYOUTS[entity])
     return True
 
 
-def silverize_movements(bronze: DataFrame, target_path: str, dedupe: bool = False) -> bool:
-    """Overwrite the flight table from all landed departure pages; False when bronze is empty."""
+def silverize_movements(bronze: DataFrame, target_path: str, dedupe: bool = False,
+                        quarantine_path: str | None = None) -> bool:
+    """Overwrite the flight table from all landed departure pages; False when bronze is empty.
+
+    With ``quarantine_path``, pages that do not parse are stored there.
+    """
     if bronze.isEmpty():
         return False
+    if quarantine_path:
+        quarantine_pages(bronze, S.FLIGHTS.name, quarantine_path)
     overwrite_table(silver_movements(bronze, dedupe=dedupe), target_path, S.SILVER_FLIGHTS)
     return True
 

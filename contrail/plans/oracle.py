@@ -327,3 +327,4 @@ SELECT DISTINCT marketing_carrier_airline_id, marketing_carrier_flight_number,
        departure_airport_code, departure_scheduled_time_utc
 FROM ({_MOVEMENTS})"""
 ORACLE["catalog_tables"] = ORACLE["silver_countries"]
+ORACLE["quarantine_pages"] = f"""SELECT * FROM ({ORACLE["classify_pages"]}) WHERE status <> 'ok'"""

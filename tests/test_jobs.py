@@ -116,3 +116,16 @@ def test_land_reference_routes_and_rejects_unknown(spark, tmp_path):
 def test_silverize_skips_empty_bronze(spark, tmp_path):
     empty = spark.createDataFrame([], S.BRONZE_REFERENCE)
     assert jobs.silverize_entity(empty, "airports", str(tmp_path / "s")) is False
+
+
+def test_quarantine_keeps_bad_pages_and_can_be_repeated(spark, tmp_path):
+    path, silver = str(tmp_path / "q"), str(tmp_path / "s")
+    good = '{"CountryResource": {"Countries": {"Country": [{"CountryCode": "DE"}]}}}'
+    rows = [(good, "2024-02-01", 0), ("not json", "2024-02-01", 100), ('{"Error": "x"}', "2024-02-01", 200)]
+    bronze = spark.createDataFrame(rows, "raw_data string, ingestion_date string, offset int").withColumn(
+        "ingestion_date", F.col("ingestion_date").cast("date"))
+    for _ in range(2):
+        assert jobs.silverize_entity(bronze, "countries", silver, path)
+        assert sorted(r.status for r in spark.read.parquet(path).collect()) == ["error", "malformed"]
+    assert spark.read.parquet(silver).count() == 1
+    assert jobs.quarantine_pages(bronze, "countries", path) == {"error": 1, "malformed": 1}
