@@ -19,8 +19,11 @@ from contrail.llm import (
     token_counts,
 )
 from contrail.llm.common import table
+from contrail.llm.oracle import ORACLE
 from contrail.session import work_path
 
+__all__ = ["ORACLE", "QUERIES", "RANKS", "TOKENIZER"]
+
 TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 
 
@@ -78,5 +81,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                             op4_ngram_jaccard_join, op5_pii_pseudonyms, op6_kneser_ney_scores,
                             op7_trie_token_counts, op8_repeated_passages, op9_quality_rules,
                             op10_secret_ledger)}
-
-ORACLE: dict[str, str] = {}
