@@ -5,11 +5,11 @@ aggregate per (location, date, hour) → densify against the location
 dimension so every location gets a row for every processed hour.
 
 Plan shape (see ``hourly_stats``): facts are restricted with a broadcast
-semi-join on the small work set, then facts and the dense grid are unioned
-and aggregated once on (location, date, hour). Partial aggregation collapses
-the facts map-side, so a hot location-hour is reduced before the single
-shuffle, and no second shuffle is needed to attach the aggregates to the
-grid.
+semi-join on the small work set and aggregated first. Partial aggregation
+collapses them map-side, so a hot location-hour is reduced before the
+shuffle. The dense grid is generated in the partitions that the aggregates
+are sent to, clustered by date as the table is written; the grid itself is
+never shuffled.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from contrail.functions.arith import (
     mean_minutes_2dp, mean_minutes_reference, percentage_2dp, percentage_reference,
 )
 from contrail.functions.times import delay_seconds
-from contrail.operators.joins import maybe_broadcast, replicated_product
+from contrail.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast, replicated_product
 from contrail.schemas import DELAY_THRESHOLD_MINUTES
 
 KEYS = ["airport_code", "date", "hour"]
@@ -31,6 +31,8 @@ HOUR_KEYS = ["date", "hour"]
 GOLD_COLUMNS = ["airport_code", "longitude", "latitude", "total_departures",
                 "average_departure_delay_minutes", "delayed_flights",
                 "delayed_flights_percentage", "date", "hour"]
+#: Gold rows of one date that one task produces at most, about.
+ROWS_PER_DATE_TASK = 1_000_000
 _DELAY_THRESHOLD_SECONDS = DELAY_THRESHOLD_MINUTES * 60
 
 
@@ -46,14 +48,17 @@ def flight_facts(flights: DataFrame) -> DataFrame:
     Date and hour come from the actual local departure time, else the
     scheduled one. The delay is whole UTC seconds actual minus scheduled and
     is NULL when either side is missing (the flight still counts as a
-    departure). Rows without location, date or hour are dropped.
+    departure). Rows without location, date or hour are dropped. A ``date``
+    column of ``flights`` holds this date already; on a table partitioned by
+    it, filters on the facts' date prune the scan.
     """
     local = F.coalesce(F.col("departure_actual_time_local"),
                        F.col("departure_scheduled_time_local"))
+    date = F.col("date") if "date" in flights.columns else F.to_date(local)
     return (
         flights.select(
             F.col("departure_airport_code").alias("airport_code"),
-            F.to_date(local).alias("date"),
+            date.alias("date"),
             F.hour(local).alias("hour"),
             delay_seconds("departure_actual_time_utc",
                           "departure_scheduled_time_utc").alias("delay_seconds"),
@@ -131,30 +136,54 @@ def dense_grid(dimension: DataFrame, work: DataFrame, dimension_rows: int,
     return grid.select("airport_code", "longitude", "latitude", *HOUR_KEYS)
 
 
+def _clustered_grid(dimension: DataFrame, work: DataFrame, partitions: int, salts: int,
+                    dimension_rows: int) -> DataFrame:
+    """The dense grid, generated where its rows are to be written: clustered by (date, ``_salt``).
+
+    Only (date, hour, salt) rows are exchanged; each then meets the locations
+    of its salt, so the product itself never crosses the network.
+    """
+    hours = work.select(*HOUR_KEYS, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
+    dim = dimension.select("airport_code", "longitude", "latitude", _salt(salts).alias("_dim_salt"))
+    return (hours.repartition(partitions, "date", "_salt")
+            .join(maybe_broadcast(dim, dimension_rows), F.col("_salt") == F.col("_dim_salt"))
+            .drop("_dim_salt"))
+
+
+def _salt(salts: int) -> Column:
+    return F.pmod(F.xxhash64("airport_code"), F.lit(salts)).cast("int")
+
+
 def hourly_stats(facts: DataFrame, dimension: DataFrame, work: DataFrame,
                  dimension_rows: int, work_rows: int, exact: bool = True) -> DataFrame:
-    """Gold rows for every dimension location x every work-set hour.
+    """Gold rows for every dimension location x every work-set hour, clustered by date.
 
     Locations missing from the dimension are dropped; dimension locations
     without flights get 0 departures, NULL mean delay, 0 delayed, 0.0 %.
+
+    A date of many locations is split by a salt of the location, so that
+    a task writes about ``ROWS_PER_DATE_TASK`` rows at most of a date.
     """
-    flights = restrict_to_work_set(facts, work, work_rows).select(
-        *KEYS, "delay_seconds",
-        F.lit(None).cast("double").alias("longitude"),
-        F.lit(None).cast("double").alias("latitude"),
-        F.lit(0).alias("_in_dim"))
-    grid = dense_grid(dimension, work, dimension_rows, work_rows).select(
-        *KEYS, F.lit(None).cast("long").alias("delay_seconds"),
-        "longitude", "latitude", F.lit(1).alias("_in_dim"))
-    is_flight = F.col("_in_dim") == 0
-    agg = flights.unionByName(grid).groupBy(*KEYS).agg(
+    salts = max(1, -(-dimension_rows * 24 // ROWS_PER_DATE_TASK))
+    parallelism = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if dimension_rows > DEFAULT_BROADCAST_ROWS:
+        salts = max(salts, parallelism)
+    partitions = max(1, min(parallelism, work_rows), -(-dimension_rows * work_rows // ROWS_PER_DATE_TASK))
+    delayed = F.col("delay_seconds") > _DELAY_THRESHOLD_SECONDS
+    flights = restrict_to_work_set(facts, work, work_rows).groupBy(*KEYS).agg(
+        F.count(F.lit(1)).alias("_flights"), F.sum("delay_seconds").alias("_s"),
+        F.count("delay_seconds").alias("_n"), F.sum(F.col("delay_seconds") / F.lit(60.0)).alias("_minutes"),
+        F.count_if(delayed).alias("_delayed")
+    ).withColumn("_salt", _salt(salts)).repartition(partitions, "date", "_salt")
+    grid = _clustered_grid(dimension, work, partitions, salts, dimension_rows).withColumn("_in_dim", F.lit(1))
+    # Both sides have one partitioning, which the union keeps: no exchange above it.
+    agg = flights.unionByName(grid, allowMissingColumns=True).groupBy("date", "_salt", "hour", "airport_code").agg(
         F.max("_in_dim").alias("_in_dim"),
-        F.count_if(is_flight).cast("int").alias("total_departures"),
-        F.sum("delay_seconds").alias("_s"),
-        F.count("delay_seconds").alias("_n"),
-        F.avg(F.col("delay_seconds") / F.lit(60.0)).alias("_avg"),
-        F.count_if(F.col("delay_seconds") > _DELAY_THRESHOLD_SECONDS).cast("int")
-        .alias("delayed_flights"),
+        F.coalesce(F.sum("_flights"), F.lit(0)).cast("int").alias("total_departures"),
+        F.sum("_s").alias("_s"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"),
+        (F.sum("_minutes") / F.sum("_n")).alias("_avg"),
+        F.coalesce(F.sum("_delayed"), F.lit(0)).cast("int").alias("delayed_flights"),
         F.max("longitude").alias("longitude"),
         F.max("latitude").alias("latitude"),
     ).where(F.col("_in_dim") == 1)

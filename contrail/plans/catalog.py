@@ -479,3 +479,90 @@ def q_quarantine_pages(spark, sf_dir):
 
 
 QUERIES["quarantine_pages"] = q_quarantine_pages
+
+
+def q_gold_from_dated_flights(spark, sf_dir):
+    """Two landings merged into the flight table by date, each followed by gold over the touched dates.
+
+    The first knows the pages of the blocks before the 16th but for the late
+    ones; the second brings those and the later blocks.
+    """
+    from pyspark.sql import functions as F
+    from contrail.plans import jobs
+    from contrail.session import work_path
+    from contrail.sources.pages import land_flight_pages
+    silver, target = work_path(spark, "silver"), work_path(spark, "gold")
+    pages = si.event_flight_pages(spark, sf_dir)
+    first = ~F.col("late") & (F.col("block") < FIRST_RUN_DATE)
+    dim = si.nation_locations(spark, sf_dir)
+    for run_date, part in ((FIRST_RUN_DATE, pages.where(first)), (si.RUN_DATE, pages.where(~first))):
+        touched = jobs.silverize_new_movements(land_flight_pages(part, run_date), silver)
+        flights = spark.read.schema(jobs.MOVEMENTS_BY_DATE).parquet(silver)
+        jobs.goldenize(spark, flights, dim, target, run_date, touched=touched)
+    return spark.read.parquet(target).select(*gold.GOLD_COLUMNS)
+
+
+def q_gold_refresh_empty(spark, sf_dir):
+    """Gold built, then run again with no location left: the refreshed day is cleared."""
+    from contrail.plans.jobs import goldenize
+    from contrail.session import work_path
+    path = work_path(spark, "gold")
+    flights = si.event_departures(spark, sf_dir)
+    dim = si.nation_locations(spark, sf_dir)
+    goldenize(spark, flights, dim, path, si.RUN_DATE)
+    goldenize(spark, flights, dim.where("airport_code IS NULL"), path, si.RUN_DATE)
+    return spark.read.parquet(path).select(*gold.GOLD_COLUMNS)
+
+
+def q_silver_movements_dedupe(spark, sf_dir):
+    """All departure pages landed on two days with different gates; the newest landing wins.
+
+    Flights without a number identify nothing: both of their rows stay.
+    """
+    from contrail.operators.silver import FLIGHT_KEY, silver_movements
+    from contrail.sources.pages import land_flight_pages
+    old = land_flight_pages(si.event_flight_pages(spark, sf_dir, "old"), si.OLD_SNAPSHOT_DATE)
+    new = land_flight_pages(si.event_flight_pages(spark, sf_dir, "new"), si.RUN_DATE)
+    return silver_movements(new.unionByName(old), dedupe=True).select(*FLIGHT_KEY, "departure_terminal_gate")
+
+
+def q_dedupe_relanded(spark, sf_dir):
+    """The same offsets landed twice on one day with different content, in both input orders."""
+    from pyspark.sql import functions as F
+    from contrail.operators.silver import silver_entity
+    from contrail.schemas import AIRLINES
+    from contrail.sources.pages import land_pages
+    cust = si.read_table(spark, sf_dir, "customer")
+    a, b = (land_pages(si.reference_pages(si.airline_item_json(cust, old=old), AIRLINES), si.RUN_DATE)
+            for old in (True, False))
+    return (silver_entity(si.landed(a.unionByName(b)), "airlines").withColumn("input_order", F.lit("ab"))
+            .unionByName(silver_entity(si.landed(b.unionByName(a)), "airlines").withColumn("input_order", F.lit("ba"))))
+
+
+def q_flight_files_roundtrip(spark, sf_dir):
+    """Departure pages as files by date and hour, read back and landed with airport, block and offset."""
+    from pyspark.sql import functions as F
+    from contrail.functions.times import block_date, block_hour_text
+    from contrail.operators.parse import page_items
+    from contrail.schemas import FLIGHTS
+    from contrail.session import work_path
+    from contrail.sources.pages import (
+        FLIGHT_PAGE_FILE_SCHEMA, land_flight_pages, read_page_files, write_page_files)
+    root = work_path(spark, "page_files")
+    pages = si.event_flight_pages(spark, sf_dir).select(
+        "airport_code", "block", "offset", "raw_data", block_date("block").alias("date"),
+        block_hour_text("block").alias("hour"))
+    write_page_files(pages.hint("rebalance", "date", "hour"), root, ["date", "hour"])
+    bronze = land_flight_pages(read_page_files(spark, root, FLIGHT_PAGE_FILE_SCHEMA), si.RUN_DATE)
+    items = F.size(page_items("raw_data", FLIGHTS))
+    return bronze.groupBy("ingestion_date", "data_date", "data_time_block", "airport_code", "offset").agg(
+        F.sum(items).cast("int").alias("items"))
+
+
+QUERIES.update({
+    "gold_from_dated_flights": q_gold_from_dated_flights,
+    "gold_refresh_empty": q_gold_refresh_empty,
+    "silver_movements_dedupe": q_silver_movements_dedupe,
+    "dedupe_relanded": q_dedupe_relanded,
+    "flight_files_roundtrip": q_flight_files_roundtrip,
+})

@@ -77,7 +77,7 @@ def silverize_movements(bronze: DataFrame, target_path: str, dedupe: bool = Fals
     return True
 
 
-def silverize_new_movements(bronze: DataFrame, target_path: str) -> int:
+def silverize_new_movements(bronze: DataFrame, target_path: str) -> list[dt.date | None]:
     """Merge newly landed departure pages into a flight table partitioned by departure ``date``.
 
     ``bronze`` holds the new rows only (for instance the new
@@ -86,13 +86,13 @@ def silverize_new_movements(bronze: DataFrame, target_path: str) -> int:
     partitions are read, deduplicated together with the new rows, and
     replaced. However late a page arrives, none of its rows is lost, and
     merging the same pages again changes nothing. Flights without a
-    departure time have a partition of their own. Returns the number of
-    touched dates.
+    departure time have a partition of their own. Returns the touched dates
+    (None for that partition), which the gold job takes.
     """
     spark = bronze.sparkSession
     new = cut_lineage(movement_rows(bronze))
     if new.isEmpty():
-        return 0
+        return []
     layout = MOVEMENTS_BY_DATE
     table = read_or_empty(spark, target_path, layout)
     keys = new.select(*FLIGHT_KEY).dropna().distinct()
@@ -109,7 +109,7 @@ def silverize_new_movements(bronze: DataFrame, target_path: str) -> int:
     drop_partitions(spark, target_path, "date", [str(d) for d in dates if d not in left and d is not None])
     if None in dates and None not in left:
         drop_partitions(spark, target_path, "date", ["__HIVE_DEFAULT_PARTITION__"])
-    return len(dates)
+    return dates
 
 
 #: The incremental flight table: silver columns, where each row was landed, and the partition date.
@@ -122,10 +122,6 @@ MOVEMENTS_BY_DATE = StructType([
 ])
 
 
-#: Gold rows of one date that one task writes at most.
-ROWS_PER_DATE_TASK = 1_000_000
-
-
 @dataclass
 class GoldRun:
     status: str
@@ -136,58 +132,64 @@ class GoldRun:
 
 def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold_path: str,
               as_of: dt.date | str, refresh_days: int = 1, exact: bool = True,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> GoldRun:
+              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+              touched: list[dt.date | None] | None = None) -> GoldRun:
     """Incremental hourly statistics into a ``date``-partitioned table at ``gold_path``.
 
     Hours older than the refresh window that the table lacks are appended;
     the ``refresh_days`` days before ``as_of`` are replaced whole (only days
     that have flights); today and later are left for a later run.
+
+    ``touched`` names the departure dates that changed since the last run
+    (:func:`silverize_new_movements` returns them). Only these and the
+    refresh window are then looked at, in the flights and in the table; when
+    both are partitioned by ``date``, no other partition is read. Without
+    it, all dates are candidates.
     """
     as_of_d = dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     refresh_start = as_of_d - dt.timedelta(days=refresh_days)
-    facts = G.flight_facts(flights)
+    facts = G.flight_facts(flights).where(F.col("date") < F.lit(as_of_d))
+    table = read_or_empty(spark, gold_path, S.GOLD_AIRPORT_HOURS)
+    if touched is not None:
+        asked = sorted({d for d in touched if d is not None}
+                       | {refresh_start + dt.timedelta(days=k) for k in range(refresh_days)})
+        facts, table = (t.where(F.col("date").isin(asked)) for t in (facts, table))
     if facts.isEmpty():
         return GoldRun("no_flights")
 
     purged = purge_null_hour(spark, gold_path, S.GOLD_AIRPORT_HOURS)
+    if purged:
+        table = read_or_empty(spark, gold_path, S.GOLD_AIRPORT_HOURS)
     # The done set, the work set and the dimension are bounded (24 x days;
     # the reference list): one partition each.
-    done = cut_lineage(G.done_hours(read_or_empty(spark, gold_path, S.GOLD_AIRPORT_HOURS)), 1)
+    done = cut_lineage(G.done_hours(table), 1)
     done_rows = done.count()
     work = cut_lineage(G.work_set(facts, done, as_of_d, refresh_days,
                                   done_rows if done_rows <= max_broadcast_rows else None), 1)
-    counts = {r["refresh"]: r["n"] for r in work.groupBy("refresh").count()
-              .withColumnRenamed("count", "n").collect()}
-    older, recent = counts.get(False, 0), counts.get(True, 0)
-    if older + recent == 0:
+    by_date = work.groupBy("refresh", "date").count().collect()  # bounded: one row per date
+    older = {r["date"]: r["count"] for r in by_date if not r["refresh"]}
+    recent = {r["date"]: r["count"] for r in by_date if r["refresh"]}
+    if not by_date:
         return GoldRun("nothing_to_do", purged_partitions=purged)
 
     dim = cut_lineage(airports.select("airport_code", "longitude", "latitude"), 1)
-    # Materialised once, clustered by date: both writes read it, and each date
-    # partition is written by one task (no tasks x dates small files). The
-    # explicit partition count keeps AQE from coalescing a small result into
-    # one task that would then write every date folder in sequence.
-    n_dates = work.select("date").distinct().count()
-    # A date of many locations is split over tasks by a salt, so its rows per task are bounded.
     n_locations = dim.count()
-    salts = -(-n_locations * 24 // ROWS_PER_DATE_TASK) or 1
-    n_parts = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), n_dates), min(salts, n_dates * salts))
-    salt = F.pmod(F.xxhash64("airport_code"), F.lit(salts))
-    rows = cut_lineage(G.hourly_stats(facts, dim, work, n_locations, older + recent, exact)
-                       .repartition(n_parts, "date", salt))
-    boundary = F.lit(refresh_start.isoformat()).cast("date")
+    if not n_locations:
+        # No location, no rows: a refreshed day has no replacement and is cleared.
+        drop_partitions(spark, gold_path, "date", [str(d) for d in recent])
+        return GoldRun("written", 0, 0, purged)
+
+    def stats(part: dict) -> DataFrame:
+        # Clustered by date as it leaves the statistics, so it is written as it comes.
+        bounds = F.col("date").between(F.lit(min(part)), F.lit(max(part)))
+        mine = work.where(F.col("refresh") == F.lit(part is recent))
+        return G.hourly_stats(facts.where(bounds), dim, mine, n_locations, sum(part.values()), exact)
+
     if older:
-        append_table(rows.where(F.col("date") < boundary), gold_path, S.GOLD_AIRPORT_HOURS,
-                     ["date"])
+        append_table(stats(older), gold_path, S.GOLD_AIRPORT_HOURS, ["date"])
     if recent:
-        replace_partitions(rows.where(F.col("date") >= boundary), gold_path, ["date"],
-                           S.GOLD_AIRPORT_HOURS)
-    # Hours really written; a refreshed day without replacement rows (an empty dimension) is cleared.
-    written = {r["date"]: r["n"] for r in rows.groupBy("date").agg(F.count_distinct("hour").alias("n")).collect()}
-    asked = [r[0] for r in work.where("refresh").select("date").distinct().collect()]
-    drop_partitions(spark, gold_path, "date", [str(d) for d in asked if d not in written])
-    refreshed = sum(n for d, n in written.items() if d >= refresh_start)
-    return GoldRun("written", sum(written.values()) - refreshed, refreshed, purged)
+        replace_partitions(stats(recent), gold_path, ["date"], S.GOLD_AIRPORT_HOURS)
+    return GoldRun("written", sum(older.values()), sum(recent.values()), purged)
 
 
 # ---------------------------------------------------------------- tables and landing

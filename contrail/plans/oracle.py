@@ -328,3 +328,16 @@ SELECT DISTINCT marketing_carrier_airline_id, marketing_carrier_flight_number,
 FROM ({_MOVEMENTS})"""
 ORACLE["catalog_tables"] = ORACLE["silver_countries"]
 ORACLE["quarantine_pages"] = f"""SELECT * FROM ({ORACLE["classify_pages"]}) WHERE status <> 'ok'"""
+
+ORACLE["gold_from_dated_flights"] = _FULL_GOLD.replace("THEN ts END", "THEN date_trunc('minute', ts) END")
+ORACLE["gold_refresh_empty"] = f"SELECT * FROM ({_FULL_GOLD}) WHERE date < {REFRESH_START}"
+ORACLE["silver_movements_dedupe"] = """
+SELECT 'EV' AS marketing_carrier_airline_id,
+       CASE WHEN event_type <> 'signup' THEN CAST(event_id AS VARCHAR) END AS marketing_carrier_flight_number,
+       CAST(event_id % 30 AS VARCHAR) AS departure_airport_code,
+       date_trunc('hour', ts) AS departure_scheduled_time_utc, gate AS departure_terminal_gate
+FROM events, (VALUES ('old'), ('new')) AS g(gate)
+WHERE gate = 'new' OR event_type = 'signup'"""
+ORACLE["dedupe_relanded"] = f"""
+SELECT a.*, o.input_order FROM ({ORACLE["silver_airlines"]}) AS a, (VALUES ('ab'), ('ba')) AS o(input_order)"""
+ORACLE["flight_files_roundtrip"] = ORACLE["land_flight_pages"]

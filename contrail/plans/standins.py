@@ -301,6 +301,41 @@ def flight_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land_flight_pages(flight_pages(spark, sf_dir), RUN_DATE)
 
 
+def event_flight_pages(spark: SparkSession, sf_dir: str, gate: str = "A") -> DataFrame:
+    """Departure pages from ``events``: a page per airport, 4-hour block, lateness and 1500 events.
+
+    airport = event_id % 30; scheduled = start of the hour; actual = ts to
+    the minute, missing for 'error'; carrier ('EV', event_id), the number
+    missing for 'signup'; offset = event_id div 1500 * 50. Pages of the hours
+    5, 11, 17 and 23 are ``late``.
+    """
+    from contrail.functions.times import format_local_time, format_utc_time, time_block_4h
+    from contrail.schemas import FLIGHTS
+    from contrail.sources.pages import pack_pages
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", "event_type", (F.col("event_id") % LOCATION_MODULUS).cast("string").alias("airport_code"),
+        time_block_4h("ts").alias("block"), (F.hour("ts") % 6 == 5).alias("late"),
+        (F.col("event_id") / 1500).cast("long").alias("chunk"))
+    sched = hour_start(F.col("ts"))
+    actual = F.when(F.col("event_type") != "error", F.col("ts"))
+
+    def t(c):
+        return F.struct(c.alias("DateTime"))
+
+    item = F.to_json(F.struct(
+        F.struct(F.col("airport_code").alias("AirportCode"),
+                 t(format_local_time(sched)).alias("ScheduledTimeLocal"),
+                 t(format_utc_time(sched)).alias("ScheduledTimeUTC"),
+                 t(format_local_time(actual)).alias("ActualTimeLocal"),
+                 t(format_utc_time(actual)).alias("ActualTimeUTC"),
+                 F.struct(F.lit(gate).alias("Gate")).alias("Terminal")).alias("Departure"),
+        F.struct(F.lit("EV").alias("AirlineID"),
+                 F.when(F.col("event_type") != "signup", F.col("event_id").cast("string")).alias("FlightNumber"))
+        .alias("MarketingCarrier")))
+    pages = pack_pages(ev, FLIGHTS, ["airport_code", "block", "late", "chunk"], F.col("event_id"), item)
+    return pages.withColumn("offset", F.col("chunk") * 50)
+
+
 # ------------------------------------------------------------ event pages
 def event_item_json() -> F.Column:
     """An event as an airline-shaped item: id = user_id, ICAO = event_type, name = event_id."""

@@ -15,12 +15,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from contrail.functions.times import block_date, block_hour_text
-from contrail.schemas import BRONZE_FLIGHTS, BRONZE_REFERENCE, Entity
+from contrail.schemas import Entity
 
 # Page-file layout: one JSON record per page, partitioned by entity and date.
 PAGE_FILE_SCHEMA = StructType([
     StructField("offset", LongType()), StructField("raw_data", StringType()),
 ])
+# Departure pages keep the airport and block that they were requested for.
+FLIGHT_PAGE_FILE_SCHEMA = StructType([
+    *PAGE_FILE_SCHEMA.fields,
+    StructField("airport_code", StringType()), StructField("block", StringType()),
+])
 # Page file names end in ``_<offset>.json``.
 OFFSET_IN_FILE_NAME = r"_([0-9]+)\.json$"
 
@@ -94,14 +99,21 @@ def land_flight_pages(pages: DataFrame, run_date: dt.date | str | Column) -> Dat
 
 
 def write_page_files(pages: DataFrame, root: str, partition_cols: list[str]) -> None:
-    """One JSON record per page (offset, raw_data) under ``root/<col>=<value>/...``."""
-    pages.select(*partition_cols, F.col("offset").cast("long").alias("offset"),
-                 "raw_data").write.mode("append").partitionBy(*partition_cols).json(root)
+    """One JSON record per page (offset, raw_data) under ``root/<col>=<value>/...``.
+
+    Departure pages also keep their ``airport_code`` and ``block`` in the record.
+    """
+    kept = [c for c in ("airport_code", "block") if c in pages.columns and c not in partition_cols]
+    pages.select(*partition_cols, F.col("offset").cast("long").alias("offset"), "raw_data", *kept
+                 ).write.mode("append").partitionBy(*partition_cols).json(root)
 
 
-def read_page_files(spark: SparkSession, root: str) -> DataFrame:
-    """Pages written by :func:`write_page_files`, partition columns discovered from paths."""
-    return spark.read.schema(PAGE_FILE_SCHEMA).json(root)
+def read_page_files(spark: SparkSession, root: str, schema: StructType = PAGE_FILE_SCHEMA) -> DataFrame:
+    """Pages written by :func:`write_page_files`, partition columns discovered from paths.
+
+    ``FLIGHT_PAGE_FILE_SCHEMA`` reads departure pages.
+    """
+    return spark.read.schema(schema).json(root)
 
 
 def read_page_documents(spark: SparkSession, root: str) -> DataFrame:
@@ -111,7 +123,7 @@ def read_page_documents(spark: SparkSession, root: str) -> DataFrame:
     the numeric file-name suffix (NULL when absent) and ``file_name`` breaks
     ties, which is the order pages are read in.
     """
-    docs = spark.read.text(root, wholetext=True).select(
+    docs = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True).select(
         F.col("value").alias("raw_data"), F.col("_metadata.file_path").alias("path"))
     parts = F.split("path", "/")
     return docs.select(
@@ -121,10 +133,3 @@ def read_page_documents(spark: SparkSession, root: str) -> DataFrame:
         F.element_at(parts, -1).alias("file_name"),
         "raw_data",
     )
-
-
-__all__ = [
-    "BRONZE_FLIGHTS", "BRONZE_REFERENCE", "envelope", "json_string", "land_flight_pages",
-    "land_pages", "pack_pages", "read_page_documents", "read_page_files",
-    "write_page_files",
-]

@@ -24,15 +24,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, StringType, StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from contrail import schemas as S
-from contrail.sources.pages import PAGE_FILE_SCHEMA, land_flight_pages
+from contrail.sources.pages import FLIGHT_PAGE_FILE_SCHEMA as PAGE_STREAM_SCHEMA, land_flight_pages
 
-PAGE_STREAM_SCHEMA = StructType([
-    *PAGE_FILE_SCHEMA.fields,
-    StructField("airport_code", StringType()), StructField("block", StringType()),
-])
 BRONZE_FLIGHTS_PARTITIONED = StructType([
     *[f for f in S.BRONZE_FLIGHTS.fields if f.name != "ingestion_date"],
     StructField("ingestion_date", DateType()),
@@ -71,9 +67,10 @@ def refresh_gold_each_batch(spark: SparkSession, bronze_path: str, silver_path:
     from contrail.plans.jobs import MOVEMENTS_BY_DATE, goldenize, silverize_new_movements
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if silverize_new_movements(batch, silver_path):
+        touched = silverize_new_movements(batch, silver_path)
+        if touched:
             flights = spark.read.schema(MOVEMENTS_BY_DATE).parquet(silver_path)
-            goldenize(spark, flights, airports, gold_path, as_of)
+            goldenize(spark, flights, airports, gold_path, as_of, touched=touched)
 
     bronze = spark.readStream.schema(BRONZE_FLIGHTS_PARTITIONED).parquet(bronze_path)
     return (bronze.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

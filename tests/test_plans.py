@@ -17,7 +17,13 @@ def test_hourly_stats_plan(spark):
     p = plan(QUERIES["hourly_stats"](spark, SF))
     assert "BroadcastHashJoin" in p and "LeftSemi" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
-    assert p.count("Exchange hashpartitioning") == 1, p
+    # The grid is generated after the exchanges: none lies above the union, and
+    # what is exchanged on the grid's side are the (date, hour, salt) rows.
+    above, below = p.split("Union", 1)
+    assert "Exchange" not in above, p
+    assert below.count("Exchange hashpartitioning") == 3, p
+    grid = below[below.index("1 AS _in_dim"):]
+    assert grid.index("BroadcastHashJoin [_salt") < grid.index("Exchange hashpartitioning"), p
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
@@ -56,3 +62,18 @@ def test_no_query_uses_cross_joins_or_python(spark):
         p = plan(q(spark, SF))
         hits = [b for b in banned if b in p]
         assert not hits, (key, hits)
+
+
+def test_gold_scan_of_dated_flights_prunes_to_the_touched_dates(spark, tmp_path):
+    import datetime as dt
+
+    from contrail.operators import gold
+    from contrail.plans.jobs import MOVEMENTS_BY_DATE
+    path = str(tmp_path / "flights")
+    spark.range(9).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in MOVEMENTS_BY_DATE.fields if f.name != "date"],
+        F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("date")
+    ).write.partitionBy("date").parquet(path)
+    facts = gold.flight_facts(spark.read.schema(MOVEMENTS_BY_DATE).parquet(path))
+    p = plan(facts.where(F.col("date").isin([dt.date(2024, 1, 3)]) & (F.col("date") < F.lit(dt.date(2024, 1, 5)))))
+    assert "PartitionFilters: [isnotnull(date" in p and "(date#" in p and "2024-01-03" in p, p
