@@ -23,7 +23,7 @@ from contrail.functions.arith import (
     mean_minutes_2dp, mean_minutes_reference, percentage_2dp, percentage_reference,
 )
 from contrail.functions.times import delay_seconds
-from contrail.operators.joins import DEFAULT_BROADCAST_ROWS, maybe_broadcast, replicated_product
+from contrail.operators.joins import fits_broadcast, maybe_broadcast, replicated_product
 from contrail.schemas import DELAY_THRESHOLD_MINUTES
 
 KEYS = ["airport_code", "date", "hour"]
@@ -166,7 +166,7 @@ def hourly_stats(facts: DataFrame, dimension: DataFrame, work: DataFrame,
     """
     salts = max(1, -(-dimension_rows * 24 // ROWS_PER_DATE_TASK))
     parallelism = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if dimension_rows > DEFAULT_BROADCAST_ROWS:
+    if not fits_broadcast(dimension.select("airport_code", "longitude", "latitude"), dimension_rows):
         salts = max(salts, parallelism)
     partitions = max(1, min(parallelism, work_rows), -(-dimension_rows * work_rows // ROWS_PER_DATE_TASK))
     delayed = F.col("delay_seconds") > _DELAY_THRESHOLD_SECONDS

@@ -1,30 +1,44 @@
 """Join building blocks with explicit, checked size bounds.
 
 ``broadcast()`` is applied only to a side whose row count has been measured
-(``count`` on an already materialised, bounded frame) and is under a limit;
-beyond the limit the plan falls back to a shuffle join.
+(``count`` on an already materialised, bounded frame) and whose rows, at the
+estimated width of its columns, are under a limit in bytes; beyond the limit
+the plan falls back to a shuffle join.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, NumericType, TimestampNTZType, TimestampType
 
-# Rows we are willing to ship to every executor. A (date, hour) work set for
+# What we are willing to ship to every executor. A (date, hour) work set for
 # ten years is 87,600 rows; an airport dimension a few tens of thousands.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 2**20
+# Estimated bytes of a row: its overhead, and a column by whether its type has a fixed width.
+ROW_OVERHEAD, FIXED_WIDTH, OPEN_WIDTH = 16, 8, 64
 
 _BUCKET = "__bucket"
 # Output rows one task should produce when a product is generated.
 ROWS_PER_TASK = 4_000_000
 
 
+def row_bytes(df: DataFrame) -> int:
+    """Estimated bytes of a row of ``df`` in memory."""
+    fixed = (NumericType, DateType, TimestampType, TimestampNTZType, BooleanType)
+    return ROW_OVERHEAD + sum(FIXED_WIDTH if isinstance(f.dataType, fixed) else OPEN_WIDTH for f in df.schema.fields)
+
+
+def fits_broadcast(df: DataFrame, rows: int | None, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """Whether the measured ``rows`` of ``df`` are within the limits in rows and bytes."""
+    return rows is not None and rows <= max_rows and rows * row_bytes(df) <= DEFAULT_BROADCAST_BYTES
+
+
 def maybe_broadcast(df: DataFrame, rows: int | None,
                     max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` when its measured row count is within ``max_rows``."""
-    if rows is not None and rows <= max_rows:
-        return F.broadcast(df)
-    return df
+    """Broadcast ``df`` when its measured row count is within the limits."""
+    return F.broadcast(df) if fits_broadcast(df, rows, max_rows) else df
 
 
 def replicated_product(big: DataFrame, small: DataFrame, small_rows: int,
@@ -47,7 +61,7 @@ def replicated_product(big: DataFrame, small: DataFrame, small_rows: int,
     """
     spark = big.sparkSession
     parallelism = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if small_rows <= max_broadcast_rows:
+    if fits_broadcast(small, small_rows, max_broadcast_rows):
         k = 1
     else:
         k = buckets or parallelism

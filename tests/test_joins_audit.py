@@ -20,6 +20,8 @@ def test_broadcast_only_within_measured_bound(spark):
         assert "BroadcastHashJoin" in plan(big.join(maybe_broadcast(small, 10, 100), "k"))
         assert "BroadcastHashJoin" not in plan(big.join(maybe_broadcast(small, 10, 5), "k"))
         assert "BroadcastHashJoin" not in plan(big.join(maybe_broadcast(small, None), "k"))
+        # One bigint column: 24 bytes a row; 64 MB are reached long before the limit in rows.
+        assert "BroadcastHashJoin" not in plan(big.join(maybe_broadcast(small, 3_000_000, 10**9), "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
