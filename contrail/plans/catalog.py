@@ -566,3 +566,39 @@ QUERIES.update({
     "dedupe_relanded": q_dedupe_relanded,
     "flight_files_roundtrip": q_flight_files_roundtrip,
 })
+
+
+def q_flight_facts_nulls(spark, sf_dir):
+    """Facts of flights of which some lack the location and some both local times."""
+    from pyspark.sql import functions as F
+    code = F.col("departure_airport_code")
+    flights = si.event_departures(spark, sf_dir).withColumns({
+        **{f"departure_{kind}_time_local": F.when(code != "8", F.col(f"departure_{kind}_time_local"))
+           for kind in ("scheduled", "actual")},
+        "departure_airport_code": F.when(code != "7", code)})
+    return gold.flight_facts(flights)
+
+
+def q_work_set_mid_month(spark, sf_dir):
+    """The work set as of the 16th, with flights on that day and after it."""
+    facts = _facts(spark, sf_dir)
+    return gold.work_set(facts, si.first_hour_done_set(facts), FIRST_RUN_DATE, done_rows=1)
+
+
+def q_silver_null_keys(spark, sf_dir):
+    """Airlines of which every fifth has no id: these are dropped."""
+    from pyspark.sql import functions as F
+    from contrail.operators.silver import silver_entity
+    from contrail.schemas import AIRLINES
+    from contrail.sources.pages import land_pages
+    items = si.airline_item_json(si.read_table(spark, sf_dir, "customer"))
+    without = F.regexp_replace("item_json", r'"AirlineID":"[^"]*",', "")
+    items = items.withColumn("item_json", F.when(F.col("id") % 5 == 0, without).otherwise(F.col("item_json")))
+    return silver_entity(si.landed(land_pages(si.reference_pages(items, AIRLINES), si.RUN_DATE)), "airlines")
+
+
+QUERIES.update({
+    "flight_facts_nulls": q_flight_facts_nulls,
+    "work_set_mid_month": q_work_set_mid_month,
+    "silver_null_keys": q_silver_null_keys,
+})

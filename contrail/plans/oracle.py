@@ -341,3 +341,7 @@ WHERE gate = 'new' OR event_type = 'signup'"""
 ORACLE["dedupe_relanded"] = f"""
 SELECT a.*, o.input_order FROM ({ORACLE["silver_airlines"]}) AS a, (VALUES ('ab'), ('ba')) AS o(input_order)"""
 ORACLE["flight_files_roundtrip"] = ORACLE["land_flight_pages"]
+ORACLE["flight_facts_nulls"] = f"SELECT * FROM ({ORACLE['flight_facts']}) WHERE airport_code NOT IN ('7', '8')"
+ORACLE["work_set_mid_month"] = (ORACLE["work_set"].replace(RUN_DATE, "DATE '2024-01-16'")
+                                .replace(REFRESH_START, "DATE '2024-01-15'"))
+ORACLE["silver_null_keys"] = f"SELECT * FROM ({ORACLE['silver_airlines']}) WHERE CAST(airline_id AS INTEGER) % 5 <> 0"
