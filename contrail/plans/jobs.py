@@ -141,19 +141,42 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
     that have flights); today and later are left for a later run.
 
     ``touched`` names the departure dates that changed since the last run
-    (:func:`silverize_new_movements` returns them). Only these and the
-    refresh window are then looked at, in the flights and in the table; when
-    both are partitioned by ``date``, no other partition is read. Without
-    it, all dates are candidates.
+    (:func:`silverize_new_movements` returns them). Only these, the refresh
+    window and the dates below ``as_of`` that earlier runs had to leave are
+    then looked at, in the flights and in the table; when both are
+    partitioned by ``date``, no other partition is read. Without it, all
+    dates are candidates. Dates that a run leaves (``as_of`` and later) are
+    kept in the one-row-per-date table ``<gold_path>_pending`` until a run
+    has written them; a run that fails before keeps them.
     """
     as_of_d = dt.date.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     refresh_start = as_of_d - dt.timedelta(days=refresh_days)
     facts = G.flight_facts(flights).where(F.col("date") < F.lit(as_of_d))
     table = read_or_empty(spark, gold_path, S.GOLD_AIRPORT_HOURS)
-    if touched is not None:
-        asked = sorted({d for d in touched if d is not None}
-                       | {refresh_start + dt.timedelta(days=k) for k in range(refresh_days)})
-        facts, table = (t.where(F.col("date").isin(asked)) for t in (facts, table))
+    if touched is None:
+        return _goldenize(spark, facts, table, airports, gold_path, as_of_d, refresh_days, exact, max_broadcast_rows)
+    pending_path = gold_path.rstrip("/") + "_pending"
+    # Bounded: one row per date.
+    pending = {r[0] for r in read_or_empty(spark, pending_path, PENDING_DATES).collect()}
+    known = pending | {d for d in touched if d is not None}
+    if known != pending:
+        overwrite_table(spark.createDataFrame([(d,) for d in sorted(known)], PENDING_DATES).coalesce(1),
+                        pending_path, PENDING_DATES)
+    asked = sorted(known | {refresh_start + dt.timedelta(days=k) for k in range(refresh_days)})
+    facts, table = (t.where(F.col("date").isin(asked)) for t in (facts, table))
+    run = _goldenize(spark, facts, table, airports, gold_path, as_of_d, refresh_days, exact, max_broadcast_rows)
+    left = sorted(d for d in known if d >= as_of_d)
+    if left != sorted(known):
+        overwrite_table(spark.createDataFrame([(d,) for d in left], PENDING_DATES).coalesce(1), pending_path, PENDING_DATES)
+    return run
+
+
+#: Departure dates that silver has taken in and gold has not handled yet.
+PENDING_DATES = StructType([StructField("date", DateType())])
+
+
+def _goldenize(spark: SparkSession, facts: DataFrame, table: DataFrame, airports: DataFrame, gold_path: str,
+               as_of_d: dt.date, refresh_days: int, exact: bool, max_broadcast_rows: int) -> GoldRun:
     if facts.isEmpty():
         return GoldRun("no_flights")
 

@@ -28,6 +28,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 
 from contrail import schemas as S
 from contrail.sources.pages import FLIGHT_PAGE_FILE_SCHEMA as PAGE_STREAM_SCHEMA, land_flight_pages
+from contrail.sources.tables import read_or_empty
 
 BRONZE_FLIGHTS_PARTITIONED = StructType([
     *[f for f in S.BRONZE_FLIGHTS.fields if f.name != "ingestion_date"],
@@ -68,9 +69,9 @@ def refresh_gold_each_batch(spark: SparkSession, bronze_path: str, silver_path:
 
     def run(batch: DataFrame, batch_id: int) -> None:
         touched = silverize_new_movements(batch, silver_path)
-        if touched:
-            flights = spark.read.schema(MOVEMENTS_BY_DATE).parquet(silver_path)
-            goldenize(spark, flights, airports, gold_path, as_of, touched=touched)
+        flights = read_or_empty(spark, silver_path, MOVEMENTS_BY_DATE)
+        # Also without new rows: dates that an earlier run left may be due now.
+        goldenize(spark, flights, airports, gold_path, as_of, touched=touched)
 
     bronze = spark.readStream.schema(BRONZE_FLIGHTS_PARTITIONED).parquet(bronze_path)
     return (bronze.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)

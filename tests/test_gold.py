@@ -146,3 +146,19 @@ def test_refresh_without_replacement_rows_clears_the_day(spark, tmp_path):
     assert read() == 1
     run = jobs.goldenize(spark, flights, dim.limit(0), path, "2024-01-31")
     assert (run.refreshed_hours, read()) == (0, 0)
+
+
+def test_dates_left_by_a_run_are_written_after_skipped_days(spark, tmp_table):
+    first = flights(spark, [("FRA", "2024-01-15 10:00", 1), ("FRA", "2024-01-16 10:00", 2), ("MUC", "2024-01-20 11:00", 3)])
+    later = first.union(flights(spark, [("HAM", "2024-01-30 12:00", 4)]))
+    day = dt.date
+    goldenize(spark, first, dim(spark), tmp_table, "2024-01-16",
+              touched=[day(2024, 1, 15), day(2024, 1, 16), day(2024, 1, 20), None])
+    assert {k[1] for k in table(spark, tmp_table)} == {"2024-01-15"}
+    goldenize(spark, later, dim(spark), tmp_table, "2024-01-20", touched=[])  # 20 January is still to come
+    assert {k[1] for k in table(spark, tmp_table)} == {"2024-01-15", "2024-01-16"}
+    goldenize(spark, later, dim(spark), tmp_table, "2024-01-31", touched=[day(2024, 1, 30)])
+    full = tmp_table + "_full"
+    goldenize(spark, later, dim(spark), full, "2024-01-31")
+    assert table(spark, tmp_table) == table(spark, full)
+    assert {k[1] for k in table(spark, full)} == {"2024-01-15", "2024-01-16", "2024-01-20", "2024-01-30"}
