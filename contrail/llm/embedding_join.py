@@ -170,25 +170,36 @@ def links(vectors: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_i
     classes = stage_table(
         valid.groupBy("vec_key").agg(F.min("vec_id").alias("first_id"), F.count(F.lit(1)).alias("copies"),
                                      F.first("space").alias("space"), F.first("vector").alias("vector"))
-        .select("space", "vec_key", F.coalesce("first_id", F.xxhash64("vec_key")).alias("node"), "copies", "vector"),
+        .select("space", "vec_key", F.coalesce("first_id", F.xxhash64("vec_key")).alias("node"), "first_id", "copies", "vector"),
         "vectors")
     pivots = spark.sparkContext.broadcast(_pivots(classes, max_labels, max_pivots, per_pivot))
     radius = math.sqrt(max(2 - 2 * threshold, 0))
-    placed = stage_table(classes.mapInArrow(_place(pivots, radius), PLACED)
+    placed = stage_table(classes.drop("first_id").mapInArrow(_place(pivots, radius), PLACED)
                          .withColumn("cell", F.concat_ws("/", "pivot", "space")).drop("space", "pivot"), "placed")
     cells = graph.spread(placed, "cell", "vec_key", F.lit(1), block_vectors, block_vectors)
     found = stage_table(graph.run_cells(cells, "cell", _compare(threshold), LINKS), "links")
     parts = graph.components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))).withColumnRenamed("node", "_node")
     counted = found.groupBy("vec_key").agg(F.sum("links").alias("links")).withColumnRenamed("vec_key", "_key")
-    per_class = stage_table(
-        classes.select("vec_key", "node", "copies").join(counted, F.col("vec_key") == F.col("_key"), "left").drop("_key")
+    parted = stage_table(
+        classes.select("vec_key", "node", "first_id", "copies").join(counted, F.col("vec_key") == F.col("_key"), "left").drop("_key")
         .join(parts, F.col("node") == F.col("_node"), "left")
-        .select(F.col("vec_key").alias("_key"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                F.coalesce("component", "node").alias("component")), "per_class")
+        .select(F.col("vec_key").alias("_key"), "node", "first_id",
+                (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                F.coalesce("component", "node").alias("component")), "parts")
+    per_class = stage_table(graph.named(parted).select("_key", "n_links", "least", "stays"), "per_class")
     keyed = stage_table(valid.select(F.col("vec_id").alias("_id"), "vec_key"), "keys")
-    known = keyed.join(per_class, F.col("vec_key") == F.col("_key")).groupBy("_id").agg(
-        F.max("n_links").alias("n_links"), F.min("component").alias("component"))
-    out = rows.select("vec_id").join(known, F.col("vec_id") == F.col("_id"), "left")
+    found = keyed.join(per_class, F.col("vec_key") == F.col("_key"))
+    known = found.where("_id is not null").groupBy("_id").agg(F.max("n_links").alias("n_links"), F.min("least").alias("component"))
+    out = rows.select("vec_id").where("vec_id is not null").join(known, F.col("vec_id") == F.col("_id"), "left")
     component = F.coalesce("component", "vec_id")
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
-                      F.coalesce(component == F.col("vec_id"), F.lit(True)).alias("kept"))
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"),
+                     (component == F.col("vec_id")).alias("kept"))
+    # Rows without an id are found by their vectors; those without a usable one link with nothing.
+    nameless = found.where("_id is null").select(
+        F.col("_id").alias("vec_id"), "n_links", F.col("least").alias("component_id"),
+        (F.col("least").isNull() & F.col("stays")).alias("kept"))
+    unusable = rows.where("vec_id is null").count() - keyed.where("_id is null").count()
+    null = F.lit(None).cast("long")
+    alone = spark.range(unusable).select(null.alias("vec_id"), F.lit(0).cast("long").alias("n_links"),
+                                         null.alias("component_id"), F.lit(True).alias("kept"))
+    return out.union(nameless).union(alone)

@@ -56,6 +56,18 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots).distinct()
 
 
+def named(classes: DataFrame) -> DataFrame:
+    """``classes`` (node, first_id, component) with ``least``, the component's smallest id, and ``stays``.
+
+    ``stays`` marks the class that represents the component: the one of the
+    smallest id, or of the smallest node where no row has an id (least is null).
+    """
+    least = classes.groupBy("component").agg(F.min("first_id").alias("least")).withColumnRenamed("component", "_component")
+    out = classes.join(least, F.col("component") == F.col("_component")).drop("_component")
+    return out.withColumn("stays", F.when(F.col("least").isNull(), F.col("node") == F.col("component"))
+                          .otherwise(F.col("first_id").eqNullSafe(F.col("least"))))
+
+
 def spread(rows: DataFrame, cell: str, split_by: str, weight: Column, block_weight: int, block_rows: int) -> DataFrame:
     """``rows`` once per sub-cell that needs them: adds block, low, high (low <= high).
 

@@ -229,27 +229,32 @@ def _links(docs, id_col, text_col, words, threshold, recall):
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
           threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row per document: doc_id, class_id (smallest id reachable by links), n_links, kept."""
+    """One row per document: doc_id, class_id (smallest id reachable by links), n_links, kept.
+
+    A class without any id has a null class_id; there, the rows of the text that stands for it are kept.
+    """
     signed, classes, found = _links(docs, id_col, text_col, words, threshold, recall)
     per_class = _per_class(classes, found)
-    named = per_class.select(F.col("text_key").alias("_key"), "n_links", "component")
+    named = per_class.select(F.col("text_key").alias("_key"), "n_links", "least", "stays")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _text_key(F.col(text_col)).alias("text_key"))
     out = rows.join(named, F.col("text_key") == F.col("_key"), "left")
-    class_id = F.coalesce("component", "doc_id")
+    class_id = F.when(F.col("_key").isNull(), F.col("doc_id")).otherwise(F.col("least"))
+    kept = F.when(F.col("_key").isNull(), True).when(F.col("least").isNull(), F.col("stays")).otherwise(
+        F.col("doc_id").eqNullSafe(F.col("least")))
     return out.select("doc_id", class_id.alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                      F.coalesce(class_id == F.col("doc_id"), F.lit(False)).alias("kept"))
+                      kept.alias("kept"))
 
 
 def _per_class(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """text_key, node, first_id, copies, n_links, component of every class, written."""
+    """text_key, node, first_id, copies, n_links, component, least, stays of every class, written."""
     parts = graph.components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))).withColumnRenamed(
         "node", "_node")
     counted = found.groupBy("text_key").agg(F.sum("links").alias("links")).withColumnRenamed("text_key", "_key")
     out = (classes.drop("bands", "n_shingles").join(counted, F.col("text_key") == F.col("_key"), "left").drop("_key")
            .join(parts, F.col("node") == F.col("_node"), "left").drop("_node"))
-    return stage_table(out.select(
+    return stage_table(graph.named(stage_table(out.select(
         "text_key", "node", "first_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component")), "per_class")
+        F.coalesce("component", "node").alias("component")), "parts")), "per_class")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -257,7 +262,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one row of every class: the smallest id's. Rows without a word are classes of their own."""
     signed, classes, found = _links(docs, id_col, text_col, words, threshold, recall)
     stays = _per_class(classes, found).select(
-        F.col("text_key").alias("_key"), F.col("first_id"), (F.col("node") == F.col("component")).alias("stays"))
+        F.col("text_key").alias("_key"), F.col("first_id"), "stays")
     # What goes, as (text, id): rows of a class that is not first, and copies that are not the first.
     ids = signed.groupBy("text_key", "doc_id").agg(F.count(F.lit(1)).alias("n_rows"))
     verdict = ids.join(stays, F.col("text_key") == F.col("_key")).select(

@@ -127,3 +127,29 @@ def test_embedding_join_edge_rows(spark):
     assert got[1] == got[2] == got[11] == got[13] == got[14] == (4, 1)
     assert all(got[i] == (0, i) for i in (3, 4, 5, 6, 7, 8, 9, 10, 12))
     assert embedding_join.links(df.limit(0)).count() == 0
+
+
+def test_null_ids_name_no_class(spark):
+    """Texts and vectors without an id link, but a class is named by its smallest real id."""
+    docs, vectors, want = [], [], []
+    rng = np.random.default_rng(9)
+    for k in range(12):  # hashes of either sign
+        base = [f"g{k}w{i}" for i in range(60)]
+        docs += [(10 * k + 1, " ".join(base)), (10 * k + 2, " ".join(base + ["end"])), (None, " ".join([*base, "other"]))]
+        v = rng.normal(size=16)
+        vectors += [(10 * k + 1, k, v.tolist()), (10 * k + 2, k, (v + 0.001).tolist()), (None, k, (v - 0.001).tolist())]
+        want += [(10 * k + 1, 10 * k + 1, 2, True), (10 * k + 2, 10 * k + 1, 2, False), (None, 10 * k + 1, 2, False)]
+    # Without any id: a pair of near-copies keeps one of them, and single rows stay.
+    base = [f"n{i}" for i in range(60)]
+    docs += [(None, " ".join(base)), (None, " ".join([*base, "more"])), (None, "one text of its own kind here"), (None, None)]
+    v = rng.normal(size=16)
+    vectors += [(None, 99, v.tolist()), (None, 99, (v + 0.001).tolist()), (None, 98, v.tolist()), (None, 97, None)]
+    want += [(None, None, 1, True), (None, None, 1, False), (None, None, 0, True), (None, None, 0, True)]
+    order = lambda r: (r[0] is None, r[0] or 0, r[1] is None, r[1] or 0, r[2], r[3])
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    got = [(r.doc_id, r.class_id, r.n_links, r.kept) for r in ngram_join.links(docs).collect()]
+    assert sorted(got, key=order) == sorted(want, key=order)
+    assert ngram_join.deduplicate(docs).count() == sum(r[3] for r in want)
+    vectors = spark.createDataFrame(vectors, "vec_id long, label int, embedding array<double>")
+    got = [(r.vec_id, r.component_id, r.n_links, r.kept) for r in embedding_join.links(vectors).collect()]
+    assert sorted(got, key=order) == sorted(want, key=order)
