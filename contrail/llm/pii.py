@@ -31,18 +31,36 @@ DEMO_KEY = "demo-key"
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 _EDGE, _END = "(?<![0-9A-Za-z])", "(?![0-9A-Za-z])"
+#: Length of an IBAN -> its countries (the registry of ISO 13616).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban_shape(n: int, codes: str) -> str:
+    """IBANs of ``n`` characters, in groups of four or in one; no country's form runs on into the next word."""
+    groups, rest = divmod(n - 4, 4)
+    tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+    return f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{groups}}}{tail}"
+
+
 #: Kind -> pattern, in order of preference at one position. Quantifiers over
 #: open-ended runs are possessive, so that long tokens take linear time.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": rf"(?<![0-9A-Za-z.]){_OCTET}(?:\.{_OCTET}){{3}}(?![0-9A-Za-z]|\.[0-9])",
     "card": _EDGE + "(?:[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}|[0-9]{13,19})" + _END,
-    "phone": (r"(?<![0-9A-Za-z+])(?:\+[1-9][0-9]{0,2}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}"
+    "phone": (r"(?<![0-9A-Za-z+])(?:\+1[ .-]?(?:\([0-9]{3}\)|[0-9]{3})[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9A-Za-z])|\+[1-9][0-9]{0,2}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}"
               r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})" + _END),
     "ssn": "(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
-    "iban": _EDGE + "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
+    "iban": _EDGE + "(?:" + "|".join(_iban_shape(n, codes) for n, codes in IBAN_LENGTHS.items())
+             # Countries that the registry lacks.
+             + "|(?!" + "|".join(IBAN_LENGTHS.values()).replace(" ", "|") + ")[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)" + _END,
     "date": ("(?<![0-9A-Za-z.-])(?:(?:19|20)[0-9]{2}-[01][0-9]-[0-3][0-9]|(?:19|20)[0-9]{2}/[01][0-9]/[0-3][0-9]"
-             r"|[0-3][0-9]\.[01][0-9]\.(?:19|20)[0-9]{2}|[01][0-9]/[0-3][0-9]/(?:19|20)[0-9]{2})" + _END),
+             r"|[0-3][0-9]\.[01][0-9]\.(?:19|20)[0-9]{2}|[0-3][0-9]/[0-3][0-9]/(?:19|20)[0-9]{2})"
+             "(?![0-9A-SU-Za-z]|T(?![0-9]{2}:?[0-9]{2}))"),
 }
 KINDS = tuple(PATTERNS)
 ANY = "|".join(PATTERNS.values())
@@ -165,20 +183,33 @@ def _iban(m: Column, key: str) -> Column:
 
 
 def _moved_day(day: Column, form: str, key: str) -> Column:
-    """Days move within their century; its length is the product of the two radices."""
+    """Days move within their century; its length is the product of the two radices.
+
+    dd/MM/yyyy moves on until its day is above 12 again, so that it never
+    looks like the pseudonym of an MM/dd/yyyy date; this stays one-to-one.
+    """
     number = F.datediff(day, F.lit("1900-01-01").cast("date"))
     late = number >= 36524
     rank = F.when(late, number - 36524).otherwise(number).cast("long")
     a, b = (F.when(late, F.lit(x)).otherwise(F.lit(y)).cast("long") for x, y in ((75, 92), (487, 397)))
-    fresh = permute_rank(rank, a, b, key, "date") + F.when(late, F.lit(36524)).otherwise(F.lit(0))
+    start = F.when(late, F.lit(36524)).otherwise(F.lit(0))
+    if form == "dd/MM/yyyy":
+        def turn(x: Column, k: Column) -> Column:
+            plain = F.dayofmonth(F.date_add(F.lit("1900-01-01").cast("date"), (x + start).cast("int"))) <= 12
+            return F.when((k == 0) | plain, permute_rank(x, a, b, key, "date")).otherwise(x)
+
+        fresh = F.aggregate(F.sequence(F.lit(0), F.lit(80)), rank, turn) + start
+    else:
+        fresh = permute_rank(rank, a, b, key, "date") + start
     return F.when(day.isNotNull(), F.date_format(
         F.date_add(F.lit("1900-01-01").cast("date"), fresh.cast("int")), form))
 
 
 def _date(m: Column, key: str) -> Column:
+    """MM/dd/yyyy where the first part can be a month, also if both parts can; else dd/MM/yyyy."""
     out = F.lit(None).cast("string")
     for shape, form in (("^[0-9]{4}-", "yyyy-MM-dd"), ("^[0-9]{4}/", "yyyy/MM/dd"), ("[.]", "dd.MM.yyyy"),
-                        ("^[0-9]{2}/", "MM/dd/yyyy")):
+                        ("^(0[0-9]|1[0-2])/", "MM/dd/yyyy"), ("^(1[3-9]|[23][0-9])/", "dd/MM/yyyy")):
         def body(day: Column) -> Column:
             return _moved_day(day, form, key)  # noqa: B023 (called at once)
 

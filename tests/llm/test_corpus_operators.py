@@ -415,3 +415,24 @@ def test_pipeline_stages(spark, docs):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
+
+
+def test_values_followed_by_words_and_numbers(spark):
+    values = {"ES9121000418450200051332": "iban", "GB82 WEST 1234 5698 7654 32": "iban", "31/01/1999": "date",
+              "01/31/1999": "date", "2024-01-31": "date", "+1 555 123 4567": "phone"}
+    rows = [(i, f"see {v}{after}", v, after, kind) for i, (v, kind, after) in enumerate(
+        (v, k, a) for v, k in values.items() for a in ("", " EUR 500", " 2024", " ABCD", "."))]
+    rows.append((99, "at 2024-01-31T12:00 on", "2024-01-31", "T12:00 on", "date"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, v string, after string, kind string")
+    fresh = defaultdict(set)
+    for r in pii.pseudonymise(df, counts=True).collect():
+        assert r[f"n_{r.kind}"] == 1 and r.text.endswith(r.after), r
+        fresh[r.v].add(r.text.removeprefix("see ").removeprefix("at ").removesuffix(r.after))
+    assert all(len(x) == 1 and x != {v} for v, x in fresh.items()), fresh
+
+
+def test_days_before_months_stay_apart(spark):
+    days = [datetime.date(1999, 1, 1) + datetime.timedelta(k) for k in range(730)]
+    rows = [(i, d.strftime(f), f) for i, (d, f) in enumerate((d, f) for d in days for f in ("%m/%d/%Y", "%d/%m/%Y") if f[1] == "m" or d.day > 12)]
+    out = [r.text for r in pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string, form string")).collect()]
+    assert len(set(out)) == len(rows)
