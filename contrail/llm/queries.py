@@ -12,6 +12,7 @@ from contrail.llm import (
     mixing,
     ngram_join,
     packing,
+    piece_codec,
     pii,
     quality,
     secrets,
@@ -24,7 +25,7 @@ from contrail.session import work_path
 
 __all__ = ["ORACLE", "QUERIES", "RANKS", "TOKENIZER"]
 
-TOKENIZER, RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
+TOKENIZER, RANKS, PIECES = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken", "piece_bpe_32k.model"
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,8 +77,15 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(found)
 
 
+def op11_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    model = public_tokenizers.path(PIECES)
+    return piece_codec.digest(piece_codec.decode(piece_codec.encode(table(spark, sf_dir, "documents"), model), model))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_pack_sum_of_squares, op3_embedding_near_dups,
                             op4_ngram_jaccard_join, op5_pii_pseudonyms, op6_kneser_ney_scores,
                             op7_trie_token_counts, op8_repeated_passages, op9_quality_rules,
-                            op10_secret_ledger)}
+                            op10_secret_ledger, op11_sentencepiece_codec)}
