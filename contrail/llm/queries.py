@@ -12,6 +12,7 @@ from contrail.llm import (
     mixing,
     ngram_join,
     packing,
+    periodic_runs,
     piece_codec,
     pii,
     quality,
@@ -84,8 +85,12 @@ def op11_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.digest(piece_codec.decode(piece_codec.encode(table(spark, sf_dir, "documents"), model), model))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.find_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_pack_sum_of_squares, op3_embedding_near_dups,
                             op4_ngram_jaccard_join, op5_pii_pseudonyms, op6_kneser_ney_scores,
                             op7_trie_token_counts, op8_repeated_passages, op9_quality_rules,
-                            op10_secret_ledger, op11_sentencepiece_codec)}
+                            op10_secret_ledger, op11_sentencepiece_codec, op12_periodic_runs)}
