@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail.llm import (
+    alignment,
     embedding_join,
     language_model,
     mixing,
@@ -89,8 +90,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.find_runs(periodic_runs.planted(table(spark, sf_dir, "documents"))))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.path(PIECES),
+                           public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mix_sources, op2_pack_sum_of_squares, op3_embedding_near_dups,
                             op4_ngram_jaccard_join, op5_pii_pseudonyms, op6_kneser_ney_scores,
                             op7_trie_token_counts, op8_repeated_passages, op9_quality_rules,
-                            op10_secret_ledger, op11_sentencepiece_codec, op12_periodic_runs)}
+                            op10_secret_ledger, op11_sentencepiece_codec, op12_periodic_runs,
+                            op13_tokenizer_alignment)}
