@@ -33,7 +33,7 @@ GOLD_COLUMNS = ["airport_code", "longitude", "latitude", "total_departures",
                 "delayed_flights_percentage", "date", "hour"]
 #: Gold rows of one date that one task produces at most, about.
 ROWS_PER_DATE_TASK = 1_000_000
-_DELAY_THRESHOLD_SECONDS = DELAY_THRESHOLD_MINUTES * 60
+DELAYED_AFTER_SECONDS = DELAY_THRESHOLD_MINUTES * 60
 
 
 def _date(d: dt.date | str | Column) -> Column:
@@ -109,7 +109,7 @@ def delay_by_key_hour(facts: DataFrame, exact: bool = True) -> DataFrame:
         F.sum("delay_seconds").alias("_s"),
         F.count("delay_seconds").alias("_n"),
         F.avg(F.col("delay_seconds") / F.lit(60.0)).alias("_avg"),
-        F.count_if(F.col("delay_seconds") > _DELAY_THRESHOLD_SECONDS).cast("int")
+        F.count_if(F.col("delay_seconds") > DELAYED_AFTER_SECONDS).cast("int")
         .alias("delayed_flights"),
     )
     mean = (mean_minutes_2dp(F.col("_s"), F.col("_n")) if exact
@@ -169,7 +169,7 @@ def hourly_stats(facts: DataFrame, dimension: DataFrame, work: DataFrame,
     if not fits_broadcast(dimension.select("airport_code", "longitude", "latitude"), dimension_rows):
         salts = max(salts, parallelism)
     partitions = max(1, min(parallelism, work_rows), -(-dimension_rows * work_rows // ROWS_PER_DATE_TASK))
-    delayed = F.col("delay_seconds") > _DELAY_THRESHOLD_SECONDS
+    delayed = F.col("delay_seconds") > DELAYED_AFTER_SECONDS
     flights = restrict_to_work_set(facts, work, work_rows).groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("_flights"), F.sum("delay_seconds").alias("_s"),
         F.count("delay_seconds").alias("_n"), F.sum(F.col("delay_seconds") / F.lit(60.0)).alias("_minutes"),

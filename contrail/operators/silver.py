@@ -12,6 +12,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -156,8 +158,10 @@ def newest_per_flight(rows: DataFrame) -> DataFrame:
     Rows with an incomplete key are kept, but a row landed at the same place
     with the same content counts once.
     """
-    return dedupe_first(rows.distinct(), FLIGHT_KEY, [
+    complete = reduce(and_, [F.col(k).isNotNull() for k in FLIGHT_KEY])
+    unique = dedupe_first(rows.where(complete), FLIGHT_KEY, [
         -F.unix_date("ingestion_date"), F.col("page_offset"), F.col("page_pos")])
+    return unique.unionByName(rows.where(~complete).distinct())
 
 
 def silver_movements(bronze: DataFrame, dedupe: bool = False) -> DataFrame:

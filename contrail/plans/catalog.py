@@ -427,9 +427,9 @@ QUERIES["silver_entity"] = q_silver_entity
 
 
 def q_silver_movements_incremental(spark, sf_dir):
-    """Flight keys after merging bronze in two runs that touch the same dates."""
+    """Flights after merging bronze in two runs that touch the same dates."""
     from pyspark.sql import functions as F
-    from contrail.operators.silver import FLIGHT_KEY
+    from contrail import schemas as S
     from contrail.plans import jobs
     from contrail.session import work_path
     path = work_path(spark, "silver", "flights")
@@ -437,7 +437,7 @@ def q_silver_movements_incremental(spark, sf_dir):
     late = F.crc32(F.col("raw_data").cast("binary")) % 2 == 0
     for part in (bronze.where(~late), bronze.where(late)):
         jobs.silverize_new_movements(part, path)
-    return spark.read.schema(jobs.MOVEMENTS_BY_DATE).parquet(path).select(*FLIGHT_KEY)
+    return spark.read.schema(jobs.MOVEMENTS_BY_DATE).parquet(path).select(S.SILVER_FLIGHTS.fieldNames())
 
 
 QUERIES["silver_movements_incremental"] = q_silver_movements_incremental
@@ -602,3 +602,59 @@ QUERIES.update({
     "work_set_mid_month": q_work_set_mid_month,
     "silver_null_keys": q_silver_null_keys,
 })
+
+
+# ---------------------------------------------------------------- flights merged through an index
+def q_silver_movements_indexed(spark, sf_dir):
+    """All flights after two landings merged through the key-to-date index.
+
+    The first brings the pages of odd orders, and those divisible by three
+    before their flights departed (on the scheduled date, without a gate); the
+    second the even ones and, again, those divisible by three, whose flights
+    move to their actual date.
+    """
+    from pyspark.sql import functions as F
+    from contrail import schemas as S
+    from contrail.plans.flight_merge import merge_flights, read_flights
+    from contrail.session import work_path
+    from contrail.sources.pages import land_flight_pages
+    root = work_path(spark, "flights")
+    pages, planned = si.flight_pages(spark, sf_dir), si.flight_pages(spark, sf_dir, departed=False)
+    third, even = F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") % 2 == 0
+    first = pages.where(~third & ~even).unionByName(planned.where(third))
+    merge_flights(land_flight_pages(first, si.OLD_SNAPSHOT_DATE), root, "first")
+    merge_flights(land_flight_pages(pages.where(third | even), si.RUN_DATE), root, "second")
+    return read_flights(spark, root).select(*S.SILVER_FLIGHTS.fieldNames(), "date")
+
+
+def q_gold_late_corrections(spark, sf_dir):
+    """Hourly statistics from the signed changes of three landings, the sums compacted after the second.
+
+    Landed: the flights of blocks before the 16th but the late ones, all with
+    estimated times; the late and later ones, every third with an estimate;
+    and the corrections of all estimates. Flights without a number come once,
+    with their times.
+    """
+    from pyspark.sql import functions as F
+    from contrail.plans import hourly_state
+    from contrail.plans.flight_merge import merge_flights
+    from contrail.session import work_path
+    from contrail.sources.pages import land_flight_pages
+    root = work_path(spark, "flights")
+    numbered, third = F.col("event_type") != "signup", F.col("event_id") % 3 == 0
+    first = ~F.col("late") & (F.col("block") < FIRST_RUN_DATE)
+    early = (~((F.hour("ts") % 6) == 5)) & (F.col("ts") < F.lit(FIRST_RUN_DATE).cast("timestamp_ntz"))
+    merge_flights(land_flight_pages(si.event_flight_pages(spark, sf_dir, estimate=numbered).where(first), "2024-01-16"),
+                  root, "early")
+    merge_flights(land_flight_pages(si.event_flight_pages(spark, sf_dir, estimate=numbered & third).where(~first), "2024-01-31"),
+                  root, "late")
+    hourly_state.compact(spark, root)
+    corrected = si.event_flight_pages(spark, sf_dir, where=numbered & (early | third))
+    merge_flights(land_flight_pages(corrected, "2024-02-01"), root, "corrections")
+    return hourly_state.stats_from_state(hourly_state.read_state(spark, root), si.nation_locations(spark, sf_dir), si.RUN_DATE)
+
+
+QUERIES.update({
+    "silver_movements_indexed": q_silver_movements_indexed,
+    "gold_late_corrections": q_gold_late_corrections,
+})

@@ -322,10 +322,12 @@ UNION ALL SELECT 'countries', CAST(o_orderkey AS VARCHAR), o_orderpriority FROM
 UNION ALL SELECT 'airlines', CAST(c_custkey AS VARCHAR), c_name FROM customer
 UNION ALL SELECT 'aircraft_summaries', CAST(p_partkey AS VARCHAR), p_name FROM part"""
 
-ORACLE["silver_movements_incremental"] = f"""
-SELECT DISTINCT marketing_carrier_airline_id, marketing_carrier_flight_number,
-       departure_airport_code, departure_scheduled_time_utc
-FROM ({_MOVEMENTS})"""
+# Some orders hold two lines of one number and supplier, which is one flight: the first on its page stays.
+_UNIQUE_MOVEMENTS = _MOVEMENTS.replace("FROM lineitem JOIN orders", """FROM (
+  SELECT * FROM lineitem QUALIFY row_number() OVER (
+    PARTITION BY l_orderkey, l_linenumber, l_suppkey ORDER BY l_partkey, l_returnflag, l_linestatus, l_shipdate) = 1)
+JOIN orders""")
+ORACLE["silver_movements_incremental"] = _UNIQUE_MOVEMENTS
 ORACLE["catalog_tables"] = ORACLE["silver_countries"]
 ORACLE["quarantine_pages"] = f"""SELECT * FROM ({ORACLE["classify_pages"]}) WHERE status <> 'ok'"""
 
@@ -345,3 +347,7 @@ ORACLE["flight_facts_nulls"] = f"SELECT * FROM ({ORACLE['flight_facts']}) WHERE
 ORACLE["work_set_mid_month"] = (ORACLE["work_set"].replace(RUN_DATE, "DATE '2024-01-16'")
                                 .replace(REFRESH_START, "DATE '2024-01-15'"))
 ORACLE["silver_null_keys"] = f"SELECT * FROM ({ORACLE['silver_airlines']}) WHERE CAST(airline_id AS INTEGER) % 5 <> 0"
+ORACLE["silver_movements_indexed"] = f"""
+SELECT *, CAST(coalesce(departure_actual_time_local, departure_scheduled_time_local) AS DATE) AS date
+FROM ({_UNIQUE_MOVEMENTS})"""
+ORACLE["gold_late_corrections"] = ORACLE["gold_from_dated_flights"]

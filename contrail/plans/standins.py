@@ -225,7 +225,7 @@ def entity_bronze(spark: SparkSession, sf_dir: str, entity_name: str) -> DataFra
 
 
 # ------------------------------------------------------------ flight pages
-def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flight_pages(spark: SparkSession, sf_dir: str, departed: bool = True) -> DataFrame:
     """Departure pages from ``lineitem`` joined to ``orders``: one page per order.
 
     Item per line: departure airport = l_suppkey; scheduled = o_orderdate;
@@ -235,7 +235,8 @@ def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     marketing carrier ('MC', l_orderkey || '-' || l_linenumber); operating
     carrier (o_orderpriority, l_linenumber); aircraft = l_partkey; status =
     o_orderstatus; service 'Passenger'. Page metadata: airport = o_custkey,
-    block = 4-hour block of o_orderdate, offset 0.
+    block = 4-hour block of o_orderdate, offset 0. Without ``departed``, no
+    flight has an actual time yet, and gates are 'TBA'.
     """
     from contrail.functions.times import format_local_time, format_utc_time, time_block_4h
     from contrail.schemas import FLIGHTS
@@ -256,7 +257,8 @@ def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(c.alias("DateTime"))
 
     def item(x):
-        returned = x["l_returnflag"] == "R"
+        returned = (x["l_returnflag"] == "R") | F.lit(not departed)
+        gate = (x["l_partkey"] % 100).cast("string") if departed else F.lit("TBA")
         return F.struct(
             F.struct(
                 x["l_suppkey"].cast("string").alias("AirportCode"),
@@ -269,7 +271,7 @@ def flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.struct(x["l_linestatus"].alias("Code"),
                          x["l_returnflag"].alias("Definition")).alias("TimeStatus"),
                 F.struct(F.concat(F.lit("T"), x["l_linenumber"].cast("string")).alias("Name"),
-                         (x["l_partkey"] % 100).cast("string").alias("Gate")).alias("Terminal"),
+                         gate.alias("Gate")).alias("Terminal"),
             ).alias("Departure"),
             F.struct(
                 F.col("o_custkey").cast("string").alias("AirportCode"),
@@ -301,13 +303,15 @@ def flight_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return land_flight_pages(flight_pages(spark, sf_dir), RUN_DATE)
 
 
-def event_flight_pages(spark: SparkSession, sf_dir: str, gate: str = "A") -> DataFrame:
+def event_flight_pages(spark: SparkSession, sf_dir: str, gate: str = "A",
+                       estimate: F.Column | None = None, where: F.Column | None = None) -> DataFrame:
     """Departure pages from ``events``: a page per airport, 4-hour block, lateness and 1500 events.
 
     airport = event_id % 30; scheduled = start of the hour; actual = ts to
     the minute, missing for 'error'; carrier ('EV', event_id), the number
     missing for 'signup'; offset = event_id div 1500 * 50. Pages of the hours
-    5, 11, 17 and 23 are ``late``.
+    5, 11, 17 and 23 are ``late``. Where ``estimate`` holds, the actual time is
+    still 150 minutes off; ``where`` selects events.
     """
     from contrail.functions.times import format_local_time, format_utc_time, time_block_4h
     from contrail.schemas import FLIGHTS
@@ -316,8 +320,12 @@ def event_flight_pages(spark: SparkSession, sf_dir: str, gate: str = "A") -> Dat
         "event_id", "ts", "event_type", (F.col("event_id") % LOCATION_MODULUS).cast("string").alias("airport_code"),
         time_block_4h("ts").alias("block"), (F.hour("ts") % 6 == 5).alias("late"),
         (F.col("event_id") / 1500).cast("long").alias("chunk"))
+    if where is not None:
+        ev = ev.where(where)
     sched = hour_start(F.col("ts"))
-    actual = F.when(F.col("event_type") != "error", F.col("ts"))
+    known = F.col("ts") if estimate is None else F.when(
+        estimate, F.col("ts") + F.expr("INTERVAL 150 MINUTES")).otherwise(F.col("ts"))
+    actual = F.when(F.col("event_type") != "error", known)
 
     def t(c):
         return F.struct(c.alias("DateTime"))
