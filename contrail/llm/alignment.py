@@ -42,6 +42,8 @@ from contrail.llm.common import stage_table
 BLOCK_BYTES = 4_000_000
 #: Blocks that share one copy of the counts.
 BLOCKS_PER_SALT = 1000
+#: Marked words that a task holds.
+MAX_CHUNKS = 200_000
 #: Texts with one of so many parts of all rows are joined by a broadcast.
 HOT_PARTS = 1000
 
@@ -84,10 +86,17 @@ class ByteTokens:
             self.fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
             self.other = re.compile("[\U00030000-\U0010ffff]")
 
-    def encode(self, text: str) -> list[int]:
-        if self.fast is None or self.other.search(text):
-            return self.own.encode(text, add_special_tokens=False).ids
-        return self.fast.encode_ordinary(text)
+    def _plain(self, text: str) -> bool:
+        return self.fast is not None and not self.other.search(text)
+
+    def encode(self, text: str) -> np.ndarray:
+        if self._plain(text):
+            return np.array(self.fast.encode_ordinary(text), np.int32)
+        return np.array(self.own.encode(text, add_special_tokens=False).ids, np.int32)
+
+    def spells(self, text: str) -> bool:
+        """Whether tokens of the right length are sure to spell the text: ranks merge bytes that stand side by side."""
+        return self._plain(text)
 
     def token_bytes(self) -> list[bytes]:
         value = byte_level_values()
@@ -102,10 +111,14 @@ class PieceTokens:
     """Side B: a SentencePiece model, which puts a space in front of a text itself."""
 
     def __init__(self, model_file: str, by_chunk: bool):
-        self.table = piece_codec.ChunkTable(model_file, by_chunk)
+        self.table = piece_codec.ChunkTable(model_file, by_chunk, MAX_CHUNKS)
 
-    def encode(self, text: str) -> list[int]:
-        return piece_codec.unpack(self.table.encode(text)).tolist()
+    def encode(self, text: str) -> np.ndarray:
+        return piece_codec.unpack(self.table.encode(text)).astype(np.int32)
+
+    def spells(self, text: str) -> bool:
+        """Whether tokens of the right length are sure to spell the text: marked words do, but for a marker as such."""
+        return self.table.by_chunk and piece_codec.MARKER not in text
 
     def token_bytes(self) -> list[bytes]:
         model = self.table.model
@@ -119,7 +132,7 @@ class Aligner:
     def __init__(self, a, b):
         self.a, self.b = a, b
         self.bytes_a, self.bytes_b = a.token_bytes(), b.token_bytes()
-        self.lens_a, self.lens_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.lens_a, self.lens_b = (np.array(list(map(len, x))) for x in (self.bytes_a, self.bytes_b))
         # Ids as text: within a group, at the end of its A ids, and at its end.
         self.written = [f"{i}{end}" for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
                         for i in range(n) for end in ends]
@@ -130,14 +143,17 @@ class Aligner:
             return None
         raw = b" " + text.encode()
         a, b = self.a.encode(" " + text), self.b.encode(text)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw or b"".join(map(self.bytes_b.__getitem__, b)) != raw:
-            return None
-        return np.array(a, np.int64), np.array(b, np.int64)
+        for side, ids, lens, spelled in ((self.a, a, self.lens_a, self.bytes_a), (self.b, b, self.lens_b, self.bytes_b)):
+            if lens[ids].sum() != len(raw):
+                return None
+            if not side.spells(text) and b"".join(map(spelled.__getitem__, ids.tolist())) != raw:
+                return None
+        return a, b
 
     def block(self, texts: list[str], copies: list[int]):
         """(pairs, weights, per text: key, copies, measures, hash of the groups, links) of a block."""
         both = [self.tokens(t) for t in texts]
-        held = [k for k, ids in enumerate(both) if ids]
+        held = [k for k, ids in enumerate(both) if ids is not None]
         keys = [hashlib.sha256(t.encode()).digest() for t in texts]
         rows = [{"key": key, "copies": n, **dict.fromkeys(MEASURES, 0), "groups_sha256": "", "links": b""}
                 for key, n in zip(keys, copies, strict=True)]
@@ -145,13 +161,17 @@ class Aligner:
             return [], [], rows
         ids_a, ids_b = (np.concatenate([both[k][side] for k in held]) for side in (0, 1))
         first_a, first_b = (np.cumsum([0] + [len(both[k][side]) for k in held]) for side in (0, 1))
-        # Both sides spell the same bytes, so offsets may run on through all texts.
+        # Both sides spell the same bytes, so offsets may run on through all texts. One flag a byte for each side's ends.
         ends_a, ends_b = np.cumsum(self.lens_a[ids_a]), np.cumsum(self.lens_b[ids_b])
-        links = np.union1d(ends_a, ends_b)
-        groups = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        at_a, at_b = (np.zeros(ends_a[-1] + 1, bool) for _ in range(2))
+        at_a[ends_a] = at_b[ends_b] = True
+        links, groups = np.flatnonzero(at_a | at_b), at_a & at_b
+        until_a, until_b = (np.cumsum(x, dtype=np.int32) for x in (at_a, at_b))  # tokens that end at a byte or before
         stops = ends_a[first_a[1:] - 1]
-        n_links, n_groups = (np.diff(np.searchsorted(x, stops, "right"), prepend=0) for x in (links, groups))
-        pair = (ids_a[np.searchsorted(ends_a, links)] << 32) | ids_b[np.searchsorted(ends_b, links)]
+        n_links = np.diff(np.searchsorted(links, stops, "right"), prepend=0)
+        pair = (ids_a.astype(np.int64)[until_a[links - 1]] << 32) | ids_b[until_b[links - 1]]
+        hashes, n_groups = self._group_hashes(ids_a, ids_b, ends_a, ends_b, first_a, first_b, groups, until_a, until_b)
+        del at_a, at_b, groups, until_a, until_b, ends_a, ends_b
         pairs, which = np.unique(pair, return_inverse=True)
         which = which.reshape(-1)
         weights = np.zeros(len(pairs), np.int64)
@@ -159,25 +179,26 @@ class Aligner:
         text, own = own // len(pairs), own % len(pairs)
         np.add.at(weights, own, counts * np.array(copies, np.int64)[held][text])
         bounds = np.searchsorted(text, np.arange(len(held) + 1))
-        hashes = self._group_hashes(ids_a, ids_b, ends_a, ends_b, first_a, first_b, groups)
         for j, k in enumerate(held):
             part = slice(bounds[j], bounds[j + 1])
             rows[k].update(n_a=len(both[k][0]), n_b=len(both[k][1]), n_groups=int(n_groups[j]), n_links=int(n_links[j]),
                            groups_sha256=hashes[j], links=pack_links(own[part], counts[part]))
         return pairs, weights, rows
 
-    def _group_hashes(self, ids_a, ids_b, ends_a, ends_b, first_a, first_b, groups) -> list[str]:
-        """SHA-256 of ``a1,a2|b1;a3|b2,b3`` of every text."""
+    def _group_hashes(self, ids_a, ids_b, ends_a, ends_b, first_a, first_b, groups, until_a, until_b):
+        """SHA-256 of ``a1,a2|b1;a3|b2,b3``, and the number of groups, of every text; ``groups`` flags their ends."""
+        until = np.cumsum(groups, dtype=np.int32)
+        places = np.flatnonzero(groups)
         # The A ids of a group come first: an A id follows the B ids of earlier groups, a B id also the A ids of its own.
-        group_a, group_b = np.searchsorted(groups, ends_a), np.searchsorted(groups, ends_b)
-        until_a, until_b = (np.searchsorted(ends, groups, "right") for ends in (ends_a, ends_b))
-        before_b = np.concatenate([[0], until_b])
-        out = np.empty(len(ids_a) + len(ids_b), np.int64)
-        out[np.arange(len(ids_a)) + before_b[group_a]] = 2 * ids_a + (ends_a == groups[group_a])
-        out[np.arange(len(ids_b)) + until_a[group_b]] = 2 * (len(self.lens_a) + ids_b) + (ends_b == groups[group_b])
+        before_b = np.concatenate([[0], until_b[places]])
+        after_a = until_a[places]
+        out = np.empty(len(ids_a) + len(ids_b), np.int32)
+        out[np.arange(len(ids_a)) + before_b[until[ends_a - 1]]] = 2 * ids_a + groups[ends_a]
+        out[np.arange(len(ids_b)) + after_a[until[ends_b - 1]]] = 2 * (len(self.lens_a) + ids_b) + groups[ends_b]
         cuts = (first_a + first_b).tolist()
-        return [hashlib.sha256("".join(map(self.written.__getitem__, out[s:e].tolist()))[:-1].encode()).hexdigest()
-                for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+        hashes = [hashlib.sha256("".join(map(self.written.__getitem__, out[s:e].tolist()))[:-1].encode()).hexdigest()
+                  for s, e in zip(cuts[:-1], cuts[1:], strict=True)]
+        return hashes, np.diff(until[ends_a[first_a[1:] - 1]], prepend=0)
 
 
 def pack_links(pairs: np.ndarray, counts: np.ndarray) -> bytes:

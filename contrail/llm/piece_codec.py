@@ -72,9 +72,9 @@ class ChunkTable:
         self.ids: dict[str, bytes] = {}
 
     def _segment(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
+        from array import array
 
-        return [np.array(ids, "<u4").tobytes() for ids in self.model.encode(texts, num_threads=1)]
+        return [array("I", ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text, without begin and end."""

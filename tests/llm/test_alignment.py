@@ -126,7 +126,7 @@ aligner = alignment.Aligner(alignment.ByteTokens(A, RANKS, public_tokenizers.PAT
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" \n\r\tabcé'’s123<|>{}日"), st.characters(exclude_categories=["Cs"])), max_size=40))
 def test_both_encoders_of_any_text(text):
-    assert aligner.a.encode(" " + text) == own.encode(" " + text, add_special_tokens=False).ids
+    assert aligner.a.encode(" " + text).tolist() == own.encode(" " + text, add_special_tokens=False).ids
     a, b = plain_tokens(text)
     got = aligner.tokens(text)
     assert ([], []) == (a, b) if got is None else [x.tolist() for x in got] == [[i for i, _, _ in x] for x in (a, b)]
