@@ -7,12 +7,12 @@ Spark jobs over the landed table, so it runs for any number of pages.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.jsonpath import top_level
 from contrail.operators.joins import replicated_product
-from contrail.operators.parse import page_items, total_count
+from contrail.operators.parse import page_items, parse_pages, total_count
 from contrail.schemas import Entity
 
 # Texts that mark a throttled response in the ``Error`` field.
@@ -20,6 +20,8 @@ RATE_LIMIT_TEXTS = ("Account Over Queries Per Second Limit", "Gateway Timeout")
 # A processing error with this description means "no data".
 NOT_FOUND_TEXT = "semantically incorrect"
 
+# Pages of a group that one window orders when ranges of missing offsets are looked for.
+PAGES_PER_WINDOW = 4096
 # Offsets generated per task when expanding announced totals into pages.
 OFFSETS_PER_CHUNK = 4096
 
@@ -108,22 +110,101 @@ def page_gaps(pages: DataFrame, entity: Entity, group: list[str], step: int | No
     return expected.join(landed, [*group, "offset"], "left_anti").unionByName(unknown)
 
 
+def page_gap_ranges(pages: DataFrame, entity: Entity, group: list[str], step: int | None = None) -> DataFrame:
+    """Stretches of announced offsets that are not landed: group, ``first``, ``last`` (offsets), ``pages``.
+
+    The offsets of :func:`page_gaps`, found from the landed ones: each gap
+    lies between two landed neighbours, before the first or behind the last
+    one, so no announced offset is generated and a total of any size costs no
+    more than the pages landed. Offsets off the step or beyond the total are
+    no neighbours. A group without a total has one row of nulls.
+
+    Neighbours are found in two levels, so that a group with most of the pages
+    is ordered by many tasks: windows over ``PAGES_PER_WINDOW`` consecutive
+    places, then one over the ends of these.
+    """
+    step = step or entity.page_size
+    totals = announced_totals(pages, entity, group)
+    o = F.col("offset")
+    # One row per offset and total, whatever was landed again; what is joined are distinct offsets.
+    landed = pages.select(*group, F.col("offset").cast("long").alias("offset")).distinct()
+    landed = (landed.join(totals.withColumnsRenamed({g: f"_{g}" for g in group}),
+                          [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]).drop(*[f"_{g}" for g in group])
+              .where((o >= 0) & (o < F.col("total")) & (F.pmod(o, F.lit(step)) == 0)))
+    landed = landed.withColumn("_part", (o / (step * PAGES_PER_WINDOW)).cast("long"))
+    inner = (landed.withColumn("next", F.lead("offset").over(Window.partitionBy(*group, "_part").orderBy("offset")))
+             .where(F.col("next") > o + step)
+             .select(*group, (o + step).alias("first"), (F.col("next") - step).alias("last")))
+    parts = landed.groupBy(*group, "_part").agg(
+        F.min("offset").alias("low"), F.max("offset").alias("high"), F.max("total").alias("total"))
+    ordered = Window.partitionBy(*group).orderBy("_part")
+    end = F.col("total") - 1 - F.pmod(F.col("total") - 1, F.lit(step))  # the last announced offset
+    outer = parts.select(*group, "low", "high", F.lag("high").over(ordered).alias("before"),
+                         F.lead("low").over(ordered).alias("next"), end.alias("end"))
+    behind = outer.select(*group, (F.col("high") + step).alias("first"),
+                          F.coalesce(F.col("next") - step, F.col("end")).alias("last"))
+    head = outer.where("before is null").select(*group, F.lit(0).cast("long").alias("first"), (F.col("low") - step).alias("last"))
+    none = totals.join(parts.select(*group).distinct().withColumnsRenamed({g: f"_{g}" for g in group}),
+                       [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group], "left_anti")
+    empty = none.where("total > 0").select(*group, F.lit(0).cast("long").alias("first"), end.alias("last"))
+    unknown = totals.where("total is null").select(*group, *[F.lit(None).cast("long").alias(c) for c in ("first", "last")])
+    ranges = inner.unionByName(behind).unionByName(head).unionByName(empty).where("first <= last").unionByName(unknown)
+    return ranges.withColumn("pages", ((F.col("last") - F.col("first")) / step + 1).cast("long"))
+
+
 def page_audit(pages: DataFrame, entity: Entity, group: list[str]) -> DataFrame:
     """Per group: pages landed, items fetched, items announced, items missing, complete flag.
 
-    Without an announced total, missing is NULL and the group is not complete.
+    An offset landed more than once counts once, with the most items that it
+    came with; pages without an offset count each. Without an announced total,
+    missing is NULL and the group is not complete.
     """
     n_items = F.coalesce(F.size(page_items("raw_data", entity)), F.lit(0))
-    per_group = pages.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("pages"),
-        F.sum(n_items).cast("long").alias("fetched"),
-        F.max(total_count("raw_data", entity)).alias("announced"))
+    per_offset = pages.groupBy(*group, "offset").agg(
+        F.when(F.col("offset").isNull(), F.count(F.lit(1))).otherwise(F.lit(1)).alias("n"),
+        F.when(F.col("offset").isNull(), F.sum(n_items)).otherwise(F.max(n_items)).alias("items"),
+        F.max(total_count("raw_data", entity)).alias("total"))
+    per_group = per_offset.groupBy(*group).agg(
+        F.sum("n").cast("long").alias("pages"), F.sum("items").cast("long").alias("fetched"), F.max("total").alias("announced"))
     missing = F.when(F.col("announced").isNotNull(), F.greatest(F.col("announced") - F.col("fetched"), F.lit(0)))
     return per_group.select(*group, "pages", "fetched", "announced",
                             missing.alias("missing"),
                             F.coalesce(F.col("fetched") >= F.col("announced"), F.lit(False)).alias("complete"))
 
 
+def item_key_bitmaps(pages: DataFrame, entity: Entity, group: list[str], key: Column) -> DataFrame:
+    """Mergeable sets of the item keys of landed pages: group, ``bucket``, ``bits``.
+
+    ``key`` gives the number of an ``item`` (``parse_pages``): a whole number,
+    of which each has a bit; items without one are left out. Bitmaps of more
+    landings, days or groups are merged with :func:`merged_bitmaps`, so a key
+    that many pages hold counts once over any span.
+    """
+    items = parse_pages(pages, entity, keep=group).select(*group, key.cast("long").alias("_key")).where("_key is not null")
+    return items.groupBy(*group, F.bitmap_bucket_number("_key").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_key")).alias("bits"))
+
+
+def merged_bitmaps(bitmaps: DataFrame, group: list[str]) -> DataFrame:
+    """Bitmaps of the coarser ``group``."""
+    return bitmaps.groupBy(*group, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def page_audit_distinct(bitmaps: DataFrame, totals: DataFrame, group: list[str]) -> DataFrame:
+    """Per group: ``fetched`` distinct item keys, ``announced``, ``missing`` and ``complete``.
+
+    ``bitmaps`` from :func:`item_key_bitmaps`, at ``group`` or finer; ``totals``
+    (``announced_totals``) lists every group, also those without an item.
+    """
+    counts = merged_bitmaps(bitmaps, group).groupBy(*group).agg(F.sum(F.bitmap_count("bits")).alias("n"))
+    counts = counts.withColumnsRenamed({g: f"_{g}" for g in group})
+    rows = totals.join(counts, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group], "left")
+    fetched = F.coalesce("n", F.lit(0)).cast("long")
+    return rows.select(*group, fetched.alias("fetched"), F.col("total").alias("announced"),
+                       F.when(F.col("total").isNotNull(), F.greatest(F.col("total") - fetched, F.lit(0))).alias("missing"),
+                       F.coalesce(fetched >= F.col("total"), F.lit(False)).alias("complete"))
+
+
 def request_plan(codes: DataFrame, blocks: DataFrame, landed: DataFrame, blocks_rows: int,
                  code_col: str = "airport_code", block_col: str = "block") -> DataFrame:
     """(code, block) pairs still to request: every code x every block, minus what landed.

@@ -658,3 +658,52 @@ QUERIES.update({
     "silver_movements_indexed": q_silver_movements_indexed,
     "gold_late_corrections": q_gold_late_corrections,
 })
+
+
+# ---------------------------------------------------------------- audits from what was landed
+def _thinned_pages(spark, sf_dir):
+    """The gapped pages without every fourth group of three pages, so that gaps of several pages arise."""
+    from pyspark.sql import functions as F
+    pages = si.gapped_flight_pages(spark, sf_dir)
+    return pages.where((F.col("offset") / (3 * si.GAP_STEP)).cast("long") % 4 != 2)
+
+
+def q_page_gap_ranges(spark, sf_dir):
+    """Missing offsets as ranges; every fifth page is landed twice."""
+    from pyspark.sql import functions as F
+    from contrail.operators.audit import page_gap_ranges
+    from contrail.schemas import FLIGHTS
+    pages = _thinned_pages(spark, sf_dir)
+    again = pages.where(F.col("offset") % (5 * si.GAP_STEP) == 0)
+    return page_gap_ranges(si.landed(pages.unionByName(again)), FLIGHTS, ["airport_code", "ingestion_date"], si.GAP_STEP)
+
+
+def q_page_audit_relanded(spark, sf_dir):
+    """The audit of pages of which every fifth is landed twice."""
+    from pyspark.sql import functions as F
+    from contrail.operators.audit import page_audit
+    from contrail.schemas import FLIGHTS
+    pages = si.gapped_flight_pages(spark, sf_dir)
+    again = pages.where(F.col("offset") % (5 * si.GAP_STEP) == 0)
+    return page_audit(pages.unionByName(again), FLIGHTS, ["airport_code", "ingestion_date"])
+
+
+def q_page_audit_distinct(spark, sf_dir):
+    """Distinct events per type over all days: pages landed daily, with the last page of the day before again.
+
+    Bitmaps are built per type and day, then merged per type; every third
+    event of a type is on no page.
+    """
+    from pyspark.sql import functions as F
+    from contrail.operators.audit import announced_totals, item_key_bitmaps, page_audit_distinct
+    from contrail.schemas import AIRLINES
+    pages = si.event_type_pages(spark, sf_dir)
+    bitmaps = item_key_bitmaps(pages, AIRLINES, ["event_type", "ingestion_date"], F.col("item.AirlineID").try_cast("long"))
+    return page_audit_distinct(bitmaps, announced_totals(pages, AIRLINES, ["event_type"]), ["event_type"])
+
+
+QUERIES.update({
+    "page_gap_ranges": q_page_gap_ranges,
+    "page_audit_relanded": q_page_audit_relanded,
+    "page_audit_distinct": q_page_audit_distinct,
+})

@@ -351,3 +351,21 @@ ORACLE["silver_movements_indexed"] = f"""
 SELECT *, CAST(coalesce(departure_actual_time_local, departure_scheduled_time_local) AS DATE) AS date
 FROM ({_UNIQUE_MOVEMENTS})"""
 ORACLE["gold_late_corrections"] = ORACLE["gold_from_dated_flights"]
+ORACLE["page_gap_ranges"] = f"""WITH {_GAPPED},
+expected AS (SELECT airport_code, unnest(generate_series(0, (total - 1) // 50)) AS page FROM totals),
+missing AS (
+  SELECT e.airport_code, e.page FROM expected e
+  WHERE NOT EXISTS (SELECT 1 FROM landed l
+                    WHERE l.airport_code = e.airport_code AND l.page = e.page AND (l.page // 3) % 4 <> 2)),
+known AS (SELECT DISTINCT airport_code FROM landed),
+islands AS (
+  SELECT *, page - row_number() OVER (PARTITION BY airport_code ORDER BY page) AS island
+  FROM missing JOIN known USING (airport_code))
+SELECT airport_code, {RUN_DATE} AS ingestion_date, CAST(min(page) * 50 AS BIGINT) AS first,
+       CAST(max(page) * 50 AS BIGINT) AS last, count(*) AS pages
+FROM islands GROUP BY airport_code, island"""
+ORACLE["page_audit_relanded"] = ORACLE["page_audit"]
+ORACLE["page_audit_distinct"] = """
+SELECT event_type, count(*) FILTER (event_id % 3 <> 1) AS fetched, count(*) AS announced,
+       count(*) FILTER (event_id % 3 = 1) AS missing, count(*) FILTER (event_id % 3 = 1) = 0 AS complete
+FROM events GROUP BY event_type HAVING count(*) FILTER (event_id % 3 <> 1) > 0"""

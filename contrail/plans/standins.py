@@ -420,3 +420,23 @@ def gapped_flight_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.where(F.col("page") % 7 != 6).select(
         "airport_code", F.lit(RUN_DATE).cast("date").alias("ingestion_date"),
         (F.col("page") * GAP_STEP).cast("int").alias("offset"), "raw_data")
+
+
+def event_type_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airline pages of events by type, day of ts and event_id div 100, landed on that day and the next.
+
+    Item id = event_id; events with event_id % 3 = 1 are on no page. Pages of
+    an even event_id div 100 are landed again on the next day.
+    TotalCount = events of the type.
+    """
+    from contrail.schemas import AIRLINES
+    from contrail.sources.pages import pack_pages
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", "event_type", F.to_date("ts").alias("ingestion_date"), (F.col("event_id") / 100).cast("long").alias("page"))
+    totals = ev.groupBy("event_type").agg(F.count(F.lit(1)).alias("total"))  # one row per type
+    item = F.to_json(F.struct(F.col("event_id").cast("string").alias("AirlineID")))
+    pages = pack_pages(ev.where("event_id % 3 <> 1").join(F.broadcast(totals), "event_type"), AIRLINES,
+                       ["event_type", "ingestion_date", "page"], F.col("event_id"), item, F.col("total"))
+    pages = landed(pages.select("event_type", "ingestion_date", "page", "raw_data"))
+    again = pages.where("page % 2 = 0").withColumn("ingestion_date", F.date_add("ingestion_date", 1))
+    return pages.unionByName(again).select("event_type", "ingestion_date", (F.col("page") * 100).alias("offset"), "raw_data")
