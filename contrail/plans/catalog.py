@@ -707,3 +707,58 @@ QUERIES.update({
     "page_audit_relanded": q_page_audit_relanded,
     "page_audit_distinct": q_page_audit_distinct,
 })
+
+
+# ---------------------------------------------------------------- one document per file
+def q_page_documents_latest(spark, sf_dir):
+    """City codes with the document and place that first hold them, from the newest folder of documents.
+
+    Documents are numbered by page, so that names order 10 before 9; the last
+    page's has no number. An older date and a folder without a date lie beside.
+    """
+    from pyspark.sql import functions as F
+    from contrail.operators.audit import first_seen_codes
+    from contrail.operators.parse import parse_pages
+    from contrail.schemas import CITIES
+    from contrail.session import work_path
+    from contrail.sources import documents as D
+    root = work_path(spark, "documents")
+    cust = si.read_table(spark, sf_dir, "customer")
+    page = (F.col("offset") / si.REFERENCE_PAGE_SIZE).cast("long")
+    new = si.landed(si.reference_pages(si.city_item_json(cust), CITIES))
+    old = si.reference_pages(si.city_item_json(cust, old=True), CITIES, overlap=False)
+    last = new.agg(F.max("offset")).scalar()
+    number = F.when(F.col("offset") == last, F.lit("last")).otherwise(page.cast("string"))
+    container = F.lit("Cities")
+    for pages, date in ((old, si.OLD_SNAPSHOT_DATE), (old, "unsorted"), (new, si.RUN_DATE)):
+        D.write_documents(pages, root, D.reference_document(container, F.lit(date), number if pages is new else page))
+    items = parse_pages(D.read_newest_documents(spark, root, "Cities"), CITIES, keep=["date", "number", "file_name"])
+    return first_seen_codes(items, F.col("item.CityCode"), {**D.document_order(), "pos": F.col("pos"), "date": F.col("date")})
+
+
+def q_flight_documents(spark, sf_dir):
+    """Departure pages as documents by date and hour, of which one day's are read back and landed."""
+    from pyspark.sql import functions as F
+    from contrail.functions.times import block_date, block_hour_text, time_block_4h
+    from contrail.operators.parse import page_items
+    from contrail.schemas import FLIGHTS
+    from contrail.session import work_path
+    from contrail.sources import documents as D
+    from contrail.sources.pages import land_flight_pages, pack_pages
+    root = work_path(spark, "documents")
+    ev = si.read_table(spark, sf_dir, "events").select(
+        "event_id", (F.col("event_id") % 3).cast("string").alias("airport_code"), time_block_4h("ts").alias("block"))
+    item = F.to_json(F.struct(F.struct(F.col("airport_code").alias("AirportCode")).alias("Departure")))
+    pages = pack_pages(ev, FLIGHTS, ["airport_code", "block"], F.col("event_id"), item).withColumn("offset", F.lit(50))
+    D.write_documents(pages, root, D.flight_document(F.col("airport_code"), block_date("block"), block_hour_text("block"),
+                                                     F.col("offset")))
+    day = D.newest_date(spark, f"{root}/Flights")
+    landed = land_flight_pages(D.read_flight_documents(spark, root, day), si.RUN_DATE)
+    return landed.select("data_date", "data_time_block", "airport_code", "offset",
+                         F.size(page_items("raw_data", FLIGHTS)).alias("items"))
+
+
+QUERIES.update({
+    "page_documents_latest": q_page_documents_latest,
+    "flight_documents": q_flight_documents,
+})

@@ -369,3 +369,19 @@ ORACLE["page_audit_distinct"] = """
 SELECT event_type, count(*) FILTER (event_id % 3 <> 1) AS fetched, count(*) AS announced,
        count(*) FILTER (event_id % 3 = 1) AS missing, count(*) FILTER (event_id % 3 = 1) = 0 AS complete
 FROM events GROUP BY event_type HAVING count(*) FILTER (event_id % 3 <> 1) > 0"""
+ORACLE["page_documents_latest"] = f"""
+WITH items AS (
+  SELECT c_custkey AS id, c_custkey // 100 AS page FROM customer
+  UNION ALL SELECT c_custkey, c_custkey // 100 - 1 FROM customer WHERE c_custkey % 100 = 0 AND c_custkey >= 100),
+placed AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY page ORDER BY id) - 1 AS INTEGER) AS pos, max(page) OVER () AS last FROM items),
+seen AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY page) AS rn FROM placed)
+SELECT 'C' || CAST(id AS VARCHAR) AS code, page = last AS unnumbered, CASE WHEN page < last THEN page END AS number,
+       'Cities_' || CASE WHEN page < last THEN CAST(page AS VARCHAR) ELSE 'last' END || '.json' AS file_name,
+       pos, {RUN_DATE} AS date
+FROM seen WHERE rn = 1"""
+ORACLE["flight_documents"] = """
+SELECT CAST(ts AS DATE) AS data_date, lpad(CAST(hour(ts) - hour(ts) % 4 AS VARCHAR), 2, '0') AS data_time_block,
+       CAST(event_id % 3 AS VARCHAR) AS airport_code, 50 AS "offset", CAST(count(*) AS INTEGER) AS items
+FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)
+GROUP BY ALL"""
