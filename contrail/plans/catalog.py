@@ -762,3 +762,27 @@ QUERIES.update({
     "page_documents_latest": q_page_documents_latest,
     "flight_documents": q_flight_documents,
 })
+
+
+# ---------------------------------------------------------------- streaming
+def q_stream_hourly_stats(spark, sf_dir):
+    """Hours closed by a stream with a watermark of two days, run after each of two landings.
+
+    The second brings the pages from the 16th on and, again, those of the 14th
+    and 15th (counted in state) and of the 5th (behind the watermark).
+    """
+    from pyspark.sql import functions as F
+    from contrail.session import work_path
+    from contrail.sources.pages import land_flight_pages
+    from contrail.streaming.hourly import HOURS, hourly_stats_stream
+    bronze, out, checkpoint = (work_path(spark, "stream", x) for x in ("bronze", "hours", "checkpoint"))
+    pages = si.landed(si.event_flight_pages(spark, sf_dir))
+    day = F.substring("block", 1, 10)
+    again = day.isin("2024-01-05", "2024-01-14", "2024-01-15")
+    for run_date, part in ((FIRST_RUN_DATE, day < FIRST_RUN_DATE), (si.RUN_DATE, (day >= FIRST_RUN_DATE) | again)):
+        (land_flight_pages(pages.where(part), run_date).write.mode("append").partitionBy("ingestion_date").parquet(bronze))
+        hourly_stats_stream(spark, bronze, out, checkpoint).awaitTermination()
+    return spark.read.schema(HOURS).parquet(out)
+
+
+QUERIES["stream_hourly_stats"] = q_stream_hourly_stats

@@ -385,3 +385,9 @@ SELECT CAST(ts AS DATE) AS data_date, lpad(CAST(hour(ts) - hour(ts) % 4 AS VARCH
        CAST(event_id % 3 AS VARCHAR) AS airport_code, 50 AS "offset", CAST(count(*) AS INTEGER) AS items
 FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)
 GROUP BY ALL"""
+ORACLE["stream_hourly_stats"] = f"""
+WITH {_FLIGHTS.replace("THEN ts END", "THEN date_trunc('minute', ts) END")},
+closed AS (SELECT max(coalesce(actual, sched)) - INTERVAL 2 DAY AS until FROM ev_flights),
+agg AS ({_agg("facts")})
+SELECT airport_code, date, hour, total_departures, {_mean("s", "n")} AS average_departure_delay_minutes, delayed_flights
+FROM agg, closed WHERE date + to_hours(hour + 1) <= until"""

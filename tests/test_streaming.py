@@ -4,6 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from contrail.sources.pages import write_page_files
+from contrail.streaming.hourly import HOURS, hourly_stats_stream
 from contrail.streaming.incremental import land_page_stream, movements_stream
 
 
@@ -38,3 +39,37 @@ def test_stream_lands_new_pages_once_and_dedupes(spark, tmp_path):
     got = spark.read.parquet(silver).select("marketing_carrier_flight_number").collect()
     assert sorted(r[0] for r in got) == ["1", "2", "3"]
     assert spark.read.parquet(bronze).where(F.col("data_time_block") == "08").count() == 2
+
+
+def hourly(spark, path):
+    return sorted((r.airport_code, str(r.date), r.hour, r.total_departures, r.average_departure_delay_minutes, r.delayed_flights)
+                  for r in spark.read.schema(HOURS).parquet(path).collect())
+
+
+def test_hours_close_behind_the_watermark_and_survive_restarts(spark, tmp_path):
+    from contrail.sources.pages import land_flight_pages
+    bronze, out, ck = (str(tmp_path / x) for x in ("bronze", "out", "ck"))
+
+    def land(day, *flights, offset=0):
+        page = flight_page("FRA", [(n, t) for n, t in flights])
+        rows = pages(spark, [("FRA", "2024-01-01T08:00", offset, page)])
+        land_flight_pages(rows, day).write.mode("append").partitionBy("ingestion_date").parquet(bronze)
+        query = hourly_stats_stream(spark, bronze, out, ck, "3 hours")
+        query.awaitTermination()
+        assert query.exception() is None
+        return query
+
+    # Two flights without a number at different places are two flights.
+    land("2024-01-02", ("1", "2024-01-01T10:00Z"), ("2", "2024-01-01T10:59Z"), (None, "2024-01-01T11:00Z"), (None, "2024-01-01T11:00Z"))
+    assert hourly(spark, out) == []
+    # The page again, on another day: all of its flights are in the state. The hours up to 12:30 - 3 are not due.
+    land("2024-01-03", ("1", "2024-01-01T10:00Z"), ("2", "2024-01-01T10:59Z"), (None, "2024-01-01T11:00Z"), (None, "2024-01-01T11:00Z"))
+    land("2024-01-03", ("3", "2024-01-01T12:30Z"), offset=50)
+    assert hourly(spark, out) == []
+    # 14:00 closes the hour from 10 on, 15:00 the one from 11 on.
+    land("2024-01-04", ("4", "2024-01-01T14:00Z"), offset=100)
+    assert hourly(spark, out) == [("FRA", "2024-01-01", 10, 2, None, 0)]
+    # Behind the watermark: dropped. On time for an open hour: counted.
+    query = land("2024-01-05", ("5", "2024-01-01T10:30Z"), ("6", "2024-01-01T11:30Z"), ("7", "2024-01-01T15:00Z"), offset=150)
+    assert sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]) > 0
+    assert hourly(spark, out) == [("FRA", "2024-01-01", 10, 2, None, 0), ("FRA", "2024-01-01", 11, 3, None, 0)]
