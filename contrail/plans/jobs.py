@@ -23,7 +23,7 @@ from contrail.operators.silver import (
     FLIGHT_KEY, SPECS, movement_rows, newest_per_flight, silver_entity, silver_movements,
 )
 from contrail.plans.sinks import (
-    append_table, drop_partitions, overwrite_table, purge_null_hour, replace_partitions,
+    among, append_table, drop_partitions, overwrite_table, purge_null_hour, replace_partitions,
 )
 from contrail.session import cut_lineage
 from contrail.sources.tables import read_or_empty
@@ -98,10 +98,7 @@ def silverize_new_movements(bronze: DataFrame, target_path: str) -> list[dt.date
     keys = new.select(*FLIGHT_KEY).dropna().distinct()
     met = table.select(*FLIGHT_KEY, "date").join(keys, FLIGHT_KEY, "left_semi").select("date")
     dates = [r[0] for r in new.select("date").union(met).distinct().collect()]  # bounded: one per date
-    here = F.col("date").isin([d for d in dates if d is not None])
-    if None in dates:
-        here = here | F.col("date").isNull()
-    old = table.where(here)
+    old = table.where(among("date", dates))
     merged = cut_lineage(newest_per_flight(old.unionByName(new.select(old.columns))))
     left = {r[0] for r in merged.select("date").distinct().collect()}
     # Clustered by date for few files; adaptive execution splits a large date again.
@@ -163,7 +160,7 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
         overwrite_table(spark.createDataFrame([(d,) for d in sorted(known)], PENDING_DATES).coalesce(1),
                         pending_path, PENDING_DATES)
     asked = sorted(known | {refresh_start + dt.timedelta(days=k) for k in range(refresh_days)})
-    facts, table = (t.where(F.col("date").isin(asked)) for t in (facts, table))
+    facts, table = (t.where(among("date", asked)) for t in (facts, table))
     run = _goldenize(spark, facts, table, airports, gold_path, as_of_d, refresh_days, exact, max_broadcast_rows)
     left = sorted(d for d in known if d >= as_of_d)
     if left != sorted(known):
