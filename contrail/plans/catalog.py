@@ -786,3 +786,68 @@ def q_stream_hourly_stats(spark, sf_dir):
 
 
 QUERIES["stream_hourly_stats"] = q_stream_hourly_stats
+
+
+# ---------------------------------------------------------------- drift, history, fingerprints, survivorship
+def q_schema_drift(spark, sf_dir):
+    """Members of items that are unknown, missing or of another type, per ingestion date."""
+    from contrail.operators.drift import schema_drift
+    from contrail.schemas import AIRLINES
+    return schema_drift(si.drifting_pages(spark, sf_dir), AIRLINES, ["ingestion_date"])
+
+
+def q_silver_entity_history(spark, sf_dir):
+    """Airlines over four snapshots as periods."""
+    from contrail.operators.history import entity_snapshots, snapshot_history
+    bronze = si.airline_snapshots(spark, sf_dir)
+    return snapshot_history(entity_snapshots(bronze, "airlines"), bronze.select("ingestion_date"), "airline_id")
+
+
+def q_silver_refresh_skips(spark, sf_dir):
+    """Four refreshes of countries: first, the same pages in another order and cut, one name changed, and that again."""
+    from pyspark.sql import functions as F
+    from contrail.plans.fingerprint import REFRESHES, refresh_entity
+    from contrail.schemas import COUNTRIES
+    from contrail.session import work_path
+    from contrail.sources.pages import land_pages
+    path = work_path(spark, "silver", "countries")
+    items = si.country_item_json(si.read_table(spark, sf_dir, "orders"))
+    last = items.agg(F.max("id")).scalar()
+    changed = items.withColumn("item_json", F.when(F.col("id") == last, F.regexp_replace("item_json", r'"\}\}\}$', '."}}}'))
+                               .otherwise(F.col("item_json")))
+    steps = [si.reference_pages(items, COUNTRIES), si.reference_pages(items.withColumn("id", -F.col("id")), COUNTRIES, 30, overlap=False),
+             si.reference_pages(changed, COUNTRIES), si.reference_pages(changed, COUNTRIES, 70)]
+    report = []
+    for k, pages in enumerate(steps, 1):
+        status = refresh_entity(si.landed(land_pages(pages, si.RUN_DATE)), "countries", path)
+        report.append((k, status, spark.read.parquet(path).count()))
+    return spark.createDataFrame(report, REFRESHES)
+
+
+def q_movements_survivorship(spark, sf_dir):
+    """Flights landed twice, the newer pages without a gate for odd events: each column's newest value and its landing."""
+    from pyspark.sql import functions as F
+    from contrail.operators.history import survivors
+    from contrail.operators.silver import FLIGHT_KEY, movement_rows
+    from contrail.sources.pages import land_flight_pages
+    old = land_flight_pages(si.event_flight_pages(spark, sf_dir, "old"), si.OLD_SNAPSHOT_DATE)
+    new = land_flight_pages(si.event_flight_pages(spark, sf_dir, "new"), si.RUN_DATE)
+    rows = movement_rows(old.unionByName(new)).select(
+        *FLIGHT_KEY, "departure_terminal_gate", "departure_actual_time_local", "ingestion_date", "page_offset", "page_pos")
+    number, landed = F.col("marketing_carrier_flight_number").cast("long"), F.col("ingestion_date") == F.lit(si.RUN_DATE).cast("date")
+    rows = rows.withColumns({
+        "departure_terminal_gate": F.when(~(landed & (number % 2 == 1)), F.col("departure_terminal_gate")),
+        "departure_actual_time_local": F.when(~(landed & (number % 3 == 1)), F.col("departure_actual_time_local"))})
+    won = survivors(rows, FLIGHT_KEY, [-F.unix_date("ingestion_date")], ["ingestion_date", "page_offset", "page_pos"])
+    return won.select(*FLIGHT_KEY, "departure_terminal_gate", "departure_actual_time_local",
+                      F.col("departure_terminal_gate_from.ingestion_date").alias("gate_landed"),
+                      F.col("departure_actual_time_local_from.ingestion_date").alias("time_landed"),
+                      F.col("departure_terminal_gate_from.page_offset").alias("gate_offset"))
+
+
+QUERIES.update({
+    "schema_drift": q_schema_drift,
+    "silver_entity_history": q_silver_entity_history,
+    "silver_refresh_skips": q_silver_refresh_skips,
+    "movements_survivorship": q_movements_survivorship,
+})

@@ -391,3 +391,39 @@ closed AS (SELECT max(coalesce(actual, sched)) - INTERVAL 2 DAY AS until FROM ev
 agg AS ({_agg("facts")})
 SELECT airport_code, date, hour, total_departures, {_mean("s", "n")} AS average_departure_delay_minutes, delayed_flights
 FROM agg, closed WHERE date + to_hours(hour + 1) <= until"""
+ORACLE["schema_drift"] = """
+WITH ev AS (SELECT CAST(ts AS DATE) AS d, day(ts) AS n, event_type AS t FROM events),
+days AS (SELECT d, n, count(*) AS items, count(*) FILTER (t = 'view') AS views, count(*) FILTER (t = 'purchase') AS purchases,
+                count(*) FILTER (t = 'signup') AS signups FROM ev GROUP BY d, n)
+SELECT d AS ingestion_date, 'AirlineID' AS path, CASE WHEN views = items THEN 'BIGINT' ELSE 'VARIANT' END AS observed,
+       items, 'type' AS status FROM days WHERE n % 2 = 1 AND views > 0
+UNION ALL SELECT d, 'Alliance', CASE WHEN n % 2 = 0 THEN 'OBJECT<Code: BIGINT>' ELSE 'STRING' END, purchases, 'unknown'
+FROM days WHERE purchases > 0
+UNION ALL SELECT d, 'Names.Short', 'STRING', signups, 'unknown' FROM days WHERE signups > 0
+UNION ALL SELECT d, 'AirlineID_ICAO', NULL, 0, 'missing' FROM days WHERE n % 3 = 0"""
+ORACLE["silver_entity_history"] = """
+WITH landed(seq, d) AS (VALUES (1, DATE '2024-01-01'), (2, DATE '2024-01-11'), (3, DATE '2024-01-21'), (4, DATE '2024-01-31')),
+rows AS (
+  SELECT c_custkey AS id, seq, d, c_mktsegment AS icao,
+         CASE WHEN seq = 1 OR (seq < 4 AND c_custkey % 3 = 0) THEN 'old ' ELSE '' END || c_name AS name
+  FROM customer, landed
+  WHERE (seq <> 1 OR c_custkey % 5 <> 0) AND (seq <> 3 OR c_custkey % 7 <> 0) AND (seq <> 4 OR c_custkey % 11 <> 0)),
+marked AS (
+  SELECT *, CASE WHEN lag(seq) OVER w = seq - 1 AND lag(name) OVER w = name THEN 0 ELSE 1 END AS starts
+  FROM rows WINDOW w AS (PARTITION BY id ORDER BY seq)),
+periods AS (SELECT *, sum(starts) OVER (PARTITION BY id ORDER BY seq) AS p FROM marked)
+SELECT CAST(id AS VARCHAR) AS airline_id, min(icao) AS airline_id_icao, min(name) AS name, min(d) AS valid_from,
+       (SELECT l.d FROM landed l WHERE l.seq = max(periods.seq) + 1) AS valid_to
+FROM periods GROUP BY id, p"""
+ORACLE["silver_refresh_skips"] = """
+SELECT CAST(step AS INTEGER) AS step, status, (SELECT count(DISTINCT o_orderkey) FROM orders) AS table_rows
+FROM (VALUES (1, 'written'), (2, 'skipped'), (3, 'written'), (4, 'skipped')) AS r(step, status)"""
+ORACLE["movements_survivorship"] = """
+SELECT 'EV' AS marketing_carrier_airline_id, CAST(event_id AS VARCHAR) AS marketing_carrier_flight_number,
+       CAST(event_id % 30 AS VARCHAR) AS departure_airport_code, date_trunc('hour', ts) AS departure_scheduled_time_utc,
+       CASE WHEN event_id % 2 = 1 THEN 'old' ELSE 'new' END AS departure_terminal_gate,
+       CASE WHEN event_type <> 'error' THEN date_trunc('minute', ts) END AS departure_actual_time_local,
+       CASE WHEN event_id % 2 = 1 THEN DATE '2024-01-01' ELSE DATE '2024-01-31' END AS gate_landed,
+       CASE WHEN event_type = 'error' THEN NULL WHEN event_id % 3 = 1 THEN DATE '2024-01-01' ELSE DATE '2024-01-31' END AS time_landed,
+       CAST((event_id // 1500) * 50 AS INTEGER) AS gate_offset
+FROM events WHERE event_type <> 'signup'"""

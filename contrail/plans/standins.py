@@ -440,3 +440,52 @@ def event_type_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = landed(pages.select("event_type", "ingestion_date", "page", "raw_data"))
     again = pages.where("page % 2 = 0").withColumn("ingestion_date", F.date_add("ingestion_date", 1))
     return pages.unionByName(again).select("event_type", "ingestion_date", (F.col("page") * 100).alias("offset"), "raw_data")
+
+
+# ------------------------------------------------------------ drift and history
+def drifting_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airline pages of events, by day of ts and event_id div 100, of which items depart from the declared form.
+
+    id = user_id, a number for 'view' on odd days; ICAO = event_type, absent
+    on days divisible by three; name as declared, a bare text for 'click'; an
+    undeclared ``Alliance`` for 'purchase', whose value is an object on even
+    days, and an undeclared ``Names.Short`` for 'signup'.
+    """
+    from contrail.schemas import AIRLINES
+    from contrail.sources.pages import json_string, pack_pages
+    t, day = F.col("event_type"), F.dayofmonth("ts")
+    user, name = F.col("user_id").cast("string"), json_string(F.col("event_id").cast("string"))
+    names = F.when(t == "click", name).otherwise(F.concat(F.lit('{"@LanguageCode":"EN","$":'), name, F.lit("}")))
+    item = F.concat(
+        F.lit('{"AirlineID":'), F.when((t == "view") & (day % 2 == 1), user).otherwise(json_string(user)),
+        F.when(day % 3 != 0, F.concat(F.lit(',"AirlineID_ICAO":'), json_string(t))).otherwise(F.lit("")),
+        F.lit(',"Names":{"Name":'), names, F.when(t == "signup", F.lit(',"Short":"x"')).otherwise(F.lit("")), F.lit("}"),
+        F.when(t == "purchase", F.when(day % 2 == 0, F.lit(',"Alliance":{"Code":1}')).otherwise(F.lit(',"Alliance":"A"')))
+        .otherwise(F.lit("")), F.lit("}"))
+    ev = read_table(spark, sf_dir, "events").select(
+        "event_id", "ts", "event_type", "user_id", F.to_date("ts").alias("ingestion_date"),
+        (F.col("event_id") / 100).cast("long").alias("page"))
+    return pack_pages(ev, AIRLINES, ["ingestion_date", "page"], F.col("event_id"), item)
+
+
+HISTORY_DATES = ("2024-01-01", "2024-01-11", "2024-01-21", RUN_DATE)
+
+
+def airline_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Airlines of ``customer`` landed on four dates.
+
+    First: old names, without ids divisible by five. Second: old names for
+    ids divisible by three only. Third: as the second, without ids divisible
+    by seven. Fourth: new names, all ids but those divisible by eleven.
+    """
+    from contrail.schemas import AIRLINES
+    from contrail.sources.pages import land_pages
+    cust = read_table(spark, sf_dir, "customer")
+    old, new = airline_item_json(cust, old=True), airline_item_json(cust)
+    third = F.col("id") % 3 == 0
+    mixed = old.where(third).unionByName(new.where(~third))
+    out = None
+    for date, items in zip(HISTORY_DATES, (old.where("id % 5 <> 0"), mixed, mixed.where("id % 7 <> 0"), new.where("id % 11 <> 0")), strict=True):
+        pages = land_pages(reference_pages(items, AIRLINES), date)
+        out = pages if out is None else out.unionByName(pages)
+    return landed(out)
