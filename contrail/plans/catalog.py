@@ -851,3 +851,45 @@ QUERIES.update({
     "silver_refresh_skips": q_silver_refresh_skips,
     "movements_survivorship": q_movements_survivorship,
 })
+
+
+def q_gold_frozen_hours(spark, sf_dir):
+    """Two runs, the second with flights that came late for hours which the first had written: these stay frozen.
+
+    Late are the flights of the last twenty minutes of an hour, and those of
+    the hours 5, 11, 17 and 23, which the first run therefore lacks whole.
+    """
+    from pyspark.sql import functions as F
+    from contrail.plans.jobs import goldenize
+    from contrail.session import work_path
+    path = work_path(spark, "gold")
+    flights, dim = si.event_departures(spark, sf_dir), si.nation_locations(spark, sf_dir)
+    local = F.coalesce("departure_actual_time_local", "departure_scheduled_time_local")
+    on_time = (F.minute(local) < 40) & (F.hour(local) % 6 != 5) & (local < F.lit(FIRST_RUN_DATE).cast("timestamp_ntz"))
+    goldenize(spark, flights.where(on_time), dim, path, FIRST_RUN_DATE)
+    goldenize(spark, flights, dim, path, si.RUN_DATE)
+    return spark.read.parquet(path).select(*gold.GOLD_COLUMNS)
+
+
+QUERIES["gold_frozen_hours"] = q_gold_frozen_hours
+
+
+def q_land_pages_repeated(spark, sf_dir):
+    """Country pages landed on two dates; the second date's landing breaks off half way and is run again, with newer names."""
+    from pyspark.sql import functions as F
+    from contrail.operators.parse import name_of, parse_pages
+    from contrail import schemas as S
+    from contrail.plans import jobs
+    from contrail.session import work_path
+    root = work_path(spark, "lake")
+    orders = si.read_table(spark, sf_dir, "orders")
+    old, new = (si.landed(si.reference_pages(si.country_item_json(orders, old=x), S.COUNTRIES, overlap=False)
+                          .withColumn("container", F.lit("Countries"))) for x in (True, False))
+    for pages, date in ((old, si.OLD_SNAPSHOT_DATE), (old.where("offset % 200 = 0"), si.RUN_DATE), (new, si.RUN_DATE)):
+        jobs.land_reference(spark, pages, root, date, repeat=True)
+    items = parse_pages(jobs.read_layer(spark, root, "bronze", "countries"), S.COUNTRIES, keep=["ingestion_date", "offset"])
+    return items.select("ingestion_date", "offset", "pos", F.col("item.CountryCode").alias("country_code"),
+                        name_of(F.col("item.Names.Name")).alias("name"))
+
+
+QUERIES["land_pages_repeated"] = q_land_pages_repeated

@@ -2,7 +2,7 @@
 
     python -m contrail.plans.cli create --root R
     python -m contrail.plans.cli land-reference --root R --pages D --run-date 2024-01-31
-    python -m contrail.plans.cli land-flights --root R --pages D --run-date 2024-01-31
+    python -m contrail.plans.cli land-flights --root R --pages D --run-date 2024-01-31 [--repeat]
     python -m contrail.plans.cli silver-reference --root R
     python -m contrail.plans.cli silver-flights --root R [--dedupe]
     python -m contrail.plans.cli gold --root R --as-of 2024-01-31 [--refresh-days 1]
@@ -43,6 +43,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--as-of", type=dt.date.fromisoformat, help="run date of gold; required by gold and daily-flights")
     ap.add_argument("--refresh-days", type=int, default=1)
     ap.add_argument("--dedupe", action="store_true")
+    ap.add_argument("--repeat", action="store_true", help="landing replaces the run date's pages of the same place")
     a = ap.parse_args(argv)
     needed = {"gold": ["as_of"], "daily-flights": ["as_of", "run_date"],
               "land-reference": ["pages", "run_date"], "land-flights": ["pages", "run_date"]}
@@ -59,9 +60,9 @@ def main(argv: list[str] | None = None) -> None:
             print(p)
     elif a.command == "land-reference":
         pages = latest_snapshot(read_page_documents(spark, a.pages), "date")
-        print(*jobs.land_reference(spark, pages, a.root, a.run_date))
+        print(*jobs.land_reference(spark, pages, a.root, a.run_date, a.repeat))
     elif a.command == "land-flights":
-        jobs.land_departures(read_page_files(spark, a.pages, FLIGHT_PAGE_FILE_SCHEMA), a.root, a.run_date)
+        jobs.land_departures(read_page_files(spark, a.pages, FLIGHT_PAGE_FILE_SCHEMA), a.root, a.run_date, a.repeat)
     elif a.command == "daily-flights":
         landed = jobs.read_layer(spark, a.root, "bronze", "flights").where(F.col("ingestion_date") == F.lit(a.run_date))
         touched = jobs.silverize_new_movements(landed, path("silver", "flights_by_date"))

@@ -23,7 +23,7 @@ from contrail.operators.silver import (
     FLIGHT_KEY, SPECS, movement_rows, newest_per_flight, silver_entity, silver_movements,
 )
 from contrail.plans.sinks import (
-    among, append_table, drop_partitions, overwrite_table, purge_null_hour, replace_partitions,
+    among, append_table, drop_partitions, overwrite_table, purge_null_hour, replace_partitions, upsert_partitions,
 )
 from contrail.session import cut_lineage
 from contrail.sources.tables import read_or_empty
@@ -133,7 +133,8 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
               touched: list[dt.date | None] | None = None) -> GoldRun:
     """Incremental hourly statistics into a ``date``-partitioned table at ``gold_path``.
 
-    Hours older than the refresh window that the table lacks are appended;
+    Hours older than the refresh window that the table lacks are added (their
+    dates are replaced by what they held and the new hours);
     the ``refresh_days`` days before ``as_of`` are replaced whole (only days
     that have flights); today and later are left for a later run.
 
@@ -206,7 +207,13 @@ def _goldenize(spark: SparkSession, facts: DataFrame, table: DataFrame, airports
         return G.hourly_stats(facts.where(bounds), dim, mine, n_locations, sum(part.values()), exact)
 
     if older:
-        append_table(stats(older), gold_path, S.GOLD_AIRPORT_HOURS, ["date"])
+        # Whole dates: a commit that breaks off leaves a date as it was or as it
+        # will be, never an hour with part of its locations, which would count as done.
+        kept = table.where(among("date", list(older)) & F.col("hour").isNotNull())
+        rows = stats(older)
+        if not kept.isEmpty():
+            rows = rows.unionByName(cut_lineage(kept.select(rows.columns))).hint("rebalance", "date")
+        replace_partitions(rows, gold_path, ["date"], S.GOLD_AIRPORT_HOURS)
     if recent:
         replace_partitions(stats(recent), gold_path, ["date"], S.GOLD_AIRPORT_HOURS)
     return GoldRun("written", sum(older.values()), sum(recent.values()), purged)
@@ -270,9 +277,12 @@ def _mkdirs(spark: SparkSession, path: str) -> None:
 
 
 def land_reference(spark: SparkSession, pages: DataFrame, root: str,
-                   run_date: dt.date | str) -> list[str]:
+                   run_date: dt.date | str, repeat: bool = False) -> list[str]:
     """Append reference pages ``(container, offset, raw_data)`` to their bronze tables.
 
+    With ``repeat``, pages of the run date that have the same offset are
+    replaced, so that a landing may be run again, whole or in part.
+
     One pass per entity over ``pages`` (cache it if it is expensive); an
     unknown container raises ``ValueError`` before anything is written.
     """
@@ -284,17 +294,27 @@ def land_reference(spark: SparkSession, pages: DataFrame, root: str,
     for c in containers:
         e = S.entity_for_container(c)
         rows = land_pages(pages.where(F.col("container") == c), run_date)
-        append_table(rows, table_path(root, "bronze", e.name), S.BRONZE_REFERENCE,
-                     ["ingestion_date"])
+        path = table_path(root, "bronze", e.name)
+        if repeat:
+            upsert_partitions(rows, path, "ingestion_date", ["offset"], S.BRONZE_REFERENCE)
+        else:
+            append_table(rows, path, S.BRONZE_REFERENCE, ["ingestion_date"])
         written.append(e.name)
     return sorted(written)
 
 
-def land_departures(pages: DataFrame, root: str, run_date: dt.date | str) -> None:
-    """Append departure pages ``(airport_code, block, offset, raw_data)`` to bronze flights."""
+def land_departures(pages: DataFrame, root: str, run_date: dt.date | str, repeat: bool = False) -> None:
+    """Append departure pages ``(airport_code, block, offset, raw_data)`` to bronze flights.
+
+    With ``repeat``, pages of the run date with the same airport, block and
+    offset are replaced.
+    """
     from contrail.sources.pages import land_flight_pages
-    append_table(land_flight_pages(pages, run_date), table_path(root, "bronze", "flights"),
-                 S.BRONZE_FLIGHTS, ["ingestion_date"])
+    rows, path = land_flight_pages(pages, run_date), table_path(root, "bronze", "flights")
+    if repeat:
+        upsert_partitions(rows, path, "ingestion_date", ["data_date", "data_time_block", "airport_code", "offset"], S.BRONZE_FLIGHTS)
+    else:
+        append_table(rows, path, S.BRONZE_FLIGHTS, ["ingestion_date"])
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:

@@ -427,3 +427,20 @@ SELECT 'EV' AS marketing_carrier_airline_id, CAST(event_id AS VARCHAR) AS market
        CASE WHEN event_type = 'error' THEN NULL WHEN event_id % 3 = 1 THEN DATE '2024-01-01' ELSE DATE '2024-01-31' END AS time_landed,
        CAST((event_id // 1500) * 50 AS INTEGER) AS gate_offset
 FROM events WHERE event_type <> 'signup'"""
+# Hours of the first run (before the 16th, not 5, 11, 17 or 23) count the flights it knew, the others all flights.
+ORACLE["gold_frozen_hours"] = f"""WITH {_FLIGHTS.replace("facts AS", "all_facts AS").replace(
+    "SELECT airport_code,\n         CAST(coalesce", "SELECT airport_code, minute(coalesce(actual, sched)) AS minute,\n         CAST(coalesce")},
+known AS (SELECT DISTINCT date, hour FROM all_facts WHERE date < DATE '2024-01-16' AND hour % 6 <> 5 AND minute < 40),
+facts AS (
+  SELECT f.airport_code, f.date, f.hour, f.delay_seconds FROM all_facts f
+  LEFT JOIN known k ON f.date = k.date AND f.hour = k.hour
+  WHERE k.date IS NULL OR f.minute < 40),
+work AS (SELECT DISTINCT date, hour FROM facts WHERE date < {RUN_DATE}),
+dim AS (
+  SELECT CAST(n_nationkey AS VARCHAR) AS airport_code, CAST(n_regionkey AS DOUBLE) AS longitude,
+         CAST(n_nationkey AS DOUBLE) AS latitude
+  FROM nation
+), {_GOLD_FROM_WORK}"""
+ORACLE["land_pages_repeated"] = f"""
+SELECT d AS ingestion_date, p.* REPLACE (prefix || name AS name)
+FROM ({ORACLE["parse_pages"]}) AS p, (VALUES (DATE '2024-01-01', 'old '), ({RUN_DATE}, '')) AS l(d, prefix)"""

@@ -129,3 +129,48 @@ def test_quarantine_keeps_bad_pages_and_can_be_repeated(spark, tmp_path):
         assert sorted(r.status for r in spark.read.parquet(path).collect()) == ["error", "malformed"]
     assert spark.read.parquet(silver).count() == 1
     assert jobs.quarantine_pages(bronze, "countries", path) == {"error": 1, "malformed": 1}
+
+
+def test_landing_again_replaces_the_same_places(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [("FRA", "2024-01-01T08:00", 0, "a"), ("FRA", "2024-01-01T08:00", 50, "b"), ("MUC", "2024-01-01T08:00", None, "c")]
+
+    def land(some, day):
+        frame = spark.createDataFrame(some, "airport_code string, block string, offset long, raw_data string")
+        jobs.land_departures(frame, root, day, repeat=True)
+
+    def held():
+        return sorted((str(r.ingestion_date), r.airport_code, str(r.offset), r.raw_data)
+                      for r in jobs.read_layer(spark, root, "bronze", "flights").collect())
+
+    land(rows, "2024-01-02")
+    land(rows, "2024-01-02")
+    assert [r[3] for r in held()] == ["a", "b", "c"]
+    land([("FRA", "2024-01-01T08:00", 50, "new"), ("FRA", "2024-01-01T12:00", 50, "other block"), ("MUC", "2024-01-01T08:00", None, "d")], "2024-01-02")
+    land(rows[:1], "2024-01-03")
+    land([], "2024-01-03")
+    assert held() == [("2024-01-02", "FRA", "0", "a"), ("2024-01-02", "FRA", "50", "new"), ("2024-01-02", "FRA", "50", "other block"),
+                      ("2024-01-02", "MUC", "None", "d"), ("2024-01-03", "FRA", "0", "a")]
+    pages = spark.createDataFrame([("Countries", 0, "x"), ("Countries", 100, "y")], "container string, offset int, raw_data string")
+    for _ in range(2):
+        jobs.land_reference(spark, pages, root, "2024-01-02", repeat=True)
+    assert jobs.read_layer(spark, root, "bronze", "countries").count() == 2
+
+
+def test_new_hours_keep_the_others_of_their_date(spark, tmp_path):
+    from contrail.plans.jobs import goldenize
+    path = str(tmp_path / "gold")
+    dim = spark.createDataFrame([("A", 1.0, 2.0), ("B", 3.0, 4.0)], "airport_code string, longitude double, latitude double")
+    times = ["departure_actual_time_local", "departure_scheduled_time_local", "departure_actual_time_utc", "departure_scheduled_time_utc"]
+
+    def flights(*hours):
+        rows = spark.createDataFrame([("A", f"2024-01-10T{h}:00") for h in hours], "departure_airport_code string, t string")
+        return rows.select("departure_airport_code", *[F.col("t").cast("timestamp_ntz").alias(c) for c in times])
+
+    goldenize(spark, flights("08"), dim, path, "2024-01-20")
+    first = sorted(map(str, spark.read.parquet(path).where("hour = 8").collect()))
+    run = goldenize(spark, flights("08", "08", "09"), dim, path, "2024-01-20")
+    assert run.appended_hours == 1
+    table = spark.read.parquet(path)
+    assert sorted(map(str, table.where("hour = 8").collect())) == first and len(first) == 2
+    assert sorted((r.airport_code, r.total_departures) for r in table.where("hour = 9").collect()) == [("A", 1), ("B", 0)]
