@@ -6,9 +6,11 @@ findings of each (blob, rule version) pair ever scanned. A run scans only the
 pairs that the ledger lacks, appends them, and joins all findings back to
 every path that holds the blob.
 
-Scale: each task ships a blob's compressed text at most once, so a text that
-a third of all paths share reaches the shuffle once per task; copies are then
-scanned once. Paths shuffle as (ids, 32-byte address) only.
+Scale: a run that meets a ledger asks it with the addresses alone first, and
+reads the texts of unseen blobs only. Each task ships a blob's compressed text
+at most once, so a text that a third of all paths share reaches the shuffle
+once per task; copies are then scanned once. Paths shuffle as (ids, 32-byte
+address) only.
 
 Edge cases: a null text is the empty blob; null and repeated ids are paths of
 their own; an empty table scans nothing; extra columns are ignored, clashing
@@ -22,6 +24,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.common import stage_table
+from contrail.operators.joins import maybe_broadcast
 from contrail.sources.tables import read_or_empty
 
 #: Version of the rules below; a new one makes every blob unseen again.
@@ -99,17 +103,40 @@ def _scan_blobs(batches):
 
 
 def read_ledger(spark, ledger: str, rule_version: str = RULE_VERSION) -> DataFrame:
-    """Findings of the rule version: blob, spans (empty before the first scan)."""
-    return read_or_empty(spark, f"{ledger}/rule_version={rule_version}", FINDINGS)
+    """Findings of the rule version: blob, spans (empty before the first scan).
+
+    A blob that two runs at once have appended is one row: both found the same.
+    """
+    rows = read_or_empty(spark, f"{ledger}/rule_version={rule_version}", FINDINGS)
+    return rows.groupBy("blob").agg(F.first("spans").alias("spans"))
+
+
+def unseen_texts(versions: DataFrame, ledger: str, text_col: str = "text", rule_version: str = RULE_VERSION) -> DataFrame | None:
+    """Texts whose blobs the ledger lacks; None if it has them all.
+
+    The ledger is asked with addresses only, each task's once; texts are read
+    again for the blobs that it lacks.
+    """
+    spark = versions.sparkSession
+    known = read_or_empty(spark, f"{ledger}/rule_version={rule_version}", FINDINGS)
+    texts = versions.select(F.col(text_col).alias("text"))
+    if known.isEmpty():
+        return texts
+    addresses = texts.select(address(F.col("text")).alias("blob")).distinct()
+    lacking = stage_table(addresses.join(known.select("blob"), "blob", "left_anti"), "unseen")
+    n = lacking.count()
+    if not n:
+        return None
+    return texts.join(maybe_broadcast(lacking, n), address(F.col("text")) == F.col("blob"), "left_semi")
 
 
 def scan_unseen(versions: DataFrame, ledger: str, text_col: str = "text", rule_version: str = RULE_VERSION) -> None:
     """Scan the blobs of ``versions`` that the ledger lacks and append their findings to it."""
-    spark = versions.sparkSession
-    known = read_ledger(spark, ledger, rule_version).select("blob")
-    blobs = versions.select(text_col).mapInArrow(_pack_blobs, BLOBS)
-    unseen = blobs.join(known, "blob", "left_anti").groupBy("blob").agg(F.first("packed").alias("packed"))
-    unseen.mapInArrow(_scan_blobs, FINDINGS).write.mode("append").parquet(f"{ledger}/rule_version={rule_version}")
+    texts = unseen_texts(versions, ledger, text_col, rule_version)
+    if texts is None:
+        return
+    blobs = texts.mapInArrow(_pack_blobs, BLOBS).groupBy("blob").agg(F.first("packed").alias("packed"))
+    blobs.mapInArrow(_scan_blobs, FINDINGS).write.mode("append").parquet(f"{ledger}/rule_version={rule_version}")
 
 
 def scan(versions: DataFrame, ledger: str, path_cols: tuple[str, ...] = ("doc_id",), text_col: str = "text",

@@ -225,6 +225,23 @@ def test_ledger_scans_unseen_pairs_only(spark, tmp_path):
     assert spans[5].startswith("pem:0:") and spans[6].startswith("token:0:")
 
 
+def test_ledger_is_asked_before_texts_are_shipped(spark, tmp_path):
+    ledger = str(tmp_path / "ledger")
+    a = spark.createDataFrame([(1, "password=abcdefgh1"), (2, "plain"), (3, None)], "doc_id long, text string")
+    b = a.union(spark.createDataFrame([(4, "plain"), (5, "token: 12345678"), (6, "token: 12345678")], "doc_id long, text string"))
+    assert sorted(str(r.text) for r in secrets.unseen_texts(a, ledger).collect()) == ["None", "password=abcdefgh1", "plain"]
+    secrets.scan_unseen(a, ledger)
+    assert secrets.unseen_texts(a, ledger) is None
+    assert [r.text for r in secrets.unseen_texts(b, ledger).collect()] == ["token: 12345678"] * 2
+    # Two runs at once append the same blobs; each path still comes once.
+    version = f"{ledger}/rule_version={secrets.RULE_VERSION}"
+    spark.read.parquet(version).write.mode("append").parquet(f"{version}_copy")
+    spark.read.parquet(f"{version}_copy").write.mode("append").parquet(version)
+    assert secrets.read_ledger(spark, ledger).count() == 3
+    found = {r.doc_id: len(r.spans) for r in secrets.scan(b, ledger).collect()}
+    assert found == {1: 1, 2: 0, 3: 0, 4: 0, 5: 1, 6: 1} and secrets.scan(b, ledger).count() == 6
+
+
 def luhn(s):
     d = [int(c) for c in s if c.isdigit()][::-1]
     return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(d)) % 10 == 0
