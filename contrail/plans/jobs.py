@@ -141,8 +141,8 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
     ``touched`` names the departure dates that changed since the last run
     (:func:`silverize_new_movements` returns them). Only these, the refresh
     window and the dates below ``as_of`` that earlier runs had to leave are
-    then looked at, in the flights and in the table; when both are
-    partitioned by ``date``, no other partition is read. Without it, all
+    then looked at, in the flights and in the table (also for rows without an
+    hour); when both are partitioned by ``date``, no other partition is read. Without it, all
     dates are candidates. Dates that a run leaves (``as_of`` and later) are
     kept in the one-row-per-date table ``<gold_path>_pending`` until a run
     has written them; a run that fails before keeps them.
@@ -162,7 +162,7 @@ def goldenize(spark: SparkSession, flights: DataFrame, airports: DataFrame, gold
                         pending_path, PENDING_DATES)
     asked = sorted(known | {refresh_start + dt.timedelta(days=k) for k in range(refresh_days)})
     facts, table = (t.where(among("date", asked)) for t in (facts, table))
-    run = _goldenize(spark, facts, table, airports, gold_path, as_of_d, refresh_days, exact, max_broadcast_rows)
+    run = _goldenize(spark, facts, table, airports, gold_path, as_of_d, refresh_days, exact, max_broadcast_rows, asked)
     left = sorted(d for d in known if d >= as_of_d)
     if left != sorted(known):
         overwrite_table(spark.createDataFrame([(d,) for d in left], PENDING_DATES).coalesce(1), pending_path, PENDING_DATES)
@@ -174,13 +174,16 @@ PENDING_DATES = StructType([StructField("date", DateType())])
 
 
 def _goldenize(spark: SparkSession, facts: DataFrame, table: DataFrame, airports: DataFrame, gold_path: str,
-               as_of_d: dt.date, refresh_days: int, exact: bool, max_broadcast_rows: int) -> GoldRun:
+               as_of_d: dt.date, refresh_days: int, exact: bool, max_broadcast_rows: int,
+               asked: list[dt.date] | None = None) -> GoldRun:
     if facts.isEmpty():
         return GoldRun("no_flights")
 
-    purged = purge_null_hour(spark, gold_path, S.GOLD_AIRPORT_HOURS)
+    purged = purge_null_hour(spark, gold_path, S.GOLD_AIRPORT_HOURS, dates=asked)
     if purged:
         table = read_or_empty(spark, gold_path, S.GOLD_AIRPORT_HOURS)
+        if asked is not None:
+            table = table.where(among("date", asked))
     # The done set, the work set and the dimension are bounded (24 x days;
     # the reference list): one partition each.
     done = cut_lineage(G.done_hours(table), 1)

@@ -174,3 +174,18 @@ def test_new_hours_keep_the_others_of_their_date(spark, tmp_path):
     table = spark.read.parquet(path)
     assert sorted(map(str, table.where("hour = 8").collect())) == first and len(first) == 2
     assert sorted((r.airport_code, r.total_departures) for r in table.where("hour = 9").collect()) == [("A", 1), ("B", 0)]
+
+
+def test_touched_dates_limit_the_purge(spark, tmp_path):
+    from contrail.plans.sinks import append_table, purge_null_hour
+    path = str(tmp_path / "gold")
+    rows = [("A", None, None, 1, None, 0, 0.0, f"2024-01-{d}", h) for d in (10, 11) for h in (None, 5)]
+    names = [f.name for f in S.GOLD_AIRPORT_HOURS]
+    table = spark.createDataFrame(rows, "a string, b double, c double, d int, e double, f int, g double, h string, i int").toDF(*names)
+    append_table(table, path, S.GOLD_AIRPORT_HOURS, ["date"])
+    import datetime as dt
+    assert purge_null_hour(spark, path, S.GOLD_AIRPORT_HOURS, dates=[dt.date(2024, 1, 10)]) == 1
+    left = spark.read.schema(S.GOLD_AIRPORT_HOURS).parquet(path)
+    assert sorted((str(r.date), r.hour) for r in left.collect() if r.hour is None) == [("2024-01-11", None)] and left.count() == 3
+    assert purge_null_hour(spark, path, S.GOLD_AIRPORT_HOURS) == 1
+    assert spark.read.parquet(path).count() == 2
