@@ -143,8 +143,9 @@ def scan(versions: DataFrame, ledger: str, path_cols: tuple[str, ...] = ("doc_id
          rule_version: str = RULE_VERSION) -> DataFrame:
     """Findings of every path: ``path_cols`` and spans (start, rank of the kind, end; code points)."""
     scan_unseen(versions, ledger, text_col, rule_version)
-    found = (read_ledger(versions.sparkSession, ledger, rule_version)
-             .select(F.col("blob").alias("_blob"), "spans"))
+    # Written, so that the join reads two exchanges and adaptive execution can split a blob that many paths hold.
+    found = stage_table(read_ledger(versions.sparkSession, ledger, rule_version)
+                        .select(F.col("blob").alias("_blob"), "spans"), "findings")
     paths = versions.select(*path_cols, address(F.col(text_col)).alias("_address"))
     return (paths.join(found, F.col("_address") == F.col("_blob"), "left")
             .select(*path_cols, F.coalesce("spans", F.array().cast(found.schema["spans"].dataType)).alias("spans")))
