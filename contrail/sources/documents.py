@@ -56,30 +56,36 @@ def write_documents(pages: DataFrame, root: str, path: Column, raw: str = "raw_d
     jvm = spark.sparkContext._jvm
     Path, unescape = jvm.org.apache.hadoop.fs.Path, jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     fs = Path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    made: set[str] = set()
+    there: dict[str, bool] = {}  # folders of this run, and whether they were there before
 
-    def files():
-        listed = fs.listFiles(Path(staged), True)  # an iterator: names are not held
+    def folders():
+        # Plain statuses, as they come: located ones (``listFiles``) ask for each file's
+        # blocks and permissions, which on some file systems starts a process per file.
+        listed = fs.listStatusIterator(Path(staged))
         while listed.hasNext():
-            file = listed.next().getPath()
-            if file.getName().startswith("part-"):
-                yield file
-
-    def move(file) -> None:
-        target = Path(f"{root}/{unescape(file.getParent().getName().removeprefix('document='))}")
-        folder = target.getParent().toString()
-        if folder not in made:
-            fs.mkdirs(target.getParent())
-            made.add(folder)
-        if fs.exists(target):
-            fs.delete(target, False)
-        if not fs.rename(file, target):
-            raise OSError(f"cannot move a document to {target.toString()}")
-
-    n, found = 0, files()
+            name = listed.next().getPath().getName()
+            if name.startswith("document="):
+                yield name
+
+    def move(name: str) -> int:
+        target = f"{root}/{unescape(name.removeprefix('document='))}"
+        folder = target.rpartition("/")[0]
+        if folder not in there:
+            known = fs.exists(Path(folder))
+            fs.mkdirs(Path(folder))
+            there.setdefault(folder, known)
+        to, files = Path(target), [s.getPath() for s in fs.listStatus(Path(f"{staged}/{name}"))]
+        for file in files:
+            if (there[folder] or len(files) > 1) and fs.exists(to):
+                fs.delete(to, False)
+            if not fs.rename(file, to):
+                raise OSError(f"cannot move a document to {target}")
+        return len(files)
+
+    n, found = 0, folders()
     with ThreadPoolExecutor(_MOVES) as pool:
         while some := list(islice(found, 1000)):
-            n += len(list(pool.map(move, some)))
+            n += sum(pool.map(move, some))
     fs.delete(Path(staged), True)
     return n
 

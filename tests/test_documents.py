@@ -59,3 +59,12 @@ def test_flight_documents(spark, tmp_path):
     got = sorted((r.airport_code, r.block, r.offset, r.raw_data.strip()) for r in D.read_flight_documents(spark, root, "2024-01-02").collect())
     assert got == [("F A", "2024-01-02T08:00", 0, '{"a": 1}'), ("FRA", "2024-01-02T12:00", 50, '{"b": 1}')]
     assert D.read_flight_documents(spark, root, "2024-01-09").count() == 0
+
+
+def test_staged_files_are_listed_plainly(spark, tmp_path, monkeypatch):
+    from py4j.java_gateway import JavaMember
+    calls, call = [], JavaMember.__call__
+    monkeypatch.setattr(JavaMember, "__call__", lambda self, *args: (calls.append(self.name), call(self, *args))[1])
+    assert write(spark, str(tmp_path), "2024-10-01", {k: ["A"] for k in range(12)}) == 12
+    assert "rename" in calls and "listFiles" not in calls  # located statuses ask for permissions, file by file
+    assert len(glob.glob(f"{tmp_path}/Airports/2024-10-01/Airports_*.json")) == 12 and not glob.glob(f"{tmp_path}/_staged*")
