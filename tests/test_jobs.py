@@ -189,3 +189,27 @@ def test_touched_dates_limit_the_purge(spark, tmp_path):
     assert sorted((str(r.date), r.hour) for r in left.collect() if r.hour is None) == [("2024-01-11", None)] and left.count() == 3
     assert purge_null_hour(spark, path, S.GOLD_AIRPORT_HOURS) == 1
     assert spark.read.parquet(path).count() == 2
+
+
+def test_large_partitions_are_written_in_pieces(spark, tmp_table):
+    from contrail.plans.sinks import replace_partitions, spread
+    from contrail.session import cut_lineage
+    rows = cut_lineage(spark.range(3000).selectExpr("id", "repeat('x', 1000) text", "if(id < 2700, date'2024-01-01', if(id < 2990, date'2024-01-02', null)) d"))
+    got = spread(rows, "d", 100_000)
+    sizes = [len(p) for p in got.rdd.glom().collect()]
+    assert len(sizes) >= 30 and max(sizes) < 1000 and sorted(got.collect(), key=lambda r: r.id) == rows.orderBy("id").collect()
+    assert spread(rows, "d").rdd.getNumPartitions() == 1
+    replace_partitions(got, tmp_table, ["d"])
+    assert spark.read.parquet(tmp_table).select("id", "text", "d").exceptAll(rows).count() == 0
+
+
+def test_quarantine_of_one_date_is_spread_over_tasks(spark, tmp_path, monkeypatch):
+    import glob
+    from contrail.plans import jobs, sinks
+    spread = sinks.spread
+    monkeypatch.setattr(jobs, "spread", lambda df, column: spread(df, column, 20_000))
+    bronze = spark.range(2000).selectExpr("id", "'{\"Error\":\"no\"}' raw_data", "date'2024-01-01' ingestion_date")
+    path = str(tmp_path / "q")
+    assert jobs.quarantine_pages(bronze, "countries", path) == {"error": 2000}
+    assert len(glob.glob(f"{path}/ingestion_date=2024-01-01/*.parquet")) > 2
+    assert spark.read.parquet(path).select("id").distinct().count() == 2000
