@@ -147,3 +147,14 @@ def test_read_flights_of_dates(spark, tmp_table):
         M.merge_flights(pages(spark, FIRST, "2024-03-05"), root, "a", grain)
         got = M.read_flights(spark, root, dt.date(2024, 1, 11), dt.date(2024, 3, 5))
         assert sorted(r.departure_terminal_gate for r in got.collect()) == ["g3", "g4"]
+
+
+def test_merge_leaves_no_uncompressed_rows(spark, tmp_path, monkeypatch):
+    wide, cut = [], M.cut_lineage
+    monkeypatch.setattr(M, "cut_lineage", lambda df, *a: (wide.append(len(df.columns)), cut(df, *a))[1])
+    staging = str(tmp_path / "staging")
+    monkeypatch.setattr(M, "work_path", lambda spark, *parts: staging, raising=False)
+    M.merge_flights(pages(spark, FIRST, "2024-01-31"), str(tmp_path / "flights"), "first")
+    M.merge_flights(pages(spark, SECOND, "2024-02-28"), str(tmp_path / "flights"), "second")
+    assert max(wide, default=0) < 10  # rows of the table are staged as parquet, not checkpointed
+    assert not (tmp_path / "staging").exists()
