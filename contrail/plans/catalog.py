@@ -97,16 +97,17 @@ def q_flatten_nested(spark, sf_dir):
     from pyspark.sql import functions as F
     from contrail.operators.parse import parse_pages
     from contrail.schemas import FLIGHTS
-    i = F.col("item")
-    return parse_pages(si.flight_bronze(spark, sf_dir), FLIGHTS, keep=[]).select(
-        i["Departure"]["AirportCode"].alias("departure_airport_code"),
-        i["Departure"]["Terminal"]["Name"].alias("departure_terminal_name"),
-        i["Departure"]["Terminal"]["Gate"].alias("departure_terminal_gate"),
-        i["Departure"]["TimeStatus"]["Code"].alias("departure_time_status_code"),
-        i["Arrival"]["AirportCode"].alias("arrival_airport_code"),
-        i["MarketingCarrier"]["FlightNumber"].alias("marketing_carrier_flight_number"),
-        i["Equipment"]["AircraftCode"].alias("equipment_aircraft_code"),
-        i["FlightStatus"]["Code"].alias("flight_status_code"))
+    columns = {
+        "Departure.AirportCode": "departure_airport_code",
+        "Departure.Terminal.Name": "departure_terminal_name",
+        "Departure.Terminal.Gate": "departure_terminal_gate",
+        "Departure.TimeStatus.Code": "departure_time_status_code",
+        "Arrival.AirportCode": "arrival_airport_code",
+        "MarketingCarrier.FlightNumber": "marketing_carrier_flight_number",
+        "Equipment.AircraftCode": "equipment_aircraft_code",
+        "FlightStatus.Code": "flight_status_code"}
+    items = parse_pages(si.flight_bronze(spark, sf_dir), FLIGHTS.only(*columns), keep=[])
+    return items.select(*[F.col(f"item.{path}").alias(name) for path, name in columns.items()])
 
 
 def _order_pages(spark, sf_dir):

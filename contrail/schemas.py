@@ -9,7 +9,7 @@ unquoted, all survive parsing.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql.types import (
     DateType, DoubleType, IntegerType, StringType, StructField, StructType,
@@ -72,6 +72,23 @@ class Entity:
     item: StructType
     page_size: int = 100
 
+    def only(self, *paths: str) -> Entity:
+        """This entity with the members at ``paths`` (``"Departure.Terminal.Gate"``) alone; parsing skips the others."""
+        return replace(self, item=_members(self.item, [p.split(".") for p in paths]))
+
+
+def _members(item: StructType, paths: list[list[str]]) -> StructType:
+    known = set(item.fieldNames())
+    missing = sorted({p[0] for p in paths} - known)
+    if missing:
+        raise ValueError(f"no member {missing[0]!r} among {sorted(known)}")
+    kept = []
+    for f in item.fields:
+        below = [p[1:] for p in paths if p[0] == f.name]
+        if below:
+            kept.append(f if [] in below else StructField(f.name, _members(f.dataType, below), f.nullable))
+    return StructType(kept)
+
 
 # The page envelope keys of each entity.
 AIRPORTS = Entity("airports", "AirportResource", "Airports", "Airport", AIRPORT_ITEM)

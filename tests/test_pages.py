@@ -1,6 +1,7 @@
 """Page parsing edge cases (FIXTURES §4) and page landing/layouts."""
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from contrail import schemas as S
@@ -121,3 +122,24 @@ def test_page_documents_layout_and_first_seen(spark, tmp_path):
                              {"o": F.col("offset"), "p": F.col("pos")})
     ordered = [r.code for r in codes.orderBy("o", "p").collect()]
     assert ordered == ["AAA", "BBB", "CCC", "DDD"]
+
+
+def test_only_the_asked_members_are_parsed_with_the_same_values(spark):
+    def page(flights):
+        return '{"FlightStatusResource":{"Flights":{"Flight":' + flights + '},"Meta":{"TotalCount":1}}}'
+    good = ('{"Departure":{"AirportCode":"A","Terminal":{"Name":"T1","Gate":{"x":1}},"TimeStatus":{"Code":7}},'
+            '"Arrival":{"AirportCode":null},"ServiceType":"p"}')
+    texts = [page(good), page(f"[{good},null,{good}]"), page("[]"), page("null"), page("[3]"), page('[{"Departure":"s"}]'),
+             page('[{"Departure":{"Terminal":5,"AirportCode":"q"},"Equipment":4},' + good + "]"),
+             page('[{"OperatingCarrier":3,"Arrival":{"AirportCode":1.50}}]'), page(f"[{good},]"), "x", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, raw_data string")
+    paths = ["Departure.AirportCode", "Departure.Terminal.Gate", "Departure.TimeStatus.Code", "Arrival.AirportCode"]
+    asked = S.FLIGHTS.only(*paths)
+    assert asked.item.simpleString() == (
+        "struct<Departure:struct<AirportCode:string,TimeStatus:struct<Code:string>,Terminal:struct<Gate:string>>,"
+        "Arrival:struct<AirportCode:string>>")
+    few, all_ = (parse_pages(df, e, keep=["n"]).select("n", "pos", *[F.col(f"item.{p}").alias(p.replace(".", "_")) for p in paths])
+                 .orderBy("n", "pos").collect() for e in (asked, S.FLIGHTS))
+    assert few == all_ and len(few) > 6
+    with pytest.raises(ValueError):
+        S.FLIGHTS.only("Departure.Gate")

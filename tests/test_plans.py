@@ -77,3 +77,17 @@ def test_gold_scan_of_dated_flights_prunes_to_the_touched_dates(spark, tmp_path)
     facts = gold.flight_facts(spark.read.schema(MOVEMENTS_BY_DATE).parquet(path))
     p = plan(facts.where(F.col("date").isin([dt.date(2024, 1, 3)]) & (F.col("date") < F.lit(dt.date(2024, 1, 5)))))
     assert "PartitionFilters: [isnotnull(date" in p and "(date#" in p and "2024-01-03" in p, p
+
+
+def one_line_tables(spark, tmp_path):
+    spark.sql("select 1L l_orderkey, 1 l_linenumber, 2L l_partkey, 3L l_suppkey, 'R' l_returnflag, 'O' l_linestatus, "
+              "timestamp_ntz'2024-01-02 03:04:05' l_shipdate").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.sql("select 1L o_orderkey, 5L o_custkey, 'F' o_orderstatus, timestamp_ntz'2024-01-01 10:20:30' o_orderdate, "
+              "'LOW' o_orderpriority").write.parquet(str(tmp_path / "orders.parquet"))
+    return str(tmp_path)
+
+
+def test_flatten_nested_parses_what_is_asked(spark, tmp_path):
+    parsed = QUERIES["flatten_nested"](spark, one_line_tables(spark, tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    schema = parsed[parsed.index("from_json("):].split("\n")[0]
+    assert "Gate" in schema and "ScheduledTimeLocal" not in schema and "OperatingCarrier" not in schema
