@@ -242,7 +242,8 @@ def flight_pages(spark: SparkSession, sf_dir: str, departed: bool = True) -> Dat
     from contrail.schemas import FLIGHTS
     from contrail.sources.pages import envelope
     # Lines are grouped per order first (small structs, partial aggregation),
-    # then joined 1:1 to orders and serialised with one to_json per page.
+    # then joined 1:1 to orders and serialised with one to_json per page. Lambdas are
+    # interpreted, so the text of the order's time is made once per page, outside of them.
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag",
         "l_linestatus", "l_shipdate")
@@ -251,7 +252,7 @@ def flight_pages(spark: SparkSession, sf_dir: str, departed: bool = True) -> Dat
         "l_shipdate"))).alias("lines"))
     od = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    j = lines.join(od, lines.l_orderkey == od.o_orderkey)
+    j = lines.join(od, lines.l_orderkey == od.o_orderkey).withColumn("_ordered", format_local_time("o_orderdate"))
 
     def t(c):
         return F.struct(c.alias("DateTime"))
@@ -262,8 +263,8 @@ def flight_pages(spark: SparkSession, sf_dir: str, departed: bool = True) -> Dat
         return F.struct(
             F.struct(
                 x["l_suppkey"].cast("string").alias("AirportCode"),
-                t(format_local_time(F.col("o_orderdate"))).alias("ScheduledTimeLocal"),
-                t(format_utc_time(F.col("o_orderdate"))).alias("ScheduledTimeUTC"),
+                t(F.col("_ordered")).alias("ScheduledTimeLocal"),
+                t(F.concat("_ordered", F.lit("Z"))).alias("ScheduledTimeUTC"),
                 t(F.when(returned, F.lit("n/a")).otherwise(format_local_time(x["l_shipdate"])))
                 .alias("ActualTimeLocal"),
                 t(F.when(returned, F.lit("n/a")).otherwise(format_utc_time(x["l_shipdate"])))

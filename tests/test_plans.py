@@ -91,3 +91,15 @@ def test_flatten_nested_parses_what_is_asked(spark, tmp_path):
     parsed = QUERIES["flatten_nested"](spark, one_line_tables(spark, tmp_path))._jdf.queryExecution().optimizedPlan().toString()
     schema = parsed[parsed.index("from_json("):].split("\n")[0]
     assert "Gate" in schema and "ScheduledTimeLocal" not in schema and "OperatingCarrier" not in schema
+
+
+
+def test_flight_pages_make_order_times_outside_lambdas(spark, tmp_path):
+    from contrail.plans.standins import flight_pages
+    pages = flight_pages(spark, one_line_tables(spark, tmp_path))
+    text = pages.collect()[0].raw_data
+    assert '"ScheduledTimeLocal":{"DateTime":"2024-01-01T10:20"},"ScheduledTimeUTC":{"DateTime":"2024-01-01T10:20Z"}' in text
+    plan = pages._jdf.queryExecution().optimizedPlan().toString()
+    lambdas = [line for line in plan.splitlines() if "lambdafunction(" in line]
+    assert lambdas and all("_ordered" in line for line in lambdas)
+    assert plan.count("minute(o_orderdate") == 1  # in the projection below them
