@@ -99,44 +99,55 @@ def silver_entity(bronze: DataFrame, spec: SilverSpec | str, latest: bool = True
     return rows.select(*out_cols)
 
 
-def _leg(i: Column, name: str, prefix: str) -> list[Column]:
-    leg = i[name]
-    return [
-        leg["AirportCode"].alias(f"{prefix}_airport_code"),
-        parse_local_time(leg["ScheduledTimeLocal"]["DateTime"]).alias(f"{prefix}_scheduled_time_local"),
-        parse_utc_time(leg["ScheduledTimeUTC"]["DateTime"]).alias(f"{prefix}_scheduled_time_utc"),
-        parse_local_time(leg["ActualTimeLocal"]["DateTime"]).alias(f"{prefix}_actual_time_local"),
-        parse_utc_time(leg["ActualTimeUTC"]["DateTime"]).alias(f"{prefix}_actual_time_utc"),
-        leg["TimeStatus"]["Code"].alias(f"{prefix}_time_status_code"),
-        leg["TimeStatus"]["Definition"].alias(f"{prefix}_time_status_definition"),
-        leg["Terminal"]["Name"].alias(f"{prefix}_terminal_name"),
-        leg["Terminal"]["Gate"].alias(f"{prefix}_terminal_gate"),
-    ]
+def _leg(name: str, prefix: str) -> dict[str, tuple[str, Callable[[Column], Column] | None]]:
+    return {f"{prefix}_{column}": (f"{name}.{member}", convert) for column, member, convert in (
+        ("airport_code", "AirportCode", None),
+        ("scheduled_time_local", "ScheduledTimeLocal.DateTime", parse_local_time),
+        ("scheduled_time_utc", "ScheduledTimeUTC.DateTime", parse_utc_time),
+        ("actual_time_local", "ActualTimeLocal.DateTime", parse_local_time),
+        ("actual_time_utc", "ActualTimeUTC.DateTime", parse_utc_time),
+        ("time_status_code", "TimeStatus.Code", None),
+        ("time_status_definition", "TimeStatus.Definition", None),
+        ("terminal_name", "Terminal.Name", None),
+        ("terminal_gate", "Terminal.Gate", None))}
+
+
+#: The 27 flat departure/arrival columns of a flight: the member of its item and how that is read.
+MOVEMENT_MEMBERS = {
+    **_leg("Departure", "departure"), **_leg("Arrival", "arrival"),
+    "marketing_carrier_airline_id": ("MarketingCarrier.AirlineID", None),
+    "marketing_carrier_flight_number": ("MarketingCarrier.FlightNumber", None),
+    "operating_carrier_airline_id": ("OperatingCarrier.AirlineID", None),
+    "operating_carrier_flight_number": ("OperatingCarrier.FlightNumber", None),
+    "equipment_aircraft_code": ("Equipment.AircraftCode", None),
+    "equipment_aircraft_registration": ("Equipment.AircraftRegistration", None),
+    "flight_status_code": ("FlightStatus.Code", None),
+    "flight_status_definition": ("FlightStatus.Definition", None),
+    "service_type": ("ServiceType", None),
+}
+#: What tells the departure date of a flight.
+DEPARTURE_LOCAL = ["departure_actual_time_local", "departure_scheduled_time_local"]
 
 
-def movement_columns(i: Column) -> list[Column]:
-    """The 27 flat departure/arrival columns of one flight item."""
-    return [
-        *_leg(i, "Departure", "departure"), *_leg(i, "Arrival", "arrival"),
-        i["MarketingCarrier"]["AirlineID"].alias("marketing_carrier_airline_id"),
-        i["MarketingCarrier"]["FlightNumber"].alias("marketing_carrier_flight_number"),
-        i["OperatingCarrier"]["AirlineID"].alias("operating_carrier_airline_id"),
-        i["OperatingCarrier"]["FlightNumber"].alias("operating_carrier_flight_number"),
-        i["Equipment"]["AircraftCode"].alias("equipment_aircraft_code"),
-        i["Equipment"]["AircraftRegistration"].alias("equipment_aircraft_registration"),
-        i["FlightStatus"]["Code"].alias("flight_status_code"),
-        i["FlightStatus"]["Definition"].alias("flight_status_definition"),
-        i["ServiceType"].alias("service_type"),
-    ]
+def movement_columns(i: Column, columns: list[str] | None = None) -> list[Column]:
+    """The flat departure/arrival columns of one flight item (all 27, or only ``columns``)."""
+    flat = []
+    for name in MOVEMENT_MEMBERS if columns is None else columns:
+        member, convert = MOVEMENT_MEMBERS[name]
+        value = reduce(lambda c, key: c[key], member.split("."), i)
+        flat.append((convert(value) if convert else value).alias(name))
+    return flat
 
 
 FLIGHT_KEY = ["marketing_carrier_airline_id", "marketing_carrier_flight_number",
               "departure_airport_code", "departure_scheduled_time_utc"]
 
 
-def movement_rows(bronze: DataFrame) -> DataFrame:
+def movement_rows(bronze: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Flat flight rows with their departure ``date`` and where they were landed.
 
+    With ``columns``, only these and the local departure times are parsed from the pages.
+
     ``date`` is the local day of the actual, else scheduled, departure: the
     date that the hourly statistics use. Extra columns: ``date``,
     ``ingestion_date``, ``data_date``, ``data_time_block``, ``page_airport``,
@@ -144,12 +155,15 @@ def movement_rows(bronze: DataFrame) -> DataFrame:
     """
     keep = ["ingestion_date", "data_date", "data_time_block", "airport_code", "offset"]
     landed = bronze.select("raw_data", *[c if c in bronze.columns else F.lit(None).alias(c) for c in keep])
-    items = parse_pages(landed, S.FLIGHTS, keep=keep)
-    rows = items.select(*movement_columns(F.col("item")), "ingestion_date", "data_date", "data_time_block",
+    entity = S.FLIGHTS
+    if columns is not None:
+        columns = list(dict.fromkeys([*columns, *DEPARTURE_LOCAL]))
+        entity = entity.only(*[MOVEMENT_MEMBERS[c][0] for c in columns])
+    items = parse_pages(landed, entity, keep=keep)
+    rows = items.select(*movement_columns(F.col("item"), columns), "ingestion_date", "data_date", "data_time_block",
                         F.col("airport_code").alias("page_airport"), F.col("offset").alias("page_offset"),
                         F.col("pos").alias("page_pos"))
-    local = F.coalesce("departure_actual_time_local", "departure_scheduled_time_local")
-    return rows.withColumn("date", F.to_date(local))
+    return rows.withColumn("date", F.to_date(F.coalesce(*DEPARTURE_LOCAL)))
 
 
 def newest_per_flight(rows: DataFrame) -> DataFrame:

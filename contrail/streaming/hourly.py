@@ -27,7 +27,7 @@ from pyspark.sql.types import DateType, DoubleType, IntegerType, StringType, Str
 from contrail.functions.arith import mean_minutes_2dp
 from contrail.functions.times import delay_seconds, epoch_seconds
 from contrail.operators.gold import DELAYED_AFTER_SECONDS
-from contrail.operators.silver import FLIGHT_KEY, movement_rows
+from contrail.operators.silver import DEPARTURE_LOCAL, FLIGHT_KEY, movement_rows
 from contrail.streaming.incremental import BRONZE_FLIGHTS_PARTITIONED
 
 #: Where a page and its item stand: identifies a flight without a complete key.
@@ -46,15 +46,17 @@ def stream_facts(bronze: DataFrame) -> DataFrame:
 
     ``event_time`` is the local departure time (actual, else scheduled) taken
     as UTC, so windows do not depend on the session zone. ``place`` is set
-    where the key is incomplete. Rows without location or time are left out.
+    where the key is incomplete. Rows without location or time are left out,
+    by the parsed time: what is made of it would be worked out anew, with the
+    parsing, for each mention in the pushed-down filter.
     """
-    local = F.coalesce("departure_actual_time_local", "departure_scheduled_time_local")
+    local = F.coalesce(*DEPARTURE_LOCAL)
     complete = reduce(and_, [F.col(k).isNotNull() for k in FLIGHT_KEY])
-    return (movement_rows(bronze)
+    return (movement_rows(bronze, [*FLIGHT_KEY, *DEPARTURE_LOCAL, "departure_actual_time_utc"])
+            .where(F.col("departure_airport_code").isNotNull() & local.isNotNull())
             .select(*FLIGHT_KEY, F.when(~complete, F.to_json(F.struct(*_PLACE))).alias("place"),
                     F.timestamp_seconds(epoch_seconds(local)).alias("event_time"),
-                    delay_seconds("departure_actual_time_utc", "departure_scheduled_time_utc").alias("delay_seconds"))
-            .where("departure_airport_code is not null and event_time is not null"))
+                    delay_seconds("departure_actual_time_utc", "departure_scheduled_time_utc").alias("delay_seconds")))
 
 
 def hourly_windows(facts: DataFrame, delay: str) -> DataFrame:
@@ -73,10 +75,13 @@ def hourly_windows(facts: DataFrame, delay: str) -> DataFrame:
 
 def hourly_stats_stream(spark: SparkSession, bronze_path: str, out_path: str, checkpoint: str, delay: str = "2 days",
                         max_files_per_trigger: int = 1000) -> StreamingQuery:
-    """Append the closed hours of the bronze departure pages at ``bronze_path`` to ``out_path``, by date."""
+    """Append the closed hours of the bronze departure pages at ``bronze_path`` to ``out_path``, by date.
+
+    Closed hours are few; a task writes whole dates, not each task of the state a file per date.
+    """
     bronze = (spark.readStream.schema(BRONZE_FLIGHTS_PARTITIONED)
               .option("maxFilesPerTrigger", max_files_per_trigger).parquet(bronze_path))
-    return (hourly_windows(stream_facts(bronze), delay).writeStream.format("parquet").option("path", out_path)
+    return (hourly_windows(stream_facts(bronze), delay).repartition("date").writeStream.format("parquet").option("path", out_path)
             .option("checkpointLocation", checkpoint).partitionBy("date").outputMode("append")
             .trigger(availableNow=True).start())
 

@@ -4,7 +4,7 @@ import json
 from pyspark.sql import functions as F
 
 from contrail.sources.pages import write_page_files
-from contrail.streaming.hourly import HOURS, hourly_stats_stream
+from contrail.streaming.hourly import HOURS, hourly_stats_stream, stream_facts
 from contrail.streaming.incremental import land_page_stream, movements_stream
 
 
@@ -73,3 +73,38 @@ def test_hours_close_behind_the_watermark_and_survive_restarts(spark, tmp_path):
     query = land("2024-01-05", ("5", "2024-01-01T10:30Z"), ("6", "2024-01-01T11:30Z"), ("7", "2024-01-01T15:00Z"), offset=150)
     assert sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]) > 0
     assert hourly(spark, out) == [("FRA", "2024-01-01", 10, 2, None, 0), ("FRA", "2024-01-01", 11, 3, None, 0)]
+
+
+def test_closed_hours_of_a_date_are_one_file_of_a_run(spark, tmp_path):
+    from contrail.sources.pages import land_flight_pages
+    bronze, out, ck = (str(tmp_path / x) for x in ("bronze", "out", "ck"))
+    rows = [(a, "2024-01-01T08:00", 0, flight_page(a, [(f"{d}-{h}", f"2024-01-0{d}T{h:02}:10Z") for d in (1, 2, 9) for h in range(24)]))
+            for a in ("FRA", "MUC", "HAM")]
+    land_flight_pages(pages(spark, rows), "2024-01-10").write.partitionBy("ingestion_date").parquet(bronze)
+    hourly_stats_stream(spark, bronze, out, ck).awaitTermination()
+    assert hourly(spark, out) == sorted((a, f"2024-01-0{d}", h, 1, None, 0) for a, *_ in rows for d in (1, 2) for h in range(24))
+    assert {d: len(list((tmp_path / "out" / f"date=2024-01-0{d}").glob("*.parquet"))) for d in (1, 2)} == {1: 1, 2: 1}
+
+
+def test_stream_facts_parse_what_they_need_and_a_time_few_times(spark):
+    from contrail.sources.pages import land_flight_pages
+    def leg(**times):
+        return {"AirportCode": "FRA", **{k: {"DateTime": v} for k, v in times.items()}, "Terminal": {"Gate": 4}}
+    items = [
+        {"Departure": leg(ScheduledTimeLocal="2024-01-01T10:00", ScheduledTimeUTC="2024-01-01T09:00Z",
+                          ActualTimeLocal="2024-01-01T10:20", ActualTimeUTC="2024-01-01T09:20Z"),
+         "Arrival": 7, "MarketingCarrier": {"AirlineID": "XY", "FlightNumber": 1}},
+        {"Departure": leg(ScheduledTimeLocal="2024-01-01T11:00", ActualTimeLocal="n/a"), "OperatingCarrier": {"AirlineID": 3}},
+        {"Departure": leg(ScheduledTimeLocal="soon", ScheduledTimeUTC="2024-01-01T09:00Z")},
+        {"Departure": {**leg(ScheduledTimeLocal="2024-01-01T12:00"), "AirportCode": None}},
+        {"Arrival": leg(ScheduledTimeLocal="2024-01-01T13:00")}]
+    text = json.dumps({"FlightStatusResource": {"Flights": {"Flight": items}}})
+    facts = stream_facts(land_flight_pages(pages(spark, [("FRA", "2024-01-01T08:00", 0, text), ("FRA", "2024-01-01T08:00", 50, "[")]), "2024-01-02"))
+    got = [(r.marketing_carrier_flight_number, r.place is None, str(r.event_time), r.delay_seconds)
+           for r in facts.orderBy("event_time").collect()]
+    assert got == [("1", True, "2024-01-01 10:20:00", 1200), (None, False, "2024-01-01 11:00:00", None)]
+    plan = facts._jdf.queryExecution().optimizedPlan().toString()
+    parsed = plan[plan.index("from_json("):].split("\n")[0]
+    assert "ScheduledTimeUTC" in parsed and "OperatingCarrier" not in parsed and "Gate" not in parsed
+    # Once to filter, once to show: a filter on what is made of a time would parse it for each mention.
+    assert plan.count("RLIKE(item") <= 6, plan
