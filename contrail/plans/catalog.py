@@ -432,12 +432,13 @@ def q_silver_movements_incremental(spark, sf_dir):
     from pyspark.sql import functions as F
     from contrail import schemas as S
     from contrail.plans import jobs
-    from contrail.session import work_path
-    path = work_path(spark, "silver", "flights")
-    bronze = si.landed(si.flight_bronze(spark, sf_dir))
+    from contrail.session import drop_folder, stage, work_path
+    path, landing = work_path(spark, "silver", "flights"), work_path(spark, "bronze")
+    bronze = stage(si.flight_bronze(spark, sf_dir), landing, "flights", "zstd")
     late = F.crc32(F.col("raw_data").cast("binary")) % 2 == 0
     for part in (bronze.where(~late), bronze.where(late)):
         jobs.silverize_new_movements(part, path)
+    drop_folder(spark, landing)
     return spark.read.schema(jobs.MOVEMENTS_BY_DATE).parquet(path).select(S.SILVER_FLIGHTS.fieldNames())
 
 

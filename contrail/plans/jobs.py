@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +27,7 @@ from contrail.operators.silver import (
 from contrail.plans.sinks import (
     among, append_table, drop_partitions, overwrite_table, purge_null_hour, replace_partitions, spread, upsert_partitions,
 )
-from contrail.session import cut_lineage
+from contrail.session import cut_lineage, drop_folder, stage, work_path
 from contrail.sources.tables import read_or_empty
 
 _SILVER_LAYOUTS = {
@@ -90,7 +92,15 @@ def silverize_new_movements(bronze: DataFrame, target_path: str) -> list[dt.date
     (None for that partition), which the gold job takes.
     """
     spark = bronze.sparkSession
-    new = cut_lineage(movement_rows(bronze))
+    # Rows are staged as compressed parquet, and dropped in the end: checkpoints would hold them whole, twice a merge.
+    staging = work_path(spark, "merge")
+    try:
+        return _merge_movements(spark, stage(movement_rows(bronze), staging, "new", "zstd"), target_path, staging)
+    finally:
+        drop_folder(spark, staging)
+
+
+def _merge_movements(spark: SparkSession, new: DataFrame, target_path: str, staging: str) -> list[dt.date | None]:
     if new.isEmpty():
         return []
     layout = MOVEMENTS_BY_DATE
@@ -99,7 +109,14 @@ def silverize_new_movements(bronze: DataFrame, target_path: str) -> list[dt.date
     met = table.select(*FLIGHT_KEY, "date").join(keys, FLIGHT_KEY, "left_semi").select("date")
     dates = [r[0] for r in new.select("date").union(met).distinct().collect()]  # bounded: one per date
     old = table.where(among("date", dates))
-    merged = cut_lineage(newest_per_flight(old.unionByName(new.select(old.columns))))
+    rows = old.unionByName(new.select(old.columns))
+    # Of all rows only a hash of their key is shuffled; whole rows only where several have one.
+    h, complete = F.xxhash64(*FLIGHT_KEY), reduce(and_, [F.col(k).isNotNull() for k in FLIGHT_KEY])
+    several = stage(rows.where(complete).groupBy(h.alias("_key")).count().where("count > 1").select("_key"), staging, "several")
+    held = rows.withColumn("_hash", F.when(complete, h))
+    alone = held.where(complete).join(several, F.col("_hash") == F.col("_key"), "left_anti").select(rows.columns)
+    others = held.where(~complete).unionByName(held.join(several, F.col("_hash") == F.col("_key"), "left_semi"))
+    merged = alone.unionByName(stage(newest_per_flight(others.select(rows.columns)), staging, "others"))
     left = {r[0] for r in merged.select("date").distinct().collect()}
     # Clustered by date for few files; adaptive execution splits a large date again.
     replace_partitions(merged.hint("rebalance", "date"), target_path, ["date"], layout)

@@ -83,6 +83,24 @@ def test_moved_flight_leaves_its_old_date(spark, tmp_path):
     assert [str(r.date) for r in got] == ["2024-01-21"]
 
 
+def test_merge_keeps_no_copy_of_its_rows(spark, tmp_path):
+    """Beside the table nothing is left of a merge: neither checkpoints nor staged rows."""
+    import os
+    from contrail.session import ensure_checkpoint_dir
+    kept = ensure_checkpoint_dir(spark).removeprefix("file:")
+
+    def files():
+        return {os.path.join(d, f) for d, _, names in os.walk(kept) for f in names}
+
+    before, path = files(), str(tmp_path / "flights")
+    for k in (0, 1, 1):
+        jobs.silverize_new_movements(flight_bronze(spark, PAGES[k:k + 1]), path)
+    assert files() == before
+    got = spark.read.schema(jobs.MOVEMENTS_BY_DATE).parquet(path)
+    assert sorted((r[0] or "", str(r[1])) for r in got.select("marketing_carrier_flight_number", "ingestion_date").collect()) == [
+        ("", "2024-01-20"), ("", "2024-01-21"), ("1", "2024-01-21"), ("2", "2024-01-21")]
+
+
 def test_dedupe_is_total_ordered(spark):
     from contrail.operators.snapshot import dedupe_first
     rows = [("k", 0, 0, "a"), ("k", 0, 0, "b"), (None, 0, 0, "c"), (None, 0, 0, "c")]
